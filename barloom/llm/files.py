@@ -29,3 +29,9 @@ def put(uri: str, data: bytes) -> None:
     with store.open_output_stream(part) as out:
         out.write(data)
     store.move(part, path)
+
+
+def get(uri: str) -> bytes:
+    store, path = _open(uri)
+    with store.open_input_file(path) as f:
+        return f.read()

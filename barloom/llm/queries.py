@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, quality, simhash, tokens
-from .common import table
+from . import chat, decontaminate, licenses, mixing, passages, quality, simhash, tokens, toxicity, warc
+from .common import saved, table
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -17,7 +19,8 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    found = decontaminate.find_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,9 +36,142 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_table(table(spark, sf_dir, "pages")).drop("target_uri")
+
+
+def document_paths(docs: DataFrame) -> DataFrame:
+    """documents as files: source/language/hundred/name; some ids are the licence files of a directory."""
+    i, source, lang = F.col("doc_id"), F.col("source"), F.col("lang")
+    place = F.when(i % 1000 == 0, source).when(i % 100 == 0, F.concat_ws("/", source, lang)).otherwise(F.concat_ws("/", source, lang, F.floor(i / 100).cast("string")))
+    name = F.when(i % 25 == 0, F.concat(F.lit("LICENSE-"), i.cast("string"))).otherwise(F.concat(i.cast("string"), F.lit(".txt")))
+    return docs.select("doc_id", F.concat_ws("/", place, name).alias("path"), "text")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = document_paths(table(spark, sf_dir, "documents"))
+    found = licenses.scan(files)
+    return found.select(F.regexp_extract("path", r"(\d+)[^/\d]*$", 1).cast("long").alias("doc_id"), "path", "declared", "score", "license", "inherited_from")
+
+
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=~held_out)
+    scored = model.score(docs, keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(saved(chat.format_examples(rows), "examples"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed, _ = mixing.mix(docs)
+    return mixed.select("doc_id", "source", F.col("__pass").alias("pass"), F.col("__place").alias("block_place"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash, op5_warc, op6_licenses, op7_passages, op8_toxicity, op9_chat, op10_mixing, pipeline)}
+
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_FOLDED = rf"regexp_extract_all(translate({{}}, '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP1_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_FOLDED.format("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT item_id, {_FOLDED.format("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hit AS (SELECT r, i, n, item_id FROM dw JOIN bw USING (n, win)),
+cover AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cover USING (r) LEFT JOIN items USING (r)
+"""
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+g AS (SELECT html, max(page_id) AS response FROM p WHERE n >= 1000 GROUP BY html HAVING count(*) > 1 AND max(page_id) IS NOT NULL)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN response IS NOT NULL AND page_id IS DISTINCT FROM response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM p LEFT JOIN g USING (html)
+"""
+
+_TERMS = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
+_NOTICES = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(licenses.TEMPLATES))
+_NAMING = ", ".join(f"'{w}'" for w in licenses.NAMING.split())
+
+OP6_SQL = f"""
+WITH f AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    CASE WHEN doc_id % 1000 = 0 THEN source WHEN doc_id % 100 = 0 THEN source || '/' || lang
+         ELSE source || '/' || lang || '/' || (doc_id // 100)::VARCHAR END AS dir,
+    CASE WHEN doc_id % 25 = 0 THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END AS name
+  FROM documents),
+files AS (SELECT *, dir || '/' || name AS path FROM f),
+tt AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest({_TERMS.format("notice")}) AS term FROM (VALUES {_NOTICES}) v(template, license, notice)) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM files),
+df AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({_TERMS.format("text")})) AS term FROM files) WHERE term IN (SELECT term FROM tt) GROUP BY term),
+idf AS (SELECT term, ln((1 + n.n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n),
+tw AS (SELECT template, license, term, tf * idf AS weight FROM tt JOIN idf USING (term)),
+t AS (SELECT template, license, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY template)) AS w FROM tw),
+lines AS (SELECT path, i, {_TERMS.format("line")} AS words FROM (SELECT path, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM files)),
+lt AS (SELECT path, i, term, count(*) AS tf FROM (SELECT path, i, unnest(words) AS term FROM lines WHERE list_has_any(words, [{_NAMING}])) GROUP BY ALL),
+lw AS (SELECT path, i, term, tf * coalesce(idf, ln(1 + n.n) + 1) AS weight FROM lt LEFT JOIN idf USING (term), n),
+ln_ AS (SELECT path, i, sqrt(sum(weight * weight)) AS norm FROM lw GROUP BY ALL),
+s AS (SELECT path, license, round(sum(weight * w) / any_value(norm), 6) AS score FROM lw JOIN t USING (term) JOIN ln_ USING (path, i) GROUP BY path, i, template, license),
+own AS (SELECT path, license AS declared, score FROM s WHERE score >= {licenses.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),
+speaking AS (SELECT dir AS above, declared AS inherited FROM files JOIN own USING (path) WHERE name LIKE 'LICENSE%' QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, name) = 1),
+nearest AS (SELECT d.dir, s.above, s.inherited FROM (SELECT DISTINCT dir FROM files) d JOIN speaking s ON d.dir = s.above OR starts_with(d.dir, s.above || '/') QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(s.above) DESC) = 1)
+SELECT doc_id, path, declared, score, coalesce(declared, inherited) AS license, CASE WHEN declared IS NULL THEN above END AS inherited_from
+FROM files LEFT JOIN own USING (path) LEFT JOIN nearest USING (dir)
+"""
+
+OP7_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+win AS (SELECT r, doc_id, i, array_to_string(w[i:i + 49], ' ') AS t FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50 AND doc_id IS NOT NULL)),
+hit AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY t) AS owner FROM win) WHERE owner < doc_id),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS i FROM hit),
+word AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""
+
+OP9_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
+l AS (SELECT *, 24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<|nl|>')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS size,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM t),
+s AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k) AS upto FROM l)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(upto) FILTER (role = 'assistant' OR k = n)::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontaminate": OP1_SQL, "op5_warc": OP5_SQL, "op6_licenses": OP6_SQL, "op7_passages": OP7_SQL, "op9_chat": OP9_SQL}

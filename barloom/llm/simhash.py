@@ -130,9 +130,9 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **o
     """One document of each component: the one with the smallest id, with its own columns only.
 
     Of repeated rows with that id, one stays (any of them if they differ elsewhere).
-    Only the ids that go are joined to the texts.
+    Rows without an id all stay, as nothing can name the one of a group.
     """
     found = near_duplicates(docs, doc_id=doc_id, text=text, **options)
     stay = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     rows = docs.join(stay, docs[f"`{doc_id}`"] == stay["doc_id"], "left_semi")
-    return rows.dropDuplicates([doc_id])
+    return rows.dropDuplicates([doc_id]).unionByName(docs.where(docs[f"`{doc_id}`"].isNull()))
