@@ -4,9 +4,11 @@ Features of a whole text: densities of a fixed and of a learned lexicon, how nea
 hits stand to words of the second person, capitals, punctuation and obfuscated
 spellings.  They are computed where the text is; trees and calibration are Spark ML.
 
-Labelled rows are split by a hash into three parts of bounded size: words for the
-learned lexicon come from the first, trees from the second, the calibration from the
-third, so that no part is judged by what was learned from itself.
+The learned lexicon holds words and beginnings of words (stems of inflected forms).
+Labelled rows, a bounded number, are split by a hash into two halves: each half's
+features use the lexicon learned from the other, so the trees never see hits that a row
+brought in itself.  A quarter of the rows is left to the calibration alone.  Scoring
+uses the lexicon of all of them.
 """
 
 from __future__ import annotations
@@ -24,10 +26,12 @@ from pyspark.sql import types as T
 
 from .common import map_texts, saved
 
-#: Labelled rows that are used at most, in all three parts together.
+#: Labelled rows that are used at most.
 TRAIN_ROWS = 24_000
-#: Words of the learned lexicon at most; documents and odds that a word needs.
-LEXICON_WORDS, LEXICON_DOCS, LEXICON_ODDS = 300, 4, 6.0
+#: Words and stems of the learned lexicon at most; documents and odds that each needs.
+LEXICON_WORDS, LEXICON_DOCS, LEXICON_ODDS = 1000, 4, 8.0
+#: Bytes of the beginnings of words that may become stems.
+STEMS = (4, 5, 6, 7)
 THRESHOLD = 0.3
 NEAR = 6
 
@@ -54,16 +58,29 @@ _TWICE = re.compile(rb"(.)\1+")
 
 @dataclass
 class Lexicon:
+    """Insults, and learned units: whole words, and stems with an asterisk behind."""
+
     fixed: frozenset[bytes]
     learned: dict[bytes, float]
 
+    def __post_init__(self):
+        self.starts = frozenset(u[:4] for u in self.learned if len(u) >= 4)
+
+    def weight(self, word: bytes) -> float:
+        """The largest weight of the word's units, 0 if it has none."""
+        if word[:4] not in self.starts and word not in self.learned:
+            return 0.0
+        get = self.learned.get
+        return max(get(word, 0.0), *(get(word[:k] + b"*", 0.0) for k in STEMS if len(word) >= k), 0.0)
+
 
 def features(text: bytes, lexicon: Lexicon) -> list[float]:
     words = text.translate(_WORD).split()
     n = max(1, len(words))
     fixed, learned = lexicon.fixed, lexicon.learned
     hits = [i for i, w in enumerate(words) if w in fixed]
-    weights = [learned[w] for w in words if w in learned]
+    starts, weight = lexicon.starts, lexicon.weight
+    weights = [x for w in words if (w[:4] in starts or w in learned) and (x := weight(w))]
     you = [i for i, w in enumerate(words) if w in _YOU]
     near = 0
     if hits and you:
@@ -101,18 +118,24 @@ def feature_table(docs: DataFrame, lexicon: Lexicon, *, keep: list[str], text: s
     return map_texts(docs, text, [T.StructField("x", T.ArrayType(T.DoubleType()))], lambda texts: [[features(t, lexicon) for t in texts]], keep)
 
 
+def units(text: bytes) -> list[str]:
+    """Distinct words and stems of a text, each byte as one character."""
+    words = set(text.translate(_WORD).split())
+    return [u.decode("latin-1") for u in words | {w[:k] + b"*" for k in STEMS for w in words if len(w) >= k}]
+
+
 def learn_lexicon(docs: DataFrame) -> dict[bytes, float]:
-    """Words that stand in toxic documents far more often than in others; docs: text, label.
+    """Units that stand in toxic documents far more often than in others; docs: text, label.
 
-    Only words with enough documents and odds reach the driver, LEXICON_WORDS at most.
+    Only units with enough documents and odds reach the driver, LEXICON_WORDS at most.
     """
-    words = map_texts(docs, "text", [T.StructField("words", T.ArrayType(T.StringType()))], lambda texts: [[[w.decode("utf-8", "replace") for w in set(t.translate(_WORD).split())] for t in texts]], ["label"])
+    found = map_texts(docs, "text", [T.StructField("units", T.ArrayType(T.StringType()))], lambda texts: [[units(t) for t in texts]], ["label"])
     totals = docs.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
     bad, good = float(totals[0] or 0), float(totals[1] or 0)
-    counts = words.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
+    counts = found.select("label", F.explode("units").alias("unit")).groupBy("unit").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
     odds = ((F.col("bad") + 0.5) / (bad + 1)) / ((F.col("good") + 0.5) / (good + 1))
-    best = counts.where(F.col("bad") >= LEXICON_DOCS).withColumn("odds", odds).where(F.col("odds") >= LEXICON_ODDS).orderBy(F.desc(F.col("bad") * F.log("odds")), "word").limit(LEXICON_WORDS)
-    return {r.word.encode(): float(np.log(r.odds)) for r in best.collect()}
+    best = counts.where(F.col("bad") >= LEXICON_DOCS).withColumn("odds", odds).where(F.col("odds") >= LEXICON_ODDS).orderBy(F.desc(F.col("bad") * F.log("odds")), "unit").limit(LEXICON_WORDS)
+    return {r.unit.encode("latin-1"): float(np.log(r.odds)) for r in best.collect()}
 
 
 @dataclass
@@ -146,12 +169,14 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     if usable is not None:
         chosen = chosen.where(usable)
     chosen = chosen.groupBy(F.col(f"`{doc_id}`").alias("id")).agg(F.max(F.col(f"`{label}`").cast("int")).alias("label"))
-    chosen = chosen.withColumn("h", F.xxhash64("id", F.lit(8))).orderBy("h", "id").limit(max_rows).withColumn("part", F.pmod("h", F.lit(4)))
-    rows = docs.select(docs[f"`{doc_id}`"].alias("id"), docs[f"`{text}`"].alias("text")).join(F.broadcast(chosen), "id").select("id", "part", "label", "text")
+    h = F.xxhash64("id", F.lit(8))
+    chosen = chosen.orderBy(h, "id").limit(max_rows).withColumn("half", F.pmod(h, F.lit(2))).withColumn("quarter", F.pmod(F.shiftright(h, 1), F.lit(4)))
+    rows = docs.select(docs[f"`{doc_id}`"].alias("id"), docs[f"`{text}`"].alias("text")).join(F.broadcast(chosen), "id").select("id", "half", "quarter", "label", "text")
     rows = saved(rows, "labelled")
-    lexicon = Lexicon(_FIXED, learn_lexicon(rows.where("part = 0")))
-    table = saved(feature_table(rows.where("part > 0"), lexicon, keep=["id", "part", "label"]).withColumn("features", array_to_vector("x")).drop("x"), "toxicity-features")
-    fit, rest = table.where("part < 3").coalesce(2), table.where("part = 3").coalesce(2)
+    crossed = [feature_table(rows.where(F.col("half") == k), Lexicon(_FIXED, learn_lexicon(rows.where(F.col("half") != k))), keep=["id", "quarter", "label"]) for k in (0, 1)]
+    lexicon = Lexicon(_FIXED, learn_lexicon(rows))
+    table = saved(crossed[0].unionByName(crossed[1]).withColumn("features", array_to_vector("x")).drop("x"), "toxicity-features")
+    fit, rest = table.where("quarter < 3").coalesce(2), table.where("quarter = 3").coalesce(2)
     if fit.select("label").distinct().count() < 2 or rest.limit(1).count() == 0:
         return Model(lexicon, None, None)
     trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=25, maxDepth=4, stepSize=0.2, subsamplingRate=0.8, maxBins=48, minInstancesPerNode=5, seed=7).fit(fit)
