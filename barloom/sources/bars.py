@@ -91,11 +91,11 @@ def violations(bars: DataFrame) -> DataFrame:
     """One row for each sequence with the counts of broken rules; all zero is valid.
 
     One window and one aggregation over the same partitions: time must rise strictly,
-    numbers must be finite, high and low must enclose open and close.
+    numbers must be finite, and where they are, high and low must enclose open and close.
     """
     before = "lag(trade_time) OVER (PARTITION BY symbol, timeframe ORDER BY trade_time)"
     bad = " OR ".join(f"{c} IS NULL OR isnan({c}) OR abs({c}) = CAST('Infinity' AS DOUBLE)" for c in NUMBERS)
-    rows = bars.selectExpr(*KEYS, TIME, f"CASE WHEN trade_time <= {before} THEN 1 ELSE 0 END AS unordered", f"CASE WHEN {bad} THEN 1 ELSE 0 END AS unfit", "CASE WHEN high < greatest(open, close) OR low > least(open, close) THEN 1 ELSE 0 END AS outside", "CASE WHEN volume < 0 THEN 1 ELSE 0 END AS negative")
+    rows = bars.selectExpr(*KEYS, TIME, f"CASE WHEN trade_time <= {before} THEN 1 ELSE 0 END AS unordered", f"CASE WHEN {bad} THEN 1 ELSE 0 END AS unfit", f"CASE WHEN NOT coalesce({bad}, true) AND (high < greatest(open, close) OR low > least(open, close)) THEN 1 ELSE 0 END AS outside", "CASE WHEN volume < 0 THEN 1 ELSE 0 END AS negative")
     return rows.groupBy(*KEYS).agg(F.count("*").alias("n_bars"), F.min(TIME).alias("first_time"), F.max(TIME).alias("last_time"), *[F.sum(c).cast("long").alias(c) for c in ("unordered", "unfit", "outside", "negative")])
 
 
