@@ -52,7 +52,7 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: ASCII but letters, digits and the apostrophe becomes a blank.
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 or b == 39 else 32 for b in range(256))
 _PLAIN = bytes.maketrans(b"01345@$!7", b"oieasasit")
-_HIDDEN = re.compile(rb"[a-z\x80-\xff]+[0-9@$!*#_.\-]+[a-z\x80-\xff][a-z0-9@$!*#\x80-\xff]*|(?<![a-z])(?:[a-z][ .\-_]){3,}[a-z](?![a-z])")
+_HIDDEN = re.compile(rb"(?<![a-z])(?:[a-z][ .\-_]){3,}[a-z](?![a-z])|[a-z\x80-\xff]+[0-9@$!*#_.\-]+[a-z\x80-\xff][a-z0-9@$!*#\x80-\xff]*")
 _TWICE = re.compile(rb"(.)\1+")
 
 
