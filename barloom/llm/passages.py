@@ -5,18 +5,20 @@ with a smaller id.  The job has four steps, each a Spark job over whole texts:
 
 1. Winnowing picks an anchor in every window: the eight-word phrase with the smallest
    hash, leftmost of equals.  Equal windows have the same anchor at the same place, so
-   a window can only recur if its anchor phrase does.  Phrases that stand in two
-   documents or more are confirmed by one aggregation (partial at the source).
-2. The confirmed phrases are compiled into Aho-Corasick automata, sharded by hash to at
-   most about `SHARD_PHRASES` each and stored in the shared folder.
+   a window can only recur if its anchor phrase does.  Consecutive windows with one
+   anchor are a segment.  Two aggregations (partial at the source) confirm the phrases
+   that stand in two documents or more, and the segments that do, with their smallest id.
+2. The phrases are compiled into Aho-Corasick automata, sharded by hash to about
+   `SHARD_PHRASES` each; the segments become sorted look-up tables, sharded too.  Both
+   are files in the shared folder.
 3. All documents stream through every automaton, which locates each occurrence of a
-   phrase.  Windows whose anchor was located are candidates; those with the same anchor
-   form a segment, stored with a 128-bit key of its words.
-4. Exact check: a segment whose key belongs to a smaller id goes whole.  Where one anchor
-   has different segments (the edges of a passage, near copies), the first owners'
-   windows are compared one by one by 128-bit keys.
+   phrase; at a located anchor the segment is looked up, and goes whole if its words
+   belong to a smaller id.
+4. Exact check of single windows, where one anchor has different segments (the edges of
+   a passage, near copies): only a segment's first owner brings in its windows, as
+   128-bit keys, which are grouped and joined back.
 
-The automata hold words as two letters of a 32-letter alphabet, because the library
+The automata hold words as letters of a 64-letter alphabet, because the library
 searches a node's edges one after another; a false match costs a comparison and is
 refused by the exact check.
 """
@@ -37,12 +39,12 @@ from .common import as_bytes, new_folder, saved, steps
 from .files import get, make_folder, put
 
 WINDOW, PHRASE = 50, 8
-#: Most phrases of an automaton, about 100 bytes of memory each letter pair.
+#: About so many phrases make an automaton, of at most 500 bytes of memory each.
 SHARD_PHRASES = 100_000
-#: Automata that a worker keeps loaded.
-KEPT_SHARDS = 1
-#: Text bytes that stream through all automata in one go.
-STREAM_BYTES = 32 << 20
+#: About so many segments make a look-up table, of 24 bytes each.
+SHARD_SEGMENTS = 1_000_000
+#: Rows after which a task hands on what it has.
+FLUSH_ROWS = 2000
 _KNOWN_WORDS = 300_000
 
 
@@ -56,6 +58,26 @@ class _Hashes(dict):
         return h
 
 
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 ... base ** (n - 1) modulo 2 ** 64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def smallest(values: np.ndarray, span: int) -> np.ndarray:
+    """The least of each `span` consecutive values, by doubling."""
+    n, width = len(values) - span + 1, 1
+    while 2 * width <= span:
+        values = np.minimum(values[:-width], values[width:])
+        width *= 2
+    return np.minimum(values[:n], values[span - width : span - width + n])
+
+
 class Text:
     """A document's words and windows."""
 
@@ -66,26 +88,30 @@ class Text:
         self.window = window
         if not self.n_windows:
             return
-        phrase = min(phrase, window)
         self.hash = np.fromiter(map(hashes.__getitem__, self.words), np.uint64, n)
         order = np.zeros(n - phrase + 1, np.uint64)
         for j in range(phrase):
-            order = order * np.uint64(0x9E3779B97F4A7C15) + self.hash[j : n - phrase + 1 + j]
+            order = order * np.uint64(_FACTOR) + self.hash[j : n - phrase + 1 + j]
         order ^= order >> np.uint64(29)
         order *= np.uint64(0xBF58476D1CE4E5B9)
-        order ^= order >> np.uint64(32)
-        span = window - phrase + 1
-        anchor = np.lib.stride_tricks.sliding_window_view(order, span).argmin(axis=1) + np.arange(self.n_windows)
+        # The hash above, the place below: the leftmost of equals is the least.
+        order = (order & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(order), dtype=np.uint64)
+        anchor = (smallest(order, window - phrase + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         new = np.flatnonzero(np.diff(anchor, prepend=-1))
         #: Of each segment: its first window, the window behind its last, its anchor.
         self.first, self.last, self.anchor = new, np.append(new[1:], self.n_windows), anchor[new]
 
-    def letters(self) -> str:
-        """Two letters for each word."""
-        pair = np.empty((len(self.hash), 2), np.uint8)
-        pair[:, 0] = (self.hash & np.uint64(31)) + np.uint64(65)
-        pair[:, 1] = ((self.hash >> np.uint64(5)) & np.uint64(31)) + np.uint64(65)
-        return pair.tobytes().decode("ascii")
+    def letters(self) -> np.ndarray:
+        """One letter, an ASCII code, for each word."""
+        return ((self.hash & np.uint64(63)) + np.uint64(48)).astype(np.uint8)
+
+    def sums(self) -> np.ndarray:
+        """64 bits of each segment's words and of its anchor's place in them."""
+        n = len(self.hash)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.hash * powers(_FACTOR, n), out=total[1:])
+        stop = self.last + self.window - 1
+        return (total[stop] - total[self.first]) * powers(_INVERSE, n)[self.first] + (self.anchor - self.first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 
     def place(self) -> None:
         """Make slices of the words joined by blanks addressable."""
@@ -99,8 +125,15 @@ class Text:
         return xxhash.xxh3_128_digest(self.joined[self.begin[start] : self.end[stop - 1]], at)
 
 
-def find_phrases(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Anchor phrases that stand in two documents or more; mixed: in different segments."""
+def phrase_numbers(letters: np.ndarray, at: np.ndarray, phrase: int) -> np.ndarray:
+    """The phrases' letters, packed into a long each."""
+    out = np.zeros((len(at), 8), np.uint8)
+    out[:, :phrase] = letters[at[:, None] + np.arange(phrase)]
+    return out.view("<i8").ravel()
+
+
+def find_segments(docs: DataFrame, window: int, phrase: int) -> DataFrame:
+    """Distinct segments (phrase, key) with the smallest and the largest id that has them."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -111,96 +144,156 @@ def find_phrases(docs: DataFrame, window: int, phrase: int) -> DataFrame:
                     x = Text(t, hashes, window, phrase)
                     if d is None or not x.n_windows:
                         continue
-                    x.place()
-                    s = x.letters()
-                    a, b, e = x.anchor.tolist(), x.first.tolist(), x.last.tolist()
-                    ids += [d] * len(a)
-                    phrases += [s[2 * p : 2 * (p + phrase)] for p in a]
-                    keys += [int.from_bytes(x.key(i, j + window - 1, p - i)[:8], "little", signed=True) for i, j, p in zip(b, e, a, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(phrases, pa.string()), pa.array(keys, pa.int64())], names=["doc_id", "phrase", "key"])
-
-    found = docs.select("doc_id", "text").mapInArrow(anchors, "doc_id long, phrase string, key long")
-    grouped = found.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("key").alias("k"), F.max("key").alias("l"))
-    return saved(grouped.where("a < b").select("phrase", (F.col("k") != F.col("l")).alias("mixed")), "phrases")
-
-
-def compile_automata(phrases: DataFrame, shard_phrases: int = SHARD_PHRASES) -> list[str]:
-    """One automaton for each shard of the phrases, written by the tasks; their names."""
-    shards = max(1, -(-phrases.count() // shard_phrases))
-    folder = new_folder(phrases.sparkSession, "automata")
+                    ids.append(np.full(len(x.anchor), d, np.int64))
+                    phrases.append(phrase_numbers(x.letters(), x.anchor, phrase))
+                    keys.append(x.sums().view(np.int64))
+                columns = [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (ids, phrases, keys)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "phrase", "key"])
+
+    found = docs.select("doc_id", "text").mapInArrow(anchors, "doc_id long, phrase long, key long")
+    return saved(found.groupBy("phrase", "key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")), "segments")
+
+
+def stored_shards(rows: DataFrame, key: str, most: int, name: str, make) -> list[str]:
+    """make(table) -> bytes for each shard of rows, put into the shared folder by the tasks; the files' names."""
+    shards = max(1, -(-rows.count() // most))
+    folder = new_folder(rows.sparkSession, name)
     make_folder(folder)
 
     def build(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        put(f"{folder}/{shard:06d}", make(table))
+        return pa.table({"shard": pa.array([shard], pa.int64())})
+
+    keyed = rows.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)))
+    done = saved(keyed.groupBy("shard").applyInArrow(build, "shard long"), f"{name}-list")
+    return [f"{folder}/{r.shard:06d}" for r in done.orderBy("shard").toLocalIterator()]
+
+
+def compile_automata(segments: DataFrame, size: int = PHRASE, shard_phrases: int = SHARD_PHRASES) -> list[str]:
+    """Automata of the phrases of two documents or more; a phrase's value is 1 if it has several segments."""
+    phrases = segments.groupBy("phrase").agg(F.min("owner").alias("a"), F.max("last").alias("b"), F.count("*").alias("n"))
+    phrases = saved(phrases.where("a < b").select("phrase", (F.col("n") > 1).alias("mixed")), "phrases")
+
+    def make(table: pa.Table) -> bytes:
         import ahocorasick
 
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for phrase, mixed in zip(table.column("phrase").to_pylist(), table.column("mixed").to_pylist(), strict=True):
-            automaton.add_word(phrase, int(mixed))
+        for phrase, mixed in zip(table.column("phrase").to_numpy().tolist(), table.column("mixed").to_pylist(), strict=True):
+            automaton.add_word(phrase.to_bytes(8, "little", signed=True)[:size].decode("ascii"), int(mixed))
         automaton.make_automaton()
-        shard = table.column("shard")[0].as_py()
-        put(f"{folder}/{shard:06d}.aho", pickle.dumps(automaton, protocol=5))
-        return pa.table({"shard": pa.array([shard], pa.int64())})
+        return pickle.dumps(automaton, protocol=5)
+
+    return stored_shards(phrases, "phrase", shard_phrases, "automata", make)
+
 
-    keyed = phrases.withColumn("shard", F.pmod(F.xxhash64("phrase"), F.lit(shards)))
-    done = saved(keyed.groupBy("shard").applyInArrow(build, "shard long"), "automata-list")
-    return [f"{folder}/{r.shard:06d}.aho" for r in done.orderBy("shard").toLocalIterator()]
+def store_owners(segments: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> list[str]:
+    """Look-up tables of the segments of two documents or more: key, phrase and smallest id, by key."""
 
+    def make(table: pa.Table) -> bytes:
+        rows = np.stack([table.column(c).to_numpy() for c in ("key", "phrase", "owner")])
+        return np.ascontiguousarray(rows[:, np.lexsort((rows[1], rows[0]))], "<i8").tobytes()
 
-_loaded: dict[str, object] = {}
+    return stored_shards(segments.where("owner < last"), "key", shard_segments, "owners", make)
 
 
-def automaton(path: str):
-    if path not in _loaded:
-        while len(_loaded) >= KEPT_SHARDS:
-            _loaded.pop(next(iter(_loaded)))
-        _loaded[path] = pickle.loads(get(path))
-    return _loaded[path]
+def owners_of(path: str, keys: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a table has each segment, and the smallest id of it."""
+    rows = np.frombuffer(get(path), "<i8").reshape(3, -1)
+    at = np.searchsorted(rows[0], keys)
+    found, owner = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    todo = np.arange(len(keys))
+    while len(todo):  # segments of one key and different phrases stand side by side
+        todo = todo[at[todo] < rows.shape[1]]
+        todo = todo[rows[0, at[todo]] == keys[todo]]
+        hit = rows[1, at[todo]] == phrases[todo]
+        found[todo[hit]], owner[todo[hit]] = True, rows[2, at[todo[hit]]]
+        todo = todo[~hit]
+        at[todo] += 1
+    return found, owner
 
 
-def locate(docs: DataFrame, automata: list[str], window: int, phrase: int) -> DataFrame:
-    """Candidate segments (doc_id, row, first, last, key, windows) of all documents."""
+def locate(docs: DataFrame, automata: list[str], tables: list[str], window: int, phrase: int) -> DataFrame:
+    """(doc_id, row, first, last, windows) of all documents: spans of words that belong to a smaller
+    id (windows is null), and segments of first owners with the 128-bit keys of their windows."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            for step in steps(batch, 2, STREAM_BYTES):
-                texts = as_bytes(step.column(2))
-                read = [Text(t, hashes, window, phrase) for t in texts]
-                letters = [x.letters() if x.n_windows else "" for x in read]
-                for x in read:
-                    x.words = x.hash = None
-                found: list[list[tuple[int, int]]] = [[] for _ in texts]
-                for path in automata:
-                    a = automaton(path)
-                    for s, hits in zip(letters, found, strict=True):
-                        if s:
-                            hits += [(end, mixed) for end, mixed in a.iter(s) if end & 1]
-                rows: list[list] = [[] for _ in range(6)]
-                for d, h, t, x, hits in zip(step.column(0).to_pylist(), step.column(1).to_pylist(), texts, read, found, strict=True):
-                    if d is None or not hits:
+            texts = batch.column(2).cast(pa.large_binary())
+            read, letters, numbers = [], [], []
+            for d, t in zip(batch.column(0).to_pylist(), texts, strict=True):
+                x = Text(t.as_buffer().to_pybytes() if t.is_valid else b"", hashes, window, phrase)
+                if d is not None and x.n_windows:
+                    own = x.letters()
+                    x.keys = x.sums().view(np.int64)
+                    numbers.append(phrase_numbers(own, x.anchor, phrase))
+                    letters.append(own.tobytes().decode("ascii"))
+                else:
+                    letters.append("")
+                x.words = x.hash = None
+                read.append(x)
+            # One pass over the automata for each batch; a batch is bounded by the session.
+            found: list[dict[int, int]] = [{} for _ in read]
+            for path in automata:
+                automaton = pickle.loads(get(path))
+                for s, hits in zip(letters, found, strict=True):
+                    if s:
+                        hits.update(automaton.iter(s))
+                del automaton
+            some = [x for x, s in zip(read, letters, strict=True) if s]
+            keys = np.concatenate([x.keys for x in some]) if some else np.zeros(0, np.int64)
+            phrases = np.concatenate(numbers) if numbers else keys
+            known, owner = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+            for path in tables:
+                a, b = owners_of(path, keys, phrases)
+                known |= a
+                owner[a] = b[a]
+            rows: list[tuple] = []
+            at = 0
+            for i, (d, h, x, hits) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), read, found, strict=True)):
+                if not letters[i]:
+                    continue
+                n = len(x.anchor)
+                later = (known[at : at + n] & (owner[at : at + n] < d)).tolist()
+                at += n
+                begin = end = -1
+                for k, (i0, i1, p) in enumerate(zip(x.first.tolist(), x.last.tolist(), x.anchor.tolist(), strict=True)):
+                    mixed = hits.get(p + phrase - 1)
+                    if mixed is None:
                         continue
-                    at = {(end + 1) // 2 - phrase: mixed for end, mixed in hits}
-                    x.words = t.split()
-                    x.place()
-                    for i, j, p in zip(x.first.tolist(), x.last.tolist(), x.anchor.tolist(), strict=True):
-                        if p in at:
-                            own = (d, h, i, j + window - 1, x.key(i, j + window - 1, p - i), [x.key(w, w + window) for w in range(i, j)] if at[p] else None)
-                            for column, value in zip(rows, own, strict=True):
-                                column.append(value)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names=["doc_id", "row", "first", "last", "key", "windows"])
-
-    return saved(docs.select("doc_id", "row", "text").mapInArrow(stream, "doc_id long, row long, first long, last long, key binary, windows array<binary>"), "segments")
-
-
-def repeated_spans(segments: DataFrame, window: int) -> DataFrame:
+                    if later[k]:
+                        if i0 > end:
+                            if end >= 0:
+                                rows.append((d, h, begin, end, None))
+                            begin = i0
+                        end = i1 + window - 1
+                    elif mixed:
+                        if not x.words:
+                            x.words = texts[i].as_buffer().to_pybytes().split()
+                            x.place()
+                        rows.append((d, h, i0, i1 + window - 1, b"".join([x.key(w, w + window) for w in range(i0, i1)])))
+                if end >= 0:
+                    rows.append((d, h, begin, end, None))
+                x.words = x.joined = x.begin = x.end = None
+                if len(rows) >= FLUSH_ROWS:
+                    yield batch_of(rows)
+                    rows = []
+            yield batch_of(rows)
+
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["doc_id", "row", "first", "last", "windows"])
+
+    return saved(docs.select("doc_id", "row", "text").mapInArrow(stream, "doc_id long, row long, first long, last long, windows binary"), "located")
+
+
+def repeated_spans(located: DataFrame, window: int) -> DataFrame:
     """(doc_id, row, spans): word ranges that also start in a document with a smaller id."""
-    owners = segments.groupBy("key").agg(F.min("doc_id").alias("owner"))
-    owned = segments.select("doc_id", "row", "first", "last", "key").join(owners, "key")
-    whole = owned.where("doc_id > owner").select("doc_id", "row", "first", "last")
-    mixed = segments.where("windows is not null").join(owners, "key").where("doc_id = owner")
-    single = mixed.select("doc_id", "row", "first", F.posexplode("windows").alias("i", "w")).select("doc_id", "row", (F.col("first") + F.col("i")).alias("first"), "w")
-    single = saved(single, "windows")
+    whole = located.where("windows is null").select("doc_id", "row", "first", "last")
+    keys = F.expr("transform(sequence(0, length(windows) div 16 - 1), i -> substring(windows, i * 16 + 1, 16))")
+    single = located.where("windows is not null").select("doc_id", "row", "first", F.posexplode(keys).alias("i", "w")).select("doc_id", "row", (F.col("first") + F.col("i")).alias("first"), "w")
     earliest = single.groupBy("w").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other")).where("owner < other").select("w", "owner")
     alone = single.join(earliest, "w").where("doc_id > owner").select("doc_id", "row", "first", (F.col("first") + window).alias("last"))
     return whole.unionByName(alone).groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
@@ -214,11 +307,11 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window
     an id loses nothing and takes nothing from others; repeated ids are one document,
     so copies under one id stay.  Windows are judged on the input.
     """
-    if not 1 <= phrase <= window:
-        raise ValueError("a phrase must fit into a window")
+    if not 1 <= phrase <= min(8, window):
+        raise ValueError("a phrase has at most 8 words and fits into a window")
     rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("doc_id"), F.xxhash64(docs[f"`{text}`"]).alias("row"), docs[f"`{text}`"].alias("text"))
-    phrases = find_phrases(rows, window, phrase)
-    spans = repeated_spans(locate(rows, compile_automata(phrases, shard_phrases), window, phrase), window)
+    segments = find_segments(rows, window, phrase)
+    spans = repeated_spans(locate(rows, compile_automata(segments, phrase, shard_phrases), store_owners(segments), window, phrase), window)
     joined = rows.join(spans, ["doc_id", "row"], "left").select("doc_id", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +319,7 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window
             for step in steps(batch, 1):
                 out: list[tuple] = []
                 for t, spans in zip(as_bytes(step.column(1)), step.column(2), strict=True):
-                    words, kept = t.split(), t.split()
+                    words = kept = t.split()
                     if spans.is_valid:
                         change = np.zeros(len(words) + 1, np.int64)
                         ends = spans.values
