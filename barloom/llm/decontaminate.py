@@ -4,9 +4,9 @@ Every task takes its documents in shards of a few MB, turns them into integer wo
 ids, sorts the word suffixes that can match (a suffix array), and binary-searches
 every test suffix in it: the suffixes that begin with the wanted number of words form
 one range of the array, the longest verbatim match stands beside the place where the
-whole test suffix would be inserted.  Documents are never shuffled; the benchmark goes
-to the tasks in blocks of at most `BLOCK_WORDS` words, one pass over the documents for
-each block.
+whole test suffix would be inserted.  Documents are never shuffled.  The benchmark
+stands in the shared folder in blocks of about `BLOCK_WORDS` words; a task holds one
+block at a time and takes its documents through all of them.
 
 Pruning that loses nothing: words outside the benchmark's vocabulary share one id that
 no test suffix holds, so a suffix whose run of known words is shorter than the shortest
@@ -16,17 +16,20 @@ window is left out of the array before it is sorted.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts
+from .common import STEP_BYTES, map_texts, new_folder
+from .files import get, make_folder, put
 
 WINDOW = 13
-#: Words of benchmark items that are sent to the executors at once.
+#: Words of benchmark items that a task holds at once.
 BLOCK_WORDS = 2_000_000
 
 #: A-Z become a-z; every byte that is not part of a word becomes a blank.
@@ -241,6 +244,11 @@ def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int) ->
         yield block
 
 
+@lru_cache(maxsize=1)
+def stored_block(path: str) -> TestSet:
+    return pickle.loads(get(path))
+
+
 def find_overlap(docs: DataFrame, benchmark: DataFrame, *, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Columns `keep` of every document, then what it shares with the benchmark.
 
@@ -254,14 +262,23 @@ def find_overlap(docs: DataFrame, benchmark: DataFrame, *, keep: list[str], text
     leaves every document uncontaminated.
     """
     spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(TestSet(b, window)) for b in item_blocks(benchmark, item, item_text, block_words)] or [spark.sparkContext.broadcast(TestSet([], window))]
+    folder = new_folder(spark, "benchmark")
+    make_folder(folder)
+    blocks: list[str] = []
+    for items in item_blocks(benchmark, item, item_text, block_words):
+        blocks.append(f"{folder}/{len(blocks):05d}")
+        put(blocks[-1], pickle.dumps(TestSet(items, window)))
+    if not blocks:
+        blocks = [f"{folder}/none"]
+        put(blocks[0], pickle.dumps(TestSet([], window)))
 
     def judge(texts: list[bytes]) -> list:
-        found = [match_shard(texts, b.value) for b in blocks]
+        found = [match_shard(texts, stored_block(b)) for b in blocks]
         rows = [summary(x[0]["n_words"], list(x)) for x in zip(*found, strict=True)]
         return [list(c) for c in zip(*rows, strict=True)] or [[] for _ in FIELDS]
 
-    return map_texts(docs, text, FIELDS, judge, keep)
+    # With many blocks a task reads each of them for fewer and larger shards.
+    return map_texts(docs, text, FIELDS, judge, keep, STEP_BYTES * min(4, len(blocks)))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
