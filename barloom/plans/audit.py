@@ -63,3 +63,25 @@ def rollup(report: DataFrame) -> DataFrame:
     rank = F.when(F.col("status") == "FAIL", 2).when(F.col("status") == "SKIP_VALUES", 1).otherwise(0)
     worst = F.max(rank)
     return report.agg(F.when(worst == 2, "FAIL").when(worst == 1, "SKIP_VALUES").otherwise("PASS").alias("status"), F.count("*").alias("columns"), F.sum("n_cells").alias("n_cells"), F.sum("null_mismatches").alias("null_mismatches"), F.sum("beyond").alias("beyond"))
+
+
+def audit_features(stored: DataFrame, *, family: str, values: bool = True, absolute: float = 1e-6, relative: float = 1e-9) -> DataFrame:
+    """A stored feature table, which has its bars' columns too, against features computed anew.
+
+    One row for each column of the family: `FAIL` if it is missing or differs,
+    `SKIP_VALUES` if only its presence was asked for, else `PASS`.
+    """
+    from ..operators.registry import family as columns_of
+    from ..sources.bars import SCHEMA
+    from .features import compute
+
+    spark = stored.sparkSession
+    wanted = list(columns_of(family))
+    there = [c for c in wanted if c in stored.columns]
+    empty = "column string, n_cells long, null_mismatches long, infinities long, beyond long, max_abs double, missing long, status string"
+    gone = spark.createDataFrame([(c, 0, 0, 0, 0, None, 0, "FAIL") for c in wanted if c not in there], empty)
+    if not values or not there:
+        return spark.createDataFrame([(c, 0, 0, 0, 0, None, 0, "SKIP_VALUES") for c in there], empty).unionByName(gone)
+    anew = compute(stored.select(*[f.name for f in SCHEMA]), columns=there)
+    report = compare(stored.select(*KEYS, TIME, *there), anew, columns=there, absolute=absolute, relative=relative)
+    return report.select(*gone.columns).unionByName(gone)

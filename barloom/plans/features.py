@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import recursive_sql
 from ..functions.expr import Expr
 from ..functions.kernels import evaluate
 from ..functions.sql import Over, query, stages
@@ -86,7 +87,8 @@ def live_only(history: DataFrame, live: DataFrame, *, start: str, cold_start: bo
 
 
 def sql_text(source: str, columns: list[str] | None = None, families: tuple[str, ...] = FAMILIES, wrap=lambda name: name) -> str:
-    """The same windows as one SELECT for another engine; recursions are left out."""
-    wanted = {k: e for k, e in select(columns, families).items() if not e.scan}
-    inner = query(wanted, OVER, [*KEYS, TIME], f"({source})")
+    """The same columns as one SELECT for another engine; recursions need its WITH RECURSIVE."""
+    wanted = select(columns, families)
+    recursive = any(e.scan for e in wanted.values())
+    inner = f"({recursive_sql.query(wanted, OVER, [*KEYS, TIME], f'({source})')})" if recursive else query(wanted, OVER, [*KEYS, TIME], f"({source})")
     return f"SELECT {', '.join([*KEYS, TIME, *(f'{wrap(n)} AS {n}' for n in wanted)])} FROM {inner} q"

@@ -19,10 +19,12 @@ BOUNDARY = "1997-01-01"
 def quantised(x: str) -> str:
     """Cut to a grid so that engines that sum in another order agree; text for either.
 
-    The grid's steps lie off the halves, where means of decimal prices often fall.
+    The grid's steps lie off the halves, where means of decimal prices often fall.  Of
+    very large values the logarithm is cut.
     """
     k = "0.381966011e0"
-    return f"(CASE WHEN abs({x}) < 1e4 THEN floor({x} * 1e6 + {k}) / 1e6 WHEN abs({x}) < 1e9 THEN floor({x} * 1e2 + {k}) / 1e2 ELSE floor({x} / 1e4 + {k}) * 1e4 END + 0e0)"
+    large = f"WHEN abs({x}) >= 1e15 THEN sign({x}) * floor(ln(abs({x})) * 1e6 + {k}) / 1e6"
+    return f"(CASE {large} WHEN abs({x}) < 1e4 THEN floor({x} * 1e6 + {k}) / 1e6 WHEN abs({x}) < 1e9 THEN floor({x} * 1e2 + {k}) / 1e2 ELSE floor({x} / 1e4 + {k}) * 1e4 END + 0e0)"
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -70,7 +72,7 @@ def _recursive_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def features_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 465 columns of every daily bar."""
-    return compute(B.lineitem_bars(spark, sf_dir))
+    return rounded(compute(B.lineitem_bars(spark, sf_dir)))
 
 
 def features_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,5 +157,7 @@ def oracle_sql() -> dict[str, str]:
     for name in FAMILIES:
         texts[f"features_{name}"] = sql_text(B.LINEITEM_SQL, plain(name), wrap=quantised)
         texts[f"features_{name}_events"] = sql_text(B.events_sql(), plain(name), wrap=quantised)
+        texts[f"recursions_{name}"] = sql_text(B.LINEITEM_SQL, recursive(name), wrap=quantised)
+    texts["features_all"] = sql_text(B.LINEITEM_SQL, wrap=quantised)
     texts["features_live"] = f"SELECT * FROM ({texts['features_excel']}) WHERE trade_time >= TIMESTAMP '{BOUNDARY}'"
     return texts
