@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import free_name, saved
 
-BLOCKS = 256
+#: Hexadecimal digits that name a block: each source has 256 blocks.
+BLOCK_DIGITS = 2
 #: Exponents that one bisection round tries at once, and the rounds: 17 ** -8 is below 2e-10.
 GRID, ROUNDS = 17, 8
 #: Plan tables of at most so many rows are broadcast; larger ones are shuffled.
@@ -85,8 +86,9 @@ def bisect_exponent(totals: DataFrame, *, target_entropy: float | None, max_repe
 
 
 def _block(doc_id: Column, seed: int) -> tuple[Column, Column]:
-    h = F.xxhash64(doc_id.cast("string"), F.lit(seed))
-    return F.pmod(h, F.lit(BLOCKS)), F.shiftrightunsigned(h, 8)
+    """A document's block and its place in the block's order: parts of one digest of its id."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+    return F.substring(h, 1, BLOCK_DIGITS), F.substring(h, BLOCK_DIGITS + 1, 30)
 
 
 def plan(docs: DataFrame, *, target_entropy: float | None = 0.95, max_repeats: float | None = 2.0, budget: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -106,7 +108,7 @@ def plan(docs: DataFrame, *, target_entropy: float | None = 0.95, max_repeats: f
     passes = F.floor(F.col("budget") / F.col("tokens") + 1e-9)
     sources = saved(sources.withColumn("passes", passes).withColumn("rest", F.greatest(F.lit(0.0), F.col("budget") - passes * F.col("tokens"))), "weights")
     blocks = docs.groupBy("source", _block(F.col("doc_id"), seed)[0].alias("block")).agg(F.sum("tokens").alias("tokens"))
-    order = Window.partitionBy("source").orderBy(F.xxhash64("source", "block", F.lit(seed + 1)), "block")
+    order = Window.partitionBy("source").orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("")), F.lit(":"), F.col("block"))), "block")
     ranked = blocks.withColumn("place", F.row_number().over(order)).withColumn("before", F.sum("tokens").over(order) - F.col("tokens"))
     ranked = ranked.join(sources.select("source", "passes", "rest"), ranked["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     left = F.col("rest") - F.col("before")

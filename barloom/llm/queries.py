@@ -76,7 +76,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed, _ = mixing.mix(docs)
-    return mixed.select("doc_id", "source", F.col("__pass").alias("pass"), F.col("__place").alias("block_place"))
+    return mixed.select("doc_id", "source", F.col("__pass").cast("long").alias("pass"), F.col("__place").cast("long").alias("block_place"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,5 +173,49 @@ FROM s GROUP BY conv_id
 """
 
 
+# The bisection as recursions over grids of exponents; p holds the sources' shares.
+_S = "list_sum(list_transform(p, lambda x: exp(({a}) * ln(x))))"
+_ENTROPY = f"(ln({_S}) - list_sum(list_transform(p, lambda x: exp(({{a}}) * ln(x)) * ({{a}}) * ln(x))) / {_S})"
+_REPEATS = f"(exp(({{a}}) * ln(least / total)) / {_S} * (most / (exp(({{a}}) * ln(most / total)) / {_S})) / least)"
+_REACHES = f"{_ENTROPY} >= 0.95e0 * ln(n) - 1e-12"
+_KEEPS = f"{_REPEATS} <= 2e0 + 1e-9"
+
+
+def _grid(good: str, changed: str) -> str:
+    """One round: the first grid point at which `good` has changed."""
+    at = "lo + (hi - lo) * i / 16e0"
+    return f"coalesce(list_min(list_filter(range(1, 17), lambda i: {changed} ({good.format(a=at)}))), 16)"
+
+
+def _search(name: str, start: str, good: str, changed: str) -> str:
+    step = "SELECT k + 1 AS k, lo + (hi - lo) * (j - 1) / 16e0 AS lo, lo + (hi - lo) * j / 16e0 AS hi"
+    return f"{name} AS (SELECT 0 AS k, {start} AS lo, 1e0 AS hi UNION ALL {step} FROM (SELECT k, lo, hi, {_grid(good, changed)} AS j FROM {name}, facts WHERE k < 8))"
+
+
+OP10_SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")})::DOUBLE AS n, md5('17:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+totals AS MATERIALIZED (SELECT source, sum(n) AS tokens FROM d GROUP BY source HAVING sum(n) > 0),
+facts AS MATERIALIZED (SELECT sum(tokens) AS total, count(*) AS n, min(tokens) AS least, max(tokens) AS most, list(tokens / (SELECT sum(tokens) FROM totals) ORDER BY tokens, source) AS p FROM totals),
+{_search("g", "0e0", _REACHES, "NOT")},
+first AS MATERIALIZED (SELECT CASE WHEN {_REACHES.format(a="1e0")} THEN 1e0 ELSE (SELECT lo FROM g WHERE k = 8) END AS a0 FROM facts),
+{_search("q", "(SELECT a0 FROM first)", _KEEPS, "")},
+best AS MATERIALIZED (SELECT CASE WHEN {_KEEPS.format(a="a0")} THEN a0 WHEN {_KEEPS.format(a="1e0")} THEN (SELECT hi FROM q WHERE k = 8) ELSE 1e0 END AS a FROM facts, first),
+weighed AS (SELECT source, tokens, pow(tokens, a) / sum(pow(tokens, a)) OVER () * (pow((SELECT most FROM facts), 1 - a) * sum(pow(tokens, a)) OVER ()) AS budget FROM totals, best),
+w AS MATERIALIZED (SELECT source, tokens, floor(budget / tokens + 1e-9) AS passes, greatest(0, budget - floor(budget / tokens + 1e-9) * tokens) AS rest FROM weighed),
+blocks AS (SELECT source, substr(h, 1, 2) AS block, sum(n) AS tokens FROM d GROUP BY ALL),
+ranked AS (SELECT source, block, tokens, row_number() OVER o AS place, sum(tokens) OVER o - tokens AS before
+  FROM blocks WINDOW o AS (PARTITION BY source ORDER BY md5('17:' || coalesce(source, '') || ':' || block), block)),
+b AS MATERIALIZED (SELECT r.source, block, place, passes, r.tokens, rest - before AS left_ FROM ranked r JOIN w ON r.source IS NOT DISTINCT FROM w.source),
+cut AS (SELECT source, block, max(o) AS cut FROM (
+    SELECT source, block, o, left_, sum(n) OVER (PARTITION BY source, block ORDER BY o) AS upto
+    FROM (SELECT d.source, block, substr(h, 3) AS o, left_, sum(n) AS n FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source AND substr(h, 1, 2) = block WHERE left_ > 0 AND left_ < b.tokens GROUP BY ALL))
+  WHERE upto <= left_ GROUP BY ALL),
+used AS (SELECT d.doc_id, d.source, coalesce(place, 0) AS place,
+    CASE WHEN passes IS NULL THEN 1 ELSE passes + CASE WHEN left_ <= 0 THEN 0 WHEN left_ >= b.tokens THEN 1 WHEN substr(h, 3) <= cut THEN 1 ELSE 0 END END AS copies
+  FROM d LEFT JOIN b ON d.source IS NOT DISTINCT FROM b.source AND substr(h, 1, 2) = b.block LEFT JOIN cut c ON d.source IS NOT DISTINCT FROM c.source AND substr(h, 1, 2) = c.block)
+SELECT doc_id, source, unnest(range(1, copies::BIGINT + 1)) AS pass, place AS block_place FROM used
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op5_warc": OP5_SQL, "op6_licenses": OP6_SQL, "op7_passages": OP7_SQL, "op9_chat": OP9_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op5_warc": OP5_SQL, "op6_licenses": OP6_SQL, "op7_passages": OP7_SQL, "op9_chat": OP9_SQL, "op10_mixing": OP10_SQL}
