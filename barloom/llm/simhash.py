@@ -122,7 +122,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     roots = saved(connected(links(classes.select("fp"), radius, tile)), "roots").withColumnRenamed("node", "fp")
     named = roots.join(classes, "fp").groupBy("root").agg(F.min("least").alias("component"))
     member = roots.join(named, "root").select("fp", "component")
-    whole = classes.join(member, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    # A written table, so that the last join has an exchange on both sides and adaptive
+    # execution can split a fingerprint that very many documents share.
+    whole = saved(classes.join(member, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")), "component-ids")
     return hashed.join(whole, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
