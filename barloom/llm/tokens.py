@@ -12,11 +12,13 @@ File: magic, then one little-endian header of 64-bit counts, then arrays (see `p
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,18 +26,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, new_folder, saved, steps
+from .common import new_folder, saved, steps
 from .files import make_folder, put
 
 END_ID = 2
 #: Tokens after which a file is closed; a document stands in one file.
 FILE_TOKENS = 4_000_000
-#: Distinct pieces of text whose ids a worker remembers.
-MEMO = 400_000
+#: Distinct pieces of text whose ids a worker remembers; the memory is emptied when full.
+MEMO = 900_000
+#: Text bytes whose distinct pieces are looked up together.
+LEARN_BYTES = 8 << 20
 MAGIC = b"DACIDS01"
 _BLOCK = 512
 
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!%$&*#?;:]*)\Z")
+#: A line of plain letters with punctuation behind, or any other line.
+_LINE = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!%$&*#?;:]*)|(.*))$", re.MULTILINE)
+
+
+class _Places(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
 
 
 class Encoder:
@@ -43,73 +56,82 @@ class Encoder:
 
     For a tokenizer that never joins across white space (word ends are marked), a text's
     ids are those of its pieces between blanks and line feeds.  A piece of plain letters
-    with punctuation behind it is two pre-tokens; letters alone end in exactly one
-    token with the word-end mark, so many of them are encoded in one call.
+    with punctuation behind it is two pre-tokens.  Other tokenizers encode whole texts.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(max(vocab.values()) + 8, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        lower = self.tokenizer.encode("Ab", add_special_tokens=False).ids == self.tokenizer.encode("ab", add_special_tokens=False).ids
-        self.by_piece = self.ends.any() and lower and self.tokenizer.encode("ab cd", add_special_tokens=False).ids == [i for x in ("ab", "cd") for i in self.tokenizer.encode(x, add_special_tokens=False).ids]
+        # Byte-level merges see each UTF-8 byte as a printable letter of its own.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [x for x in range(256) if x not in shown]
+        letter = {x: chr(x) for x in shown} | {x: chr(256 + i) for i, x in enumerate(hidden)}
+        high = [chr(x) for x in range(0xC0, 0x100) if x not in (0xD7, 0xF7)]
+        self.byte_letters = {ord(c): "".join(letter[x] for x in c.encode()) for c in high}
+        self.by_piece = self._pieces_suffice(high)
+
         self.memo: dict[str, bytes] = {"": b""}
 
+    def _pieces_suffice(self, high: list[str]) -> bool:
+        """Whether this tokenizer gives a text the ids of its pieces, tried on all letters in question."""
+        plain = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        words = [f"{a}{b}a{b}" for a in "abcxyz" for b in [*map(chr, range(97, 123)), *(c.lower() for c in high)]]
+        got = self._letters(words)
+        whole = [i for w in words for i in np.frombuffer(got[w], "<u4").tolist()]
+        return plain(" ".join(words)) == whole == plain("\n ".join(words).upper().replace("SS", "ß")) and plain("ab,. c") == plain("ab") + plain(",.") + plain("c")
+
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _letters(self, cores: list[str]) -> dict[str, bytes]:
-        got: dict[str, bytes] = {}
-        for i in range(0, len(cores), 4096):
-            part = cores[i : i + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            if len(cut) == len(part):
-                whole, ends = ids.tobytes(), (cut * 4).tolist()
-                got.update(zip(part, (whole[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
-            else:
-                got.update(zip(part, self._each(part), strict=True))
-        return got
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.memo) + len(pieces) > MEMO:
-            self.memo = {"": b""}
-        plain, other = [], []
-        for p in pieces:
-            m = _PLAIN.match(p)
-            if m:
-                plain.append((p, m[1].lower(), m[2]))
-            else:
-                other.append(p)
-        memo = self.memo
-        cores = self._letters(list({c for _, c, _ in plain if c not in memo}))
-        marks = list({m for _, _, m in plain if m and m not in memo})
-        memo.update(zip(marks, self._each(marks), strict=True))
-        memo.update(cores)
-        for p, c, m in plain:
-            memo[p] = (memo[c] + memo[m]) if m else memo[c]
-        memo.update(zip(other, self._each(other), strict=True))
+        """The ids of words of lower-case letters, straight from the merges: such a word is one pre-token."""
+        tokenize, to_bytes = self.tokenizer.model.tokenize, self.byte_letters
+        parts = [[x.id for x in tokenize(w if w.isascii() else w.translate(to_bytes))] for w in cores]
+        whole = np.array(list(chain.from_iterable(parts)), "<u4").tobytes()
+        ends = (np.cumsum([len(x) for x in parts]) * 4).tolist()
+        return {w: whole[a:b] for w, a, b in zip(cores, [0, *ends], ends, strict=False)}
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each of the pieces, which have no line feeds."""
+        rows = _LINE.findall("\n".join(pieces))
+        cores = "\n".join([r[0] for r in rows]).lower().split("\n")
+        ids = self._letters(list(dict.fromkeys(filter(None, cores))))
+        rest = list({x for _, marks, other in rows for x in (marks, other) if x})
+        ids.update(zip(rest, self._each(rest), strict=True))
+        ids[""] = b""
+        return [ids[c] + ids[m] + ids[o] for c, (_, m, o) in zip(cores, rows, strict=True)]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_piece:
+            return [np.frombuffer(x, "<u4") for x in self._each(texts)]
+        places = _Places()
+        number = places.__getitem__
+        used = [np.fromiter(map(number, t.replace("\n", " ").split(" ")), np.int64) for t in texts]
+        pieces = list(places)
+        ids = list(map(self.memo.get, pieces))
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            if len(self.memo) + len(new) > MEMO:
+                self.memo = {"": b""}
+            unknown = [pieces[i] for i in new]
+            learned = self._learn(unknown)
+            self.memo.update(zip(unknown, learned, strict=True))
+            for i, x in zip(new, learned, strict=True):
+                ids[i] = x
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(size) - size
+        own = np.concatenate(used)
+        n = size[own]
+        end = np.cumsum(n)
+        every = flat[np.arange(end[-1]) + np.repeat(start[own] - end + n, n)]
+        cuts = end[np.cumsum([len(x) for x in used]) - 1].tolist()
+        return [every[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.by_piece:
-            return np.frombuffer(self._each([text])[0], "<u4")
-        pieces = text.replace("\n", " ").split(" ")
-        parts = []
-        for i in range(0, len(pieces), 200_000):
-            some = pieces[i : i + 200_000]
-            memo = self.memo
-            new = {p for p in some if p not in memo}
-            if new:
-                self._learn(list(new))
-                if self.memo is not memo:  # it was emptied, so earlier pieces are gone
-                    memo = self.memo
-                    self._learn([p for p in set(some) if p not in memo])
-                    memo = self.memo
-            parts.append(b"".join(map(memo.__getitem__, some)))
-        return np.frombuffer(b"".join(parts), "<u4")
+        return self.encode_all([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -213,7 +235,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
     rows = rows.repartitionByRange(n, "d").sortWithinPartitions("d", F.xxhash64("t"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer).encode_all, TaskContext.get().partitionId()
         names: list[int | None] = []
         ids: list[np.ndarray] = []
         size, done = 0, []
@@ -228,10 +250,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
             size = 0
 
         for batch in batches:
-            for step in steps(batch, 1):
-                for d, t in zip(step.column(0).to_pylist(), as_bytes(step.column(1)), strict=True):
+            for step in steps(batch, 1, LEARN_BYTES):
+                texts = [t or "" for t in step.column(1).to_pylist()]
+                for d, got in zip(step.column(0).to_pylist(), encode(texts), strict=True):
                     names.append(d)
-                    ids.append(np.concatenate([encode(t.decode("utf-8", "replace")), tail]))
+                    ids.append(np.concatenate([got, tail]))
                     size += len(ids[-1])
                     if size >= file_tokens:
                         close()
@@ -261,7 +284,8 @@ def read_tokens(folder: str, files: DataFrame) -> DataFrame:
                 f = TokenFile(blob.as_buffer())
                 ends = f.ends.tolist()
                 starts = [0, *ends[:-1]]
-                crc = [zlib.crc32(f.slice(a, b).astype("<u4").tobytes()) for a, b in zip(starts, ends, strict=True)]
+                ids = memoryview(f.slice(0, f.n_tokens).astype("<u4").tobytes())
+                crc = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(starts, ends, strict=True)]
                 n = len(ends)
                 yield pa.RecordBatch.from_arrays([pa.array([f.part] * n, pa.int64()), pa.array([f.number] * n, pa.int64()), pa.array(f.doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array([b - a for a, b in zip(starts, ends, strict=True)], pa.int64()), pa.array(crc, pa.int64())], names=["part", "number", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
