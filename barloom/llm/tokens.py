@@ -33,9 +33,9 @@ END_ID = 2
 #: Tokens after which a file is closed; a document stands in one file.
 FILE_TOKENS = 4_000_000
 #: Distinct pieces of text whose ids a worker remembers; the memory is emptied when full.
-MEMO = 900_000
+MEMO = 500_000
 #: Text bytes whose distinct pieces are looked up together.
-LEARN_BYTES = 8 << 20
+LEARN_BYTES = 4 << 20
 MAGIC = b"DACIDS01"
 _BLOCK = 512
 
