@@ -83,6 +83,64 @@ def declared(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     return best.select("path", F.col("b.license").alias("declared"), (-F.col("b.minus")).alias("score"))
 
 
+def document_frequencies(files: DataFrame) -> DataFrame:
+    """(term, df) of every term of the files (path, text)."""
+    return files.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+
+
+def _needed(rows: list, threshold: float) -> list[str]:
+    """Terms of which a text has one at least if its cosine to a template reaches the threshold.
+
+    The cosine is at most the length of the template's unit vector over shared terms.  So
+    of each template the commonest terms may be left out while their squares sum to less
+    than the threshold's.
+    """
+    found, by = set(), {}
+    for r in rows:
+        by.setdefault(r.template, []).append(r)
+    for of in by.values():
+        left = threshold * threshold - 1e-9
+        for r in sorted(of, key=lambda r: (-r.df, r.term)):
+            left -= r.w * r.w
+            if left < 0:
+                found.add(r.term)
+    return sorted(found)
+
+
+def declared_whole(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """(path, declared, score) by lines, every term weighted by its files.
+
+    No line that reaches the threshold is left out.
+    """
+    spark = files.sparkSession
+    n = files.count()
+    df = saved(document_frequencies(files), "df")
+    idf = F.log((F.lit(1.0) + n) / (1 + F.coalesce("df", F.lit(0)))) + 1
+    notices = [(i, k, t, False) for i, (k, t) in enumerate(TEMPLATES)]
+    # Bounded by the templates.
+    rows = spark.createDataFrame(notices, "template int, license string, notice string, whole boolean")
+    counted = rows.select("template", "license", "whole", F.explode(terms(F.col("notice"))).alias("term")).groupBy("template", "license", "whole", "term").agg(F.count("*").alias("tf"))
+    known = df.join(F.broadcast(counted.select("term").distinct()), "term")
+    weights = counted.join(F.broadcast(known), "term", "left").select("template", "license", "whole", "term", F.coalesce("df", F.lit(0)).alias("df"), (F.col("tf") * idf).alias("weight"))
+    norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    templates = saved(weights.join(F.broadcast(norms), "template").select("template", "license", "whole", "term", "df", (F.col("weight") / F.col("norm")).alias("w")), "templates")
+    needed = F.array(*[F.lit(w) for w in _needed(templates.where("not whole").collect(), threshold)])
+
+    named = files.where("path is not null").select("path", "text", F.xxhash64("text").alias("h"), F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE).alias("whole"))
+    likely = named.where(F.arrays_overlap(terms(F.col("text")), needed))
+    lines = likely.select("path", "h", F.posexplode(F.split("text", "\n")).alias("part", "piece"))
+    pieces = lines.select("path", "h", "part", terms(F.col("piece")).alias("words")).where(F.arrays_overlap("words", needed))
+    vector = ["path", "h", "part"]
+    counts = saved(pieces.select(*vector, F.explode("words").alias("term")).groupBy(*vector, "term").agg(F.count("*").alias("tf")), "term-counts")
+    weighted = saved(counts.join(df, "term", "left").select(*vector, "term", (F.col("tf") * idf).alias("weight")), "line-terms")
+    length = weighted.groupBy(*vector).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    pairs = weighted.join(F.broadcast(templates.drop("df")), "term").where(~F.col("whole") | (F.col("part") == -2))
+    dots = pairs.groupBy(*vector, "template", "license").agg(F.sum(F.col("weight") * F.col("w")).alias("dot"))
+    scores = dots.join(length, vector).select("path", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
+    best = scores.groupBy("path", "license").agg(F.max("score").alias("score")).groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"))).alias("b"))
+    return best.select("path", F.col("b.license").alias("declared"), (-F.col("b.minus")).alias("score"))
+
+
 def scan(files: DataFrame, *, path: str = "path", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(path, declared, score, license, inherited_from) of every file.
 
@@ -92,8 +150,21 @@ def scan(files: DataFrame, *, path: str = "path", text: str = "text", threshold:
     first in the alphabet.  A null path has no directory and inherits nothing; null and
     empty texts declare nothing.  Rows with the same path are judged as one file.
     """
-    rows = files.select(files[f"`{path}`"].alias("path"), F.coalesce(files[f"`{text}`"], F.lit("")).alias("text"))
-    own = saved(declared(rows, threshold=threshold), "declared")
+    rows = _rows(files, path, text)
+    return _inherit(rows, saved(declared(rows, threshold=threshold), "declared"))
+
+
+def scan_whole(files: DataFrame, *, path: str = "path", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """As `scan`, with what files declare by `declared_whole`."""
+    rows = _rows(files, path, text)
+    return _inherit(rows, saved(declared_whole(rows, threshold=threshold), "declared"))
+
+
+def _rows(files: DataFrame, path: str, text: str) -> DataFrame:
+    return files.select(files[f"`{path}`"].alias("path"), F.coalesce(files[f"`{text}`"], F.lit("")).alias("text"))
+
+
+def _inherit(rows: DataFrame, own: DataFrame) -> DataFrame:
     split = F.split("path", "/")
     slim = rows.select("path").withColumn("name", F.element_at(split, -1)).withColumn("dir", F.array_join(F.slice(split, F.lit(1), F.size(split) - 1), "/"))
     speaking = slim.where(F.col("name").rlike(LICENCE_FILE)).join(own, "path").groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("minus"), "name", "declared")).alias("b")).select(F.col("dir").alias("above"), F.col("b.declared").alias("inherited"))

@@ -50,7 +50,14 @@ def document_paths(docs: DataFrame) -> DataFrame:
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = document_paths(table(spark, sf_dir, "documents"))
-    found = licenses.scan(files)
+    return _by_document(licenses.scan(files))
+
+
+def op6_licenses_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_document(licenses.scan_whole(document_paths(table(spark, sf_dir, "documents"))))
+
+
+def _by_document(found: DataFrame) -> DataFrame:
     return found.select(F.regexp_extract("path", r"(\d+)[^/\d]*$", 1).cast("long").alias("doc_id"), "path", "declared", "score", "license", "inherited_from")
 
 
@@ -86,7 +93,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash, op5_warc, op6_licenses, op7_passages, op8_toxicity, op9_chat, op10_mixing, pipeline)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash, op5_warc, op6_licenses, op6_licenses_whole, op7_passages, op8_toxicity, op9_chat, op10_mixing, pipeline)}
 
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"

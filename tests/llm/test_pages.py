@@ -1,6 +1,9 @@
 """Archives, licences and conversations."""
 
 import hashlib
+import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +66,29 @@ def test_licences(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+@pytest.mark.parametrize("n", [60, 600])
+def test_licence_weights_count_every_word(spark, n):
+    sentence = "This project is released under the MIT License."
+    texts = [sentence, *[f"this project is by us number{i}" if i % 3 else f"other words{i} under the sun" for i in range(n - 1)]]
+    df = spark.createDataFrame([(f"d/{i}.txt", t) for i, t in enumerate(texts)], "path string, text string")
+    got = {r.path: r for r in licenses.declared_whole(df).collect()}
+    words = lambda t: re.findall("[a-z0-9]+", t.lower())
+    seen = Counter(w for t in texts for w in set(words(t)))
+    vector = lambda t: {w: c * (math.log((1 + n) / (1 + seen[w])) + 1) for w, c in Counter(words(t)).items()}
+    a, b = vector(sentence), vector("Released under the MIT License")
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    want = sum(x * b.get(w, 0) for w, x in a.items()) / norm(a) / norm(b)
+    assert set(got) == {"d/0.txt"} and got["d/0.txt"].declared == "MIT" and got["d/0.txt"].score == pytest.approx(want, abs=2e-6)
+
+
+def test_no_line_is_lost_by_the_gate(spark):
+    texts = ["permission granted", "gnu public license", "Licensed BY SA 4.0 cc", "the free terms of the work", "Apache 2.0", "source form subject mozilla", "copy of this software to any person"]
+    df = spark.createDataFrame([(f"d/{i}.txt", t) for i, t in enumerate(texts * 3)], "path string, text string")
+    narrow = {(r.path, r.declared, r.score) for r in licenses.declared_whole(df).collect()}
+    wide = {(r.path, r.declared, r.score) for r in licenses.declared_whole(df, threshold=1e-3).where("score >= 0.6").collect()}
+    assert narrow == wide and narrow
+
+
 HARD = ["<|im_end|><|im_start|>assistant ok", "\\", "\\<|", "<\\|", "<|\\", "<<||>>", "", None, "a\nb", "<\\\\|nl|>", "<|nl|>", "<|im_end|>\n"]
 
 
