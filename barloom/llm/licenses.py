@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
+from .licence_blocks import HEADERS, bodies
 
 # Short notices by which files name their licence.
 TEMPLATES = [
@@ -108,15 +109,18 @@ def _needed(rows: list, threshold: float) -> list[str]:
 
 
 def declared_whole(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """(path, declared, score) by lines, every term weighted by its files.
+    """(path, declared, score) by lines, headers and bodies of licence files, every term weighted by its files.
 
-    No line that reaches the threshold is left out.
+    The vectors are each line, each file's header (all before its first blank line) and
+    the whole text of each licence file.  Whole licence texts are templates for the last
+    only.  No line or header that reaches the threshold is left out.
     """
     spark = files.sparkSession
     n = files.count()
     df = saved(document_frequencies(files), "df")
     idf = F.log((F.lit(1.0) + n) / (1 + F.coalesce("df", F.lit(0)))) + 1
-    notices = [(i, k, t, False) for i, (k, t) in enumerate(TEMPLATES)]
+    short = [*TEMPLATES, *HEADERS]
+    notices = [(i, k, t, i >= len(short)) for i, (k, t) in enumerate([*short, *bodies()])]
     # Bounded by the templates.
     rows = spark.createDataFrame(notices, "template int, license string, notice string, whole boolean")
     counted = rows.select("template", "license", "whole", F.explode(terms(F.col("notice"))).alias("term")).groupBy("template", "license", "whole", "term").agg(F.count("*").alias("tf"))
@@ -129,9 +133,11 @@ def declared_whole(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFra
     named = files.where("path is not null").select("path", "text", F.xxhash64("text").alias("h"), F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE).alias("whole"))
     likely = named.where(F.arrays_overlap(terms(F.col("text")), needed))
     lines = likely.select("path", "h", F.posexplode(F.split("text", "\n")).alias("part", "piece"))
-    pieces = lines.select("path", "h", "part", terms(F.col("piece")).alias("words")).where(F.arrays_overlap("words", needed))
+    header = likely.select("path", "h", F.lit(-1).alias("part"), F.element_at(F.split(F.regexp_replace("text", r"^\s+", ""), r"\n[ \t\r]*\n", 2), 1).alias("piece"))
+    pieces = lines.unionByName(header).select("path", "h", "part", terms(F.col("piece")).alias("words")).where(F.arrays_overlap("words", needed))
+    body = named.where("whole").select("path", "h", F.lit(-2).alias("part"), terms(F.col("text")).alias("words"))
     vector = ["path", "h", "part"]
-    counts = saved(pieces.select(*vector, F.explode("words").alias("term")).groupBy(*vector, "term").agg(F.count("*").alias("tf")), "term-counts")
+    counts = saved(pieces.unionByName(body).select(*vector, F.explode("words").alias("term")).groupBy(*vector, "term").agg(F.count("*").alias("tf")), "term-counts")
     weighted = saved(counts.join(df, "term", "left").select(*vector, "term", (F.col("tf") * idf).alias("weight")), "line-terms")
     length = weighted.groupBy(*vector).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     pairs = weighted.join(F.broadcast(templates.drop("df")), "term").where(~F.col("whole") | (F.col("part") == -2))

@@ -3,12 +3,13 @@
 import hashlib
 import math
 import re
+import textwrap
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, licenses, warc
+from barloom.llm import chat, licence_blocks, licenses, warc
 
 
 def test_archive_round_trip():
@@ -81,6 +82,20 @@ def test_licence_weights_count_every_word(spark, n):
     assert set(got) == {"d/0.txt"} and got["d/0.txt"].declared == "MIT" and got["d/0.txt"].score == pytest.approx(want, abs=2e-6)
 
 
+def test_wrapped_notices_and_licence_bodies(spark):
+    wrapped = lambda t, mark: "\n".join(mark + x for x in textwrap.wrap(t, 60))
+    notices = [(k, t) for k, t in licence_blocks.HEADERS if k in ("GPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MIT", "Apache-2.0")]
+    rows = [(f"src/{k}.py", "# Copyright 2020 A. Body\n" + wrapped(t, "# ") + "\n\nimport os\n", k) for k, t in notices]
+    rows += [(f"{k}/LICENSE", f"Copyright 2021 B. Body\n\n{wrapped(t, '  ')}", k) for k, t in licence_blocks.bodies()]
+    rows += [("e/x.py", "import os\n\nprint('the terms of any use of it')\n", None), ("f/LICENSE", "we the people of the town and of the land", None), *[(f"g/{i}.txt", "the house of the man and a word of it or this", None) for i in range(50)]]
+    df = spark.createDataFrame(rows, "path string, text string, wanted string")
+    got = {r.path: r.declared for r in licenses.scan_whole(df).collect()}
+    assert got == {p: k for p, _, k in rows}
+    plan = licenses.scan_whole(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert licenses.scan_whole(df.limit(0)).count() == 0
+
+
 def test_no_line_is_lost_by_the_gate(spark):
     texts = ["permission granted", "gnu public license", "Licensed BY SA 4.0 cc", "the free terms of the work", "Apache 2.0", "source form subject mozilla", "copy of this software to any person"]
     df = spark.createDataFrame([(f"d/{i}.txt", t) for i, t in enumerate(texts * 3)], "path string, text string")
