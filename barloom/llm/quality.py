@@ -10,6 +10,7 @@ documents; scoring is one pass over all whole texts without a shuffle.
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,8 +20,8 @@ from pyspark.sql import types as T
 
 from .common import map_texts
 
-#: Bounds of the training sample: documents, and lines of each of them.
-TRAIN_DOCS, TRAIN_LINES = 3000, 60
+#: Documents of the training sample, and lines that one training step pads and holds at once.
+TRAIN_DOCS, TRAIN_STEP = 3000, 200_000
 CONTENT_SHARE = 0.5
 
 _BYTE = np.arange(256)
@@ -182,37 +183,15 @@ def fit_chain(docs: list[tuple[int, np.ndarray]], rounds: int = 150, rate: float
     n_f = len(FEATURES)
     if len({y for y, _ in docs}) < 2:  # nothing to tell apart: everything is content
         return Chain(np.zeros((n_f, 2)), np.zeros((2, 2)), np.array([-1.0, 1.0]))
-    longest = max(len(x) for _, x in docs)
-    X, mask = np.zeros((len(docs), longest, n_f)), np.zeros((len(docs), longest), bool)
-    for i, (_, x) in enumerate(docs):
-        X[i, : len(x)], mask[i, : len(x)] = x, True
+    docs.sort(key=lambda d: len(d[1]))  # stable
     y = np.array([y for y, _ in docs])
     weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
-    weight = weight / mask.sum(1)  # each document counts once
-    gold = np.zeros((len(docs), longest, 2))
-    gold[np.arange(len(docs)), :, y] = 1
+    weight = weight / np.array([len(x) for _, x in docs])  # each document counts once
+    batches = similar([len(x) for _, x in docs])
     theta = [np.zeros((n_f, 2)), np.zeros((2, 2)), np.zeros(2)]
     m, v = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
-    lse = lambda z, axis: (top := z.max(axis, keepdims=True)).squeeze(axis) + np.log(np.exp(z - top).sum(axis))
     for k in range(1, rounds + 1):
-        W, S, B = theta
-        emit = X @ W
-        alpha, beta = np.zeros_like(emit), np.zeros_like(emit)
-        alpha[:, 0] = emit[:, 0] + B
-        for t in range(1, longest):
-            nxt = lse(alpha[:, t - 1, :, None] + S, 1) + emit[:, t]
-            alpha[:, t] = np.where(mask[:, t, None], nxt, alpha[:, t - 1])
-        total = lse(alpha[:, -1], 1)
-        for t in range(longest - 2, -1, -1):
-            nxt = lse(S + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-            beta[:, t] = np.where(mask[:, t + 1, None], nxt, beta[:, t + 1])
-        p = np.exp(alpha + beta - total[:, None, None]) * mask[..., None]
-        diff = (gold * mask[..., None] - p) * weight[:, None, None]
-        pair = np.exp(alpha[:, :-1, :, None] + S + (emit + beta)[:, 1:, None, :] - total[:, None, None, None]) * (mask[:, 1:] * weight[:, None])[..., None, None]
-        true = np.zeros((2, 2))
-        for s in (0, 1):
-            true[s, s] = (mask[:, 1:].sum(1) * weight)[y == s].sum()
-        grads = [np.einsum("ntf,nts->fs", X, diff), true - pair.sum((0, 1)), diff[:, 0].sum(0)]
+        grads = [sum(g) for g in zip(*(gradient(theta, [x for _, x in docs[b:e]], y[b:e], weight[b:e]) for b, e in batches), strict=True)]
         for i, g in enumerate(grads):
             g = g / len(docs) - l2 * theta[i]
             m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.99 * v[i] + 0.01 * g * g
@@ -220,11 +199,51 @@ def fit_chain(docs: list[tuple[int, np.ndarray]], rounds: int = 150, rate: float
     return Chain(*theta)
 
 
-def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_docs: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES) -> Chain:
+def similar(sizes: list[int], step: int = TRAIN_STEP) -> list[tuple[int, int]]:
+    """Ranges of ascending sizes, padded to less than about twice and at most `step` together, one size at least."""
+    found, b = [], 0
+    for e in range(1, len(sizes) + 1):
+        if e == len(sizes) or sizes[e] > 2 * sizes[b] + 8 or sizes[e] * (e + 1 - b) > step:
+            found.append((b, e))
+            b = e
+    return found
+
+
+def gradient(theta: list[np.ndarray], xs: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+    """Gradient of the weighted log-likelihood, summed over documents of similar length."""
+    W, S, B = theta
+    longest = max(map(len, xs))
+    X, mask = np.zeros((len(xs), longest, len(W))), np.zeros((len(xs), longest), bool)
+    for i, x in enumerate(xs):
+        X[i, : len(x)], mask[i, : len(x)] = x, True
+    gold = np.zeros((len(xs), longest, 2))
+    gold[np.arange(len(xs)), :, y] = 1
+    lse = lambda z, axis: (top := z.max(axis, keepdims=True)).squeeze(axis) + np.log(np.exp(z - top).sum(axis))
+    emit = X @ W
+    alpha, beta = np.zeros_like(emit), np.zeros_like(emit)
+    alpha[:, 0] = emit[:, 0] + B
+    for t in range(1, longest):
+        nxt = lse(alpha[:, t - 1, :, None] + S, 1) + emit[:, t]
+        alpha[:, t] = np.where(mask[:, t, None], nxt, alpha[:, t - 1])
+    total = lse(alpha[:, -1], 1)
+    for t in range(longest - 2, -1, -1):
+        nxt = lse(S + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
+        beta[:, t] = np.where(mask[:, t + 1, None], nxt, beta[:, t + 1])
+    p = np.exp(alpha + beta - total[:, None, None]) * mask[..., None]
+    diff = (gold * mask[..., None] - p) * weight[:, None, None]
+    pair = np.exp(alpha[:, :-1, :, None] + S + (emit + beta)[:, 1:, None, :] - total[:, None, None, None]) * (mask[:, 1:] * weight[:, None])[..., None, None]
+    true = np.zeros((2, 2))
+    for s in (0, 1):
+        true[s, s] = (mask[:, 1:].sum(1) * weight)[y == s].sum()
+    return [np.einsum("ntf,nts->fs", X, diff), true - pair.sum((0, 1)), diff[:, 0].sum(0)]
+
+
+def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_docs: int = TRAIN_DOCS) -> Chain:
     """Fit the chain on a bounded sample of labelled documents, chosen by a hash of their ids.
 
-    Only line features leave the executors: at most max_docs * max_lines * 12 numbers.
-    The sample is broadcast to the documents; its size is max_docs rows.
+    All lines of the chosen documents are used.  Only their features, 12 numbers a line,
+    leave the executors, one partition at a time; the driver keeps them in a file.  The
+    sample is broadcast to the documents; its size is max_docs rows.
     """
     sample = (
         labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{doc_id}`").isNotNull())
@@ -237,10 +256,19 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     def features(texts: list[bytes]) -> list:
         x = lines_of(texts)
         ends = [*x.first[1:].tolist(), len(x.line_words)]
-        return [[x.features[b : min(e, b + max_lines)].ravel().astype(np.float32) for b, e in zip(x.first.tolist(), ends, strict=True)]]
-
-    got = map_texts(rows, "t", fields, features, ["sample_id", "sample_label"]).orderBy("sample_id").toPandas()
-    return fit_chain([(int(y), np.array(x, float).reshape(-1, len(FEATURES))) for y, x in zip(got.sample_label, got.lines, strict=True)])
+        return [[x.features[b:e].ravel().astype(np.float32) for b, e in zip(x.first.tolist(), ends, strict=True)]]
+
+    got = map_texts(rows, "t", fields, features, ["sample_id", "sample_label"]).orderBy("sample_id")
+    sizes, truth = [], []
+    with tempfile.TemporaryFile() as file:
+        for row in got.toLocalIterator():
+            np.array(row.lines, np.float32).tofile(file)
+            sizes.append(len(row.lines) // len(FEATURES))
+            truth.append(int(row.sample_label))
+        file.flush()
+        flat = np.memmap(file, np.float32, "r").reshape(-1, len(FEATURES)) if sum(sizes) else np.zeros((0, len(FEATURES)))
+        ends = np.cumsum(sizes).tolist()
+        return fit_chain([(y, flat[e - n : e]) for y, n, e in zip(truth, sizes, ends, strict=True)])
 
 
 FIELDS = [

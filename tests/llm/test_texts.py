@@ -133,6 +133,31 @@ def test_viterbi_is_the_best_path():
         assert tuple(got[b:e]) == best
 
 
+def test_training_reads_all_lines(spark):
+    line = lambda i, j: prose(8, 1000 * i + j)
+    head = [[line(i, j) for j in range(60)] for i in range(8)]
+    good = [(i, "\n".join(h + [line(i, 100 + j) for j in range(20)])) for i, h in enumerate(head)]
+    bad = [(10 + i, "\n".join(h + ["%% | ## | $$ home"] * 140)) for i, h in enumerate(head)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d < 10)) for d, _ in good + bad], "doc_id long, quality int")
+    chain = quality.train(docs, labels)
+    x = quality.lines_of([("\n".join(["%% | ## | $$ home"] * 30)).encode(), good[0][1].encode()])
+    got = chain.viterbi(x.features, x.first)
+    assert not got[:30].any() and got[30:].mean() > 0.9
+
+
+def test_gradient_does_not_depend_on_batches():
+    r = np.random.default_rng(4)
+    sizes = sorted(r.integers(1, 300, 40).tolist())
+    xs, y, w = [r.normal(size=(n, 12)) for n in sizes], r.integers(0, 2, 40), r.random(40)
+    theta = [r.normal(size=(12, 2)), r.normal(size=(2, 2)), r.normal(size=2)]
+    ranges = quality.similar(sizes, 2000)
+    assert [i for b, e in ranges for i in range(b, e)] == list(range(40)) and len(ranges) > 3
+    some = [quality.gradient(theta, xs[b:e], y[b:e], w[b:e]) for b, e in ranges]
+    for whole, parts in zip(quality.gradient(theta, xs, y, w), zip(*some, strict=True), strict=True):
+        assert np.allclose(whole, sum(parts))
+
+
 def test_quality_of_labelled_documents(spark):
     table = lambda n: spark.read.parquet(f"{SMALL}/{n}.parquet")
     labels = table("labels")
