@@ -211,7 +211,7 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def summary(n_words: int, found: list[dict]) -> tuple:
     spans = merge([x for f in found for x in f["spans"]])
-    items = sorted({x for f in found for x in f["items"]})
+    items = sorted({x for f in found for x in f["items"] if x is not None})
     n_hit = sum(e - s for s, e in spans)
     best = min(found, key=lambda f: (-f["longest"], f["longest_start"] or 0), default={"longest": 0, "longest_start": None, "longest_item": None})
     return n_words, n_hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), n_hit > 0 and 20 * n_hit >= n_words, best["longest"], best["longest_start"], best["longest_item"]
@@ -230,10 +230,10 @@ FIELDS = [
 
 
 def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int) -> Iterator[list[tuple[str, bytes]]]:
-    """Items in blocks of bounded size; rows without an id or a text have no windows."""
+    """Items in blocks of bounded size; rows without a text have no windows."""
     block: list[tuple[str, bytes]] = []
     size = 0
-    rows = benchmark.where(F.col(f"`{item}`").isNotNull() & F.col(f"`{text}`").isNotNull()).select(F.col(f"`{item}`").cast("string").alias("i"), F.encode(F.col(f"`{text}`"), "UTF-8").alias("t"))
+    rows = benchmark.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{item}`").cast("string").alias("i"), F.encode(F.col(f"`{text}`"), "UTF-8").alias("t"))
     for row in rows.toLocalIterator():
         block.append((row.i, bytes(row.t)))
         size += len(words(block[-1][1]))
@@ -257,8 +257,8 @@ def find_overlap(docs: DataFrame, benchmark: DataFrame, *, keep: list[str], text
     window, n_items the items with an occurring window; longest_match, longest_start and
     longest_item tell the longest verbatim match of a test suffix and where it begins.
 
-    Null or empty texts have no words.  Items without id or text are skipped; equal ids
-    count as one item.  Repeated documents are judged row by row.  An empty benchmark
+    Null or empty texts have no words.  Items without text are skipped; those without
+    id count for n_hit, but not as items.  Equal ids count as one item.  Repeated documents are judged row by row.  An empty benchmark
     leaves every document uncontaminated.
     """
     spark = docs.sparkSession

@@ -82,6 +82,13 @@ def test_decontamination(spark, docs, none, block):
     assert decontaminate.find_overlap(none, bench, keep=["doc_id"]).count() == 0
 
 
+def test_items_without_an_id_contaminate(spark, docs):
+    bench = spark.createDataFrame([(None, prose(30, 6)), (None, prose(40, 7)), (7, prose(49, 3))], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.find_overlap(docs, bench, keep=["doc_id"]).where("doc_id in (4, 10)").collect()}
+    assert got[10].contaminated and got[10].n_hit >= 70 and got[10].n_items == 0 and got[10].items_sha256 == hashlib.sha256(b"").hexdigest()
+    assert got[4].contaminated and got[4].n_items == 1
+
+
 def test_suffix_array_is_sorted():
     r = np.random.default_rng(1)
     t = np.concatenate([r.integers(0, 4, 500), np.zeros(60, int)]).astype(np.int64)
