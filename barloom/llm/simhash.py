@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, saved
+from .common import free_name, map_texts, saved
 from .components import connected
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -119,22 +119,32 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """
     hashed = saved(with_fingerprint(docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{text}`"].alias("t")), keep=["doc_id"], text="t"), "fingerprints")
     classes = saved(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = saved(connected(links(classes.select("fp"), radius, tile)), "roots").withColumnRenamed("node", "fp")
-    named = roots.join(classes, "fp").groupBy("root").agg(F.min("least").alias("component"))
-    member = roots.join(named, "root").select("fp", "component")
+    member = _roots(classes, radius, tile)
+    named = member.join(classes, "fp").groupBy("root").agg(F.min("least").alias("component"))
+    member = member.join(named, "root").select("fp", "component")
     # A written table, so that the last join has an exchange on both sides and adaptive
     # execution can split a fingerprint that very many documents share.
     whole = saved(classes.join(member, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")), "component-ids")
     return hashed.join(whole, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def _roots(classes: DataFrame, radius: int, tile: int) -> DataFrame:
+    """(fp, root) of the fingerprints that have links."""
+    return saved(connected(links(classes.select("fp"), radius, tile)), "roots").withColumnRenamed("node", "fp")
+
+
+def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """One document of each component: the one with the smallest id, with its own columns only.
 
-    Of repeated rows with that id, one stays (any of them if they differ elsewhere).
+    Where rows of one component share that id, the smallest hash of the text stays, and
+    of rows with equal texts any.  Rows of other components stay even if they share it.
     Rows without an id all stay, as nothing can name the one of a group.
     """
-    found = near_duplicates(docs, doc_id=doc_id, text=text, **options)
-    stay = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rows = docs.join(stay, docs[f"`{doc_id}`"] == stay["doc_id"], "left_semi")
-    return rows.dropDuplicates([doc_id]).unionByName(docs.where(docs[f"`{doc_id}`"].isNull()))
+    hashed = with_fingerprint(docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{text}`"].alias("t"), F.xxhash64(docs[f"`{text}`"]).alias("h")), keep=["doc_id", "h"], text="t")
+    classes = saved(hashed.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h"))).alias("first")), "classes")
+    whole = classes.join(_roots(classes, radius, tile), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    stay = saved(whole.where("first is not null").select(F.col("first.doc_id").alias("doc_id"), F.col("first.h").alias("h")), "stay")
+    h = free_name(docs, "h")
+    rows = docs.withColumn(h, F.xxhash64(docs[f"`{text}`"]))
+    rows = rows.join(stay, (rows[f"`{doc_id}`"] == stay["doc_id"]) & (rows[f"`{h}`"] == stay["h"]), "left_semi")
+    return rows.dropDuplicates([doc_id, h]).drop(h).unionByName(docs.where(docs[f"`{doc_id}`"].isNull()))

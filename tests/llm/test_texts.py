@@ -177,6 +177,13 @@ def test_quality_of_labelled_documents(spark):
 # --- tokens --------------------------------------------------------------------
 
 
+def test_repeated_ids_lose_no_component(spark):
+    a, b, c = prose(300, 21), prose(300, 22), prose(300, 23)
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, b), (5, c), (4, c), (None, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(df).collect()) == sorted([(1, a), (1, b), (4, c), (0, c)])
+
+
 def test_codes_round_trip():
     r = np.random.default_rng(3)
     ids = [r.integers(0, m, n).astype(np.uint32) for m, n in ((200, 700), (49_000, 1500), (1 << 31, 900), (5, 0), (300, 1))]
