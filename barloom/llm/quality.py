@@ -3,9 +3,17 @@
 Two verdicts meet.  The base rules count words, symbols, repeated lines and repeated
 five-word windows of the whole text.  The chain labels every line as content or
 boilerplate (Viterbi decoding over line features); a document is kept if enough of its
-words stand in content lines.  The chain has two states and is trained here by
-gradient ascent on the exact log-likelihood, on at most `TRAIN_DOCS` labelled
-documents; scoring is one pass over all whole texts without a shuffle.
+words stand in content lines.
+
+Nobody labels lines, so the states of the training lines are hidden.  What is seen of a
+line is noisy: the label of its document, which a line contradicts with the odds
+`LABEL_ODDS`, and hints of boilerplate (bars, symbols, shouting, a line or a word said
+again) with the odds `HINT_ODDS`.  Gradient ascent maximises the probability of what is
+seen, summed over all paths of hidden states: each step is the difference between the
+expectations with and without it.  So a good page may hold a navigation bar and a bad
+one a sentence, and the steps between states are learned from such pages.  Training uses at
+most `TRAIN_DOCS` labelled documents; scoring is one pass over all whole texts without a
+shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +31,8 @@ from .common import map_texts
 #: Documents of the training sample, and lines that one training step pads and holds at once.
 TRAIN_DOCS, TRAIN_STEP = 3000, 200_000
 CONTENT_SHARE = 0.5
+#: Odds that a line is of the kind that its document's label, or a hint, says.
+LABEL_ODDS, HINT_ODDS = 3.0, 12.0
 
 _BYTE = np.arange(256)
 _SPACE = np.isin(_BYTE, [9, 10, 11, 12, 13, 32])
@@ -177,23 +187,40 @@ class Chain:
         return np.array(best, bool)
 
 
-def fit_chain(docs: list[tuple[int, np.ndarray]], rounds: int = 150, rate: float = 0.1, l2: float = 1e-3) -> Chain:
-    """Maximise the chain's log-likelihood; docs: (label of the lines, features of the lines)."""
+def hinted(features: np.ndarray) -> np.ndarray:
+    """Lines with a hint of boilerplate: bars, symbols, shouting, a line or a word said again."""
+    f = dict(zip(FEATURES, features.T, strict=True))
+    return (f["repeated_line"] > 0) | (f["bars"] >= 0.4) | (f["symbols"] >= 0.4) | (f["capitals"] >= 1.6) & (f["marks"] >= 0.5) | (f["same_word"] >= 1)
+
+
+def seen(label: int, features: np.ndarray) -> np.ndarray:
+    """Log odds, for content, of what is seen of each line of a document."""
+    return (1.0 if label else -1.0) * np.log(LABEL_ODDS) - np.log(HINT_ODDS) * hinted(features)
+
+
+def fit_chain(docs: list[tuple[int, np.ndarray]], rounds: int = 120, rate: float = 0.1, l2: tuple[float, float, float] = (1e-3, 3e-2, 3e-2)) -> Chain:
+    """Maximise the log-likelihood of what is seen; docs: (label of the document, features of its lines).
+
+    Both labels weigh the same together, and each document as much as any of its label.
+    l2, of the weights, steps and starts, is larger for steps, so that lines speak before
+    their neighbours do.
+    Without documents of both labels there is nothing to tell apart: every line is content.
+    """
     docs = [(y, x) for y, x in docs if len(x)]
     n_f = len(FEATURES)
-    if len({y for y, _ in docs}) < 2:  # nothing to tell apart: everything is content
+    if len({y for y, _ in docs}) < 2:
         return Chain(np.zeros((n_f, 2)), np.zeros((2, 2)), np.array([-1.0, 1.0]))
     docs.sort(key=lambda d: len(d[1]))  # stable
     y = np.array([y for y, _ in docs])
     weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
-    weight = weight / np.array([len(x) for _, x in docs])  # each document counts once
-    batches = similar([len(x) for _, x in docs])
+    weight = weight / np.array([len(x) for _, x in docs])
+    batches = [Padded([x for _, x in docs[b:e]], [seen(y, x) for y, x in docs[b:e]], weight[b:e]) for b, e in similar([len(x) for _, x in docs])]
     theta = [np.zeros((n_f, 2)), np.zeros((2, 2)), np.zeros(2)]
     m, v = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
     for k in range(1, rounds + 1):
-        grads = [sum(g) for g in zip(*(gradient(theta, [x for _, x in docs[b:e]], y[b:e], weight[b:e]) for b, e in batches), strict=True)]
+        grads = [sum(g) for g in zip(*(gradient(theta, b) for b in batches), strict=True)]
         for i, g in enumerate(grads):
-            g = g / len(docs) - l2 * theta[i]
+            g = g / len(docs) - l2[i] * theta[i]
             m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.99 * v[i] + 0.01 * g * g
             theta[i] = theta[i] + rate * (m[i] / (1 - 0.9**k)) / (np.sqrt(v[i] / (1 - 0.99**k)) + 1e-8)
     return Chain(*theta)
@@ -209,33 +236,54 @@ def similar(sizes: list[int], step: int = TRAIN_STEP) -> list[tuple[int, int]]:
     return found
 
 
-def gradient(theta: list[np.ndarray], xs: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
-    """Gradient of the weighted log-likelihood, summed over documents of similar length."""
+class Padded:
+    """Documents of ascending length side by side: line, document."""
+
+    def __init__(self, xs: list[np.ndarray], seen: list[np.ndarray], weight: np.ndarray):
+        size = np.array([len(x) for x in xs])
+        self.n, self.longest, self.weight = len(xs), int(size.max()), weight
+        at = np.concatenate([np.arange(k) for k in size]), np.repeat(np.arange(self.n), size)
+        self.features = np.zeros((self.longest, self.n, xs[0].shape[1]))
+        self.features[at] = np.concatenate(xs)
+        self.seen = np.zeros((self.longest, self.n))
+        self.seen[at] = np.concatenate(seen)
+        self.mask = np.zeros((self.longest, self.n))
+        self.mask[at] = 1
+        #: The first document that has line t.
+        self.first = np.searchsorted(size, np.arange(self.longest), "right").tolist()
+
+
+def marginals(emit: np.ndarray, step: np.ndarray, start: np.ndarray, first: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of each line's state and of each pair of neighbours' states (line, document, ...)."""
+    E, S = np.exp(emit - emit.max(-1, keepdims=True)), np.exp(step - step.max())
+    alpha, beta = np.ones_like(E), np.ones_like(E)
+    alpha[0] = E[0] * np.exp(start - start.max())
+    alpha[0] /= alpha[0].sum(-1, keepdims=True)
+    for t in range(1, len(E)):
+        k = first[t]
+        a = (alpha[t - 1, k:] @ S) * E[t, k:]
+        alpha[t, k:] = a / a.sum(-1, keepdims=True)
+    for t in range(len(E) - 2, -1, -1):
+        k = first[t + 1]
+        b = (E[t + 1, k:] * beta[t + 1, k:]) @ S.T
+        beta[t, k:] = b / b.sum(-1, keepdims=True)
+    one = alpha * beta
+    two = alpha[:-1, :, :, None] * S * (E * beta)[1:, :, None, :]
+    return one / one.sum(-1, keepdims=True), two / two.sum((-2, -1), keepdims=True)
+
+
+def gradient(theta: list[np.ndarray], docs: Padded) -> list[np.ndarray]:
+    """Gradient of the weighted log-likelihood of what is seen: expectations given it, less those of the chain alone."""
     W, S, B = theta
-    longest = max(map(len, xs))
-    X, mask = np.zeros((len(xs), longest, len(W))), np.zeros((len(xs), longest), bool)
-    for i, x in enumerate(xs):
-        X[i, : len(x)], mask[i, : len(x)] = x, True
-    gold = np.zeros((len(xs), longest, 2))
-    gold[np.arange(len(xs)), :, y] = 1
-    lse = lambda z, axis: (top := z.max(axis, keepdims=True)).squeeze(axis) + np.log(np.exp(z - top).sum(axis))
-    emit = X @ W
-    alpha, beta = np.zeros_like(emit), np.zeros_like(emit)
-    alpha[:, 0] = emit[:, 0] + B
-    for t in range(1, longest):
-        nxt = lse(alpha[:, t - 1, :, None] + S, 1) + emit[:, t]
-        alpha[:, t] = np.where(mask[:, t, None], nxt, alpha[:, t - 1])
-    total = lse(alpha[:, -1], 1)
-    for t in range(longest - 2, -1, -1):
-        nxt = lse(S + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-        beta[:, t] = np.where(mask[:, t + 1, None], nxt, beta[:, t + 1])
-    p = np.exp(alpha + beta - total[:, None, None]) * mask[..., None]
-    diff = (gold * mask[..., None] - p) * weight[:, None, None]
-    pair = np.exp(alpha[:, :-1, :, None] + S + (emit + beta)[:, 1:, None, :] - total[:, None, None, None]) * (mask[:, 1:] * weight[:, None])[..., None, None]
-    true = np.zeros((2, 2))
-    for s in (0, 1):
-        true[s, s] = (mask[:, 1:].sum(1) * weight)[y == s].sum()
-    return [np.einsum("ntf,nts->fs", X, diff), true - pair.sum((0, 1)), diff[:, 0].sum(0)]
+    free = docs.features @ W
+    given = free.copy()
+    given[..., 1] += docs.seen
+    both = np.stack([given, free], 2).reshape(docs.longest, 2 * docs.n, 2)
+    one, two = marginals(both, S, B, [2 * k for k in docs.first])
+    weight = docs.mask * docs.weight
+    diff = np.einsum("tnks,tn,k->tns", one.reshape(docs.longest, docs.n, 2, 2), weight, [1, -1])
+    pair = np.einsum("tnkij,tn,k->ij", two.reshape(-1, docs.n, 2, 2, 2), weight[1:], [1, -1])
+    return [np.einsum("tnf,tns->fs", docs.features, diff), pair, diff[0].sum(0)]
 
 
 def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_docs: int = TRAIN_DOCS) -> Chain:
@@ -243,7 +291,10 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
 
     All lines of the chosen documents are used.  Only their features, 12 numbers a line,
     leave the executors, one partition at a time; the driver keeps them in a file.  The
-    sample is broadcast to the documents; its size is max_docs rows.
+    sample is broadcast to the documents; its size is max_docs rows.  Rows of labels
+    without an id or a label are left out; of several for one id the larger label counts.
+    Labels of one kind only, or none, teach nothing: then every line is content and the
+    base rules decide alone.
     """
     sample = (
         labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{doc_id}`").isNotNull())
