@@ -12,15 +12,19 @@ with a smaller id.  The job has four steps, each a Spark job over whole texts:
    `SHARD_PHRASES` each; the segments become sorted look-up tables, sharded too.  Both
    are files in the shared folder.
 3. All documents stream through every automaton, which locates each occurrence of a
-   phrase; at a located anchor the segment is looked up, and goes whole if its words
-   belong to a smaller id.
-4. Exact check of single windows, where one anchor has different segments (the edges of
+   phrase.  An occurrence is extended to the windows that it anchors; their segment is
+   looked up, and goes whole if its words belong to a smaller id.  A task loads an
+   automaton once for about `BLOCK_BYTES` of text.
+4. Check of single windows, where one anchor has different segments (the edges of
    a passage, near copies): only a segment's first owner brings in its windows, as
    128-bit keys, which are grouped and joined back.
 
-The automata hold words as letters of a 64-letter alphabet, because the library
-searches a node's edges one after another; a false match costs a comparison and is
-refused by the exact check.
+Words are 64-bit hashes of all their bytes, computed for many texts at once.  The automata
+hold words as letters of a 64-letter alphabet, because the library searches a node's
+edges one after another; a false match has a segment that no table has.  Segments are told
+apart by a 64-bit sum of their words' hashes beside the 48 bits of their phrase, single
+windows by two such sums: of two different ones with the same phrase one pair in 2 ** 64
+would be taken for equal.
 """
 
 from __future__ import annotations
@@ -28,10 +32,10 @@ from __future__ import annotations
 import hashlib
 import pickle
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,30 +47,32 @@ WINDOW, PHRASE = 50, 8
 SHARD_PHRASES = 100_000
 #: About so many segments make a look-up table, of 24 bytes each.
 SHARD_SEGMENTS = 1_000_000
+#: Text bytes that are read into words together, and that meet an automaton together.
+READ_BYTES, BLOCK_BYTES = 4 << 20, 48 << 20
 #: Rows after which a task hands on what it has.
 FLUSH_ROWS = 2000
-_KNOWN_WORDS = 300_000
 
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_FACTOR, _OTHER = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+#: Ends a document in a string of letters.
+_END = ord("\n")
 
-class _Hashes(dict):
-    """64-bit hashes of words, remembered."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KNOWN_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+def mixed_bits(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
 
-_FACTOR = 0x9E3779B97F4A7C15
-_INVERSE = pow(_FACTOR, -1, 1 << 64)
+@lru_cache(maxsize=4)
+def _powers(base: int, size: int) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 ... base ** (n - 1) modulo 2 ** 64."""
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    return _powers(base, 1 << max(16, (n - 1).bit_length()))[:n]
 
 
 def smallest(values: np.ndarray, span: int) -> np.ndarray:
@@ -78,79 +84,102 @@ def smallest(values: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(values[:n], values[span - width : span - width + n])
 
 
-class Text:
-    """A document's words and windows."""
-
-    def __init__(self, text: bytes, hashes: _Hashes, window: int = WINDOW, phrase: int = PHRASE):
-        self.words = text.split()
-        n = len(self.words)
-        self.n_windows = max(0, n - window + 1)
-        self.window = window
-        if not self.n_windows:
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word of the texts, one text after the other, and how many each text has."""
+    joined = b"\n".join(texts) + b"\n" + bytes(8)
+    raw = np.frombuffer(joined, np.uint8)
+    space = _SPACE[raw[:-8]]
+    edge = np.flatnonzero(np.diff(space, prepend=True))
+    begin, end = edge[::2], edge[1::2]
+    size = end - begin
+    eight = np.ndarray(len(raw) - 7, "<u8", joined, strides=(1,))
+    h = mixed_bits(size.astype(np.uint64) * np.uint64(_FACTOR))
+    at, left = np.arange(len(begin)), size
+    while len(at):
+        chunk = eight[begin[at] + (size[at] - left)]
+        short = left < 8
+        chunk[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+        h[at] = mixed_bits((h[at] ^ chunk) * np.uint64(_FACTOR))
+        more = left > 8
+        at, left = at[more], left[more] - 8
+    length = np.fromiter(map(len, texts), np.int64, len(texts))
+    first = np.searchsorted(begin, np.cumsum(length + 1) - length - 1)
+    return h, np.diff(first, append=len(begin))
+
+
+class Words:
+    """Words of many texts side by side, each text with an end behind it, and their windows."""
+
+    def __init__(self, texts: list[bytes], window: int = WINDOW, phrase: int = PHRASE):
+        h, self.counts = word_hashes(texts)
+        self.window, self.phrase = window, phrase
+        n = len(h) + len(texts)
+        stop = np.cumsum(self.counts + 1) - 1
+        #: Of each text: where its words begin.
+        self.begin = stop - self.counts
+        is_word = np.ones(n, bool)
+        is_word[stop] = False
+        self.hash = np.zeros(n, np.uint64)
+        self.hash[is_word] = h
+        self.letters = np.full(n, _END, np.uint8)
+        self.letters[is_word] = (h & np.uint64(63)).astype(np.uint8) + np.uint8(48)
+        left = np.repeat(stop, self.counts + 1) - np.arange(n)
+        starts = np.flatnonzero(left >= window)
+        if not len(starts):
+            self.first = self.last = self.anchor = np.zeros(0, np.int64)
             return
-        self.hash = np.fromiter(map(hashes.__getitem__, self.words), np.uint64, n)
         order = np.zeros(n - phrase + 1, np.uint64)
         for j in range(phrase):
             order = order * np.uint64(_FACTOR) + self.hash[j : n - phrase + 1 + j]
-        order ^= order >> np.uint64(29)
-        order *= np.uint64(0xBF58476D1CE4E5B9)
         # The hash above, the place below: the leftmost of equals is the least.
-        order = (order & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(order), dtype=np.uint64)
-        anchor = (smallest(order, window - phrase + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        order = (mixed_bits(order) & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(order), dtype=np.uint64)
+        anchor = (smallest(order, window - phrase + 1)[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         new = np.flatnonzero(np.diff(anchor, prepend=-1))
-        #: Of each segment: its first window, the window behind its last, its anchor.
-        self.first, self.last, self.anchor = new, np.append(new[1:], self.n_windows), anchor[new]
+        #: Of each segment: its first window, the window behind its last, its anchor; ascending.
+        self.first, self.last, self.anchor = starts[new], starts[np.append(new[1:], len(starts)) - 1] + 1, anchor[new]
 
-    def letters(self) -> np.ndarray:
-        """One letter, an ASCII code, for each word."""
-        return ((self.hash & np.uint64(63)) + np.uint64(48)).astype(np.uint8)
+    def text_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.begin, at, "right") - 1
 
-    def sums(self) -> np.ndarray:
-        """64 bits of each segment's words and of its anchor's place in them."""
+    def sums(self, first: np.ndarray, stop: np.ndarray, factor: int = _FACTOR) -> np.ndarray:
+        """64 bits of the words [first, stop), wherever they stand."""
         n = len(self.hash)
+        own = self.hash if factor == _FACTOR else mixed_bits(self.hash + np.uint64(factor))
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.hash * powers(_FACTOR, n), out=total[1:])
-        stop = self.last + self.window - 1
-        return (total[stop] - total[self.first]) * powers(_INVERSE, n)[self.first] + (self.anchor - self.first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-
-    def place(self) -> None:
-        """Make slices of the words joined by blanks addressable."""
-        self.joined = b" ".join(self.words)
-        size = np.fromiter(map(len, self.words), np.int64, len(self.words)) + 1
-        end = np.cumsum(size) - 1
-        self.begin, self.end = (end - size + 1).tolist(), end.tolist()
+        np.cumsum(own * powers(factor, n), out=total[1:])
+        return (total[stop] - total[first]) * powers(pow(factor, -1, 1 << 64), n)[first]
 
-    def key(self, start: int, stop: int, at: int = 0) -> bytes:
-        """128 bits of the words [start, stop) and of the anchor's place in them."""
-        return xxhash.xxh3_128_digest(self.joined[self.begin[start] : self.end[stop - 1]], at)
+    def keys(self) -> np.ndarray:
+        """Of each segment: its words, and its anchor's place in them."""
+        place = (self.anchor - self.first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        return (self.sums(self.first, self.last + self.window - 1) + place).view(np.int64)
 
+    def phrases(self) -> np.ndarray:
+        """The letters of each segment's anchor, packed into a long."""
+        out = np.zeros((len(self.anchor), 8), np.uint8)
+        out[:, : self.phrase] = self.letters[self.anchor[:, None] + np.arange(self.phrase)]
+        return out.view("<i8").ravel()
 
-def phrase_numbers(letters: np.ndarray, at: np.ndarray, phrase: int) -> np.ndarray:
-    """The phrases' letters, packed into a long each."""
-    out = np.zeros((len(at), 8), np.uint8)
-    out[:, :phrase] = letters[at[:, None] + np.arange(phrase)]
-    return out.view("<i8").ravel()
+    def windows(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """For each range of windows, 128 bits of the words of each of them."""
+        n = last - first
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        both = np.stack([self.sums(at, at + self.window, f) for f in (_FACTOR, _OTHER)], axis=1).astype("<u8").tobytes()
+        ends = (16 * np.cumsum(n)).tolist()
+        return [both[b:e] for b, e in zip([0, *ends], ends, strict=False)]
 
 
 def find_segments(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """Distinct segments (phrase, key) with the smallest and the largest id that has them."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in batches:
-            for step in steps(batch, 1):
-                ids, phrases, keys = [], [], []
-                for d, t in zip(step.column(0).to_pylist(), as_bytes(step.column(1)), strict=True):
-                    x = Text(t, hashes, window, phrase)
-                    if d is None or not x.n_windows:
-                        continue
-                    ids.append(np.full(len(x.anchor), d, np.int64))
-                    phrases.append(phrase_numbers(x.letters(), x.anchor, phrase))
-                    keys.append(x.sums().view(np.int64))
-                columns = [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (ids, phrases, keys)]
+            for step in steps(batch, 1, READ_BYTES):
+                x = Words(as_bytes(step.column(1)), window, phrase)
+                columns = [step.column(0).take(pa.array(x.text_of(x.first))), pa.array(x.phrases()), pa.array(x.keys())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "phrase", "key"])
 
-    found = docs.select("doc_id", "text").mapInArrow(anchors, "doc_id long, phrase long, key long")
+    found = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(anchors, "doc_id long, phrase long, key long")
     return saved(found.groupBy("phrase", "key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")), "segments")
 
 
@@ -197,9 +226,14 @@ def store_owners(segments: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> l
     return stored_shards(segments.where("owner < last"), "key", shard_segments, "owners", make)
 
 
+@lru_cache(maxsize=1)
+def owner_table(path: str) -> np.ndarray:
+    return np.frombuffer(get(path), "<i8").reshape(3, -1)
+
+
 def owners_of(path: str, keys: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether a table has each segment, and the smallest id of it."""
-    rows = np.frombuffer(get(path), "<i8").reshape(3, -1)
+    rows = owner_table(path)
     at = np.searchsorted(rows[0], keys)
     found, owner = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
     todo = np.arange(len(keys))
@@ -213,80 +247,110 @@ def owners_of(path: str, keys: np.ndarray, phrases: np.ndarray) -> tuple[np.ndar
     return found, owner
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str):
+    return pickle.loads(get(path))
+
+
+def occurrences(letters: str, automaton) -> tuple[np.ndarray, np.ndarray]:
+    """Where the automaton's phrases end in the letters, and their values."""
+    found = np.fromiter((x for hit in automaton.iter(letters) for x in hit), np.int64)
+    return found[::2], found[1::2]
+
+
+class Part:
+    """Texts that were read together, and what the automata report in them."""
+
+    def __init__(self, ids: list[int], rows: list[int], texts: list[bytes], window: int, phrase: int):
+        self.ids, self.rows, self.words = np.array(ids, np.int64), np.array(rows, np.int64), Words(texts, window, phrase)
+        self.letters = self.words.letters.tobytes().decode("ascii")
+        self.ends: list[np.ndarray] = []
+        self.values: list[np.ndarray] = []
+
+    def scan(self, automaton) -> None:
+        for got, kept in zip(occurrences(self.letters, automaton), (self.ends, self.values), strict=True):
+            kept.append(got)
+
+    def extend(self) -> None:
+        """The segments that the reported occurrences anchor, as places in the segments' list."""
+        w = self.words
+        places = np.concatenate(self.ends) - w.phrase + 1
+        at = np.searchsorted(w.anchor, places)
+        anchors = at < len(w.anchor)
+        anchors[anchors] = w.anchor[at[anchors]] == places[anchors]
+        self.segments, self.mixed = at[anchors], np.concatenate(self.values)[anchors] > 0
+        order = np.argsort(self.segments)
+        self.segments, self.mixed = self.segments[order], self.mixed[order]
+        self.keys, self.phrases = w.keys()[self.segments], w.phrases()[self.segments]
+        self.text = w.text_of(w.first[self.segments])
+        self.known, self.owner = np.zeros(len(self.segments), bool), np.zeros(len(self.segments), np.int64)
+
+    def look_up(self, path: str) -> None:
+        found, owner = owners_of(path, self.keys, self.phrases)
+        self.known |= found
+        self.owner[found] = owner[found]
+
+    def spans(self) -> Iterator[pa.RecordBatch]:
+        """(doc_id, row, first, last, windows); see `locate`."""
+        w = self.words
+        later = self.known & (self.owner < self.ids[self.text])
+        s, text = self.segments[later], self.text[later]
+        first, stop = w.first[s], w.last[s] + w.window - 1
+        new = np.ones(len(s), bool)  # a span that the one before does not reach
+        new[1:] = (first[1:] > stop[:-1]) | (text[1:] != text[:-1])
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(s)) - 1
+        yield from self._batches(text[begin], first[begin], stop[end], None)
+        open_ = self.mixed & ~later
+        s, text = self.segments[open_], self.text[open_]
+        for i in range(0, len(s), FLUSH_ROWS):
+            own = s[i : i + FLUSH_ROWS]
+            yield from self._batches(text[i : i + FLUSH_ROWS], w.first[own], w.last[own] + w.window - 1, w.windows(w.first[own], w.last[own]))
+
+    def _batches(self, text: np.ndarray, first: np.ndarray, stop: np.ndarray, windows: list[bytes] | None) -> Iterator[pa.RecordBatch]:
+        offset = self.words.begin[text]
+        columns = [self.ids[text], self.rows[text], first - offset, stop - offset, windows if windows is not None else [None] * len(text)]
+        if len(text):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names=["doc_id", "row", "first", "last", "windows"])
+
+
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+
+
 def locate(docs: DataFrame, automata: list[str], tables: list[str], window: int, phrase: int) -> DataFrame:
     """(doc_id, row, first, last, windows) of all documents: spans of words that belong to a smaller
     id (windows is null), and segments of first owners with the 128-bit keys of their windows."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        block: list[Part] = []
+        size = 0
         for batch in batches:
-            texts = batch.column(2).cast(pa.large_binary())
-            read, letters, numbers = [], [], []
-            for d, t in zip(batch.column(0).to_pylist(), texts, strict=True):
-                x = Text(t.as_buffer().to_pybytes() if t.is_valid else b"", hashes, window, phrase)
-                if d is not None and x.n_windows:
-                    own = x.letters()
-                    x.keys = x.sums().view(np.int64)
-                    numbers.append(phrase_numbers(own, x.anchor, phrase))
-                    letters.append(own.tobytes().decode("ascii"))
-                else:
-                    letters.append("")
-                x.words = x.hash = None
-                read.append(x)
-            # One pass over the automata for each batch; a batch is bounded by the session.
-            found: list[dict[int, int]] = [{} for _ in read]
-            for path in automata:
-                automaton = pickle.loads(get(path))
-                for s, hits in zip(letters, found, strict=True):
-                    if s:
-                        hits.update(automaton.iter(s))
-                del automaton
-            some = [x for x, s in zip(read, letters, strict=True) if s]
-            keys = np.concatenate([x.keys for x in some]) if some else np.zeros(0, np.int64)
-            phrases = np.concatenate(numbers) if numbers else keys
-            known, owner = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-            for path in tables:
-                a, b = owners_of(path, keys, phrases)
-                known |= a
-                owner[a] = b[a]
-            rows: list[tuple] = []
-            at = 0
-            for i, (d, h, x, hits) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), read, found, strict=True)):
-                if not letters[i]:
-                    continue
-                n = len(x.anchor)
-                later = (known[at : at + n] & (owner[at : at + n] < d)).tolist()
-                at += n
-                begin = end = -1
-                for k, (i0, i1, p) in enumerate(zip(x.first.tolist(), x.last.tolist(), x.anchor.tolist(), strict=True)):
-                    mixed = hits.get(p + phrase - 1)
-                    if mixed is None:
-                        continue
-                    if later[k]:
-                        if i0 > end:
-                            if end >= 0:
-                                rows.append((d, h, begin, end, None))
-                            begin = i0
-                        end = i1 + window - 1
-                    elif mixed:
-                        if not x.words:
-                            x.words = texts[i].as_buffer().to_pybytes().split()
-                            x.place()
-                        rows.append((d, h, i0, i1 + window - 1, b"".join([x.key(w, w + window) for w in range(i0, i1)])))
-                if end >= 0:
-                    rows.append((d, h, begin, end, None))
-                x.words = x.joined = x.begin = x.end = None
-                if len(rows) >= FLUSH_ROWS:
-                    yield batch_of(rows)
-                    rows = []
-            yield batch_of(rows)
-
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["doc_id", "row", "first", "last", "windows"])
-
-    return saved(docs.select("doc_id", "row", "text").mapInArrow(stream, "doc_id long, row long, first long, last long, windows binary"), "located")
+            for step in steps(batch, 2, READ_BYTES):
+                texts = as_bytes(step.column(2))
+                block.append(Part(step.column(0).to_pylist(), step.column(1).to_pylist(), texts, window, phrase))
+                size += sum(map(len, texts))
+                if size >= BLOCK_BYTES:
+                    yield from found_in(block)
+                    block, size = [], 0
+        yield from found_in(block)
+
+    def found_in(block: list[Part]) -> Iterator[pa.RecordBatch]:
+        block = [p for p in block if len(p.words.anchor)]
+        if not block or not automata:
+            return
+        for path in automata:
+            for part in block:
+                part.scan(loaded(path))
+        for part in block:
+            part.extend()
+        for path in tables:
+            for part in block:
+                part.look_up(path)
+        for part in block:
+            yield from part.spans()
+
+    rows = docs.where("doc_id is not null").select("doc_id", "row", "text")
+    return saved(rows.mapInArrow(stream, "doc_id long, row long, first long, last long, windows binary"), "located")
 
 
 def repeated_spans(located: DataFrame, window: int) -> DataFrame:
