@@ -48,7 +48,7 @@ SHARD_PHRASES = 100_000
 #: About so many segments make a look-up table, of 24 bytes each.
 SHARD_SEGMENTS = 1_000_000
 #: Text bytes that are read into words together, and that meet an automaton together.
-READ_BYTES, BLOCK_BYTES = 4 << 20, 48 << 20
+READ_BYTES, BLOCK_BYTES = 2 << 20, 48 << 20
 #: Rows after which a task hands on what it has.
 FLUSH_ROWS = 2000
 
@@ -63,7 +63,7 @@ def mixed_bits(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=8)
 def _powers(base: int, size: int) -> np.ndarray:
     out = np.full(size, base, np.uint64)
     out[:1] = 1
@@ -72,7 +72,7 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 ... base ** (n - 1) modulo 2 ** 64."""
-    return _powers(base, 1 << max(16, (n - 1).bit_length()))[:n]
+    return _powers(base, 1 << max(18, (n - 1).bit_length()))[:n]
 
 
 def smallest(values: np.ndarray, span: int) -> np.ndarray:
@@ -226,14 +226,8 @@ def store_owners(segments: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> l
     return stored_shards(segments.where("owner < last"), "key", shard_segments, "owners", make)
 
 
-@lru_cache(maxsize=1)
-def owner_table(path: str) -> np.ndarray:
-    return np.frombuffer(get(path), "<i8").reshape(3, -1)
-
-
-def owners_of(path: str, keys: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def owners_of(rows: np.ndarray, keys: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether a table has each segment, and the smallest id of it."""
-    rows = owner_table(path)
     at = np.searchsorted(rows[0], keys)
     found, owner = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
     todo = np.arange(len(keys))
@@ -247,11 +241,6 @@ def owners_of(path: str, keys: np.ndarray, phrases: np.ndarray) -> tuple[np.ndar
     return found, owner
 
 
-@lru_cache(maxsize=1)
-def loaded(path: str):
-    return pickle.loads(get(path))
-
-
 def occurrences(letters: str, automaton) -> tuple[np.ndarray, np.ndarray]:
     """Where the automaton's phrases end in the letters, and their values."""
     found = np.fromiter((x for hit in automaton.iter(letters) for x in hit), np.int64)
@@ -263,7 +252,7 @@ class Part:
 
     def __init__(self, ids: list[int], rows: list[int], texts: list[bytes], window: int, phrase: int):
         self.ids, self.rows, self.words = np.array(ids, np.int64), np.array(rows, np.int64), Words(texts, window, phrase)
-        self.letters = self.words.letters.tobytes().decode("ascii")
+        self.letters = self.words.letters.tobytes().decode("ascii")  # an end keeps matches inside a text
         self.ends: list[np.ndarray] = []
         self.values: list[np.ndarray] = []
 
@@ -285,8 +274,8 @@ class Part:
         self.text = w.text_of(w.first[self.segments])
         self.known, self.owner = np.zeros(len(self.segments), bool), np.zeros(len(self.segments), np.int64)
 
-    def look_up(self, path: str) -> None:
-        found, owner = owners_of(path, self.keys, self.phrases)
+    def look_up(self, table: np.ndarray) -> None:
+        found, owner = owners_of(table, self.keys, self.phrases)
         self.known |= found
         self.owner[found] = owner[found]
 
@@ -299,8 +288,7 @@ class Part:
         new = np.ones(len(s), bool)  # a span that the one before does not reach
         new[1:] = (first[1:] > stop[:-1]) | (text[1:] != text[:-1])
         begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(s)) - 1
-        yield from self._batches(text[begin], first[begin], stop[end], None)
+        yield from self._batches(text[begin], first[begin], stop[np.append(begin[1:] - 1, len(s) - 1)[: len(begin)]], None)
         open_ = self.mixed & ~later
         s, text = self.segments[open_], self.text[open_]
         for i in range(0, len(s), FLUSH_ROWS):
@@ -338,14 +326,18 @@ def locate(docs: DataFrame, automata: list[str], tables: list[str], window: int,
         block = [p for p in block if len(p.words.anchor)]
         if not block or not automata:
             return
-        for path in automata:
+        for path in automata:  # one in memory at a time, and none in an idle worker
+            automaton = pickle.loads(get(path))
             for part in block:
-                part.scan(loaded(path))
+                part.scan(automaton)
+            del automaton
         for part in block:
             part.extend()
         for path in tables:
+            table = np.frombuffer(get(path), "<i8").reshape(3, -1)
             for part in block:
-                part.look_up(path)
+                part.look_up(table)
+            del table
         for part in block:
             yield from part.spans()
 

@@ -373,6 +373,23 @@ def test_passages_of_few_words(spark):
         assert sorted(got) == sorted(removed(rows_, window))
 
 
+def test_passages_whose_owner_is_read_alone(spark):
+    """Tasks that find recurring phrases but nothing to remove, and the other way round."""
+    shared = prose(120, 31)
+    texts = [(i, prose(60, 40 + i) + " " + shared if i in (0, 7) else prose(200, 40 + i)) for i in range(8)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    assert sorted(tuple(x) for x in passages.dedup(df).drop("kept").collect()) == sorted(removed(texts))
+
+
+def test_word_hashes_tell_words_apart():
+    texts = ["", "a a\0 a\0\0 b", " \n", "x" * 7 + " " + "x" * 8 + " " + "x" * 9 + " é ée " + "y" * 5000 + " " + "y" * 5001, "a"]
+    h, n = passages.word_hashes([t.encode() for t in texts])
+    words = [w for t in texts for w in re.findall("[^\x20\x09-\x0d]+", t)]
+    assert n.tolist() == [0, 4, 0, 7, 1] and len(h) == len(words)
+    assert len({w: x for w, x in zip(words, h.tolist(), strict=True)}) == len(set(words)) == len(set(h.tolist()))
+    assert h[0] == h[-1]
+
+
 # --- toxicity ------------------------------------------------------------------
 
 
