@@ -11,7 +11,7 @@ the order of their hash.
 The corpus is read for two small tables: tokens by source, and tokens by source and
 block.  The choice of a document then depends on its own row and its source's and
 block's numbers, so texts are never sorted and a source that holds a third of all rows
-is spread over its blocks.
+is spread over its blocks.  Tokens are words between white space, not ids of a tokenizer.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from .common import free_name, saved
 
-#: Hexadecimal digits that name a block: each source has 256 blocks.
-BLOCK_DIGITS = 2
+#: Hexadecimal digits that name a block at least; a source of more documents than fill so
+#: many blocks of BLOCK_DOCS has more digits.
+BLOCK_DIGITS, BLOCK_DOCS = 2, 1 << 20
 #: Exponents that one bisection round tries at once, and the rounds: 17 ** -8 is below 2e-10.
 GRID, ROUNDS = 17, 8
 #: Plan tables of at most so many rows are broadcast; larger ones are shuffled.
@@ -60,7 +61,7 @@ def bisect_exponent(totals: DataFrame, *, target_entropy: float | None, max_repe
             s, t = row[2 * i], row[2 * i + 1]
             entropy = math.log(s) - t / s
             # used tokens / own tokens is largest for the smallest source
-            spent = budget if budget else most / (math.exp(a * math.log(most / total)) / s)
+            spent = budget if budget is not None else most / (math.exp(a * math.log(most / total)) / s)
             out.append((entropy, math.exp(a * math.log(least / total)) / s * spent / least))
         return out
 
@@ -85,13 +86,21 @@ def bisect_exponent(totals: DataFrame, *, target_entropy: float | None, max_repe
     return alpha
 
 
-def _block(doc_id: Column, seed: int) -> tuple[Column, Column]:
-    """A document's block and its place in the block's order: parts of one digest of its id."""
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
-    return F.substring(h, 1, BLOCK_DIGITS), F.substring(h, BLOCK_DIGITS + 1, 30)
+def _digest(doc_id: Column, seed: int) -> Column:
+    """A digest of a document's id: its first digits name the block, all of it is the place in the block."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
 
 
-def plan(docs: DataFrame, *, target_entropy: float | None = 0.95, max_repeats: float | None = 2.0, budget: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def _block(digest: Column, digits: Column) -> Column:
+    return F.substr(digest, F.lit(1), digits)
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """rows, broadcast only after a count."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
+def plan(docs: DataFrame, *, target_entropy: float | None = 0.95, max_repeats: float | None = 2.0, budget: int | None = None, seed: int = SEED, block_docs: int = BLOCK_DOCS) -> tuple[DataFrame, DataFrame]:
     """From docs (doc_id, source, tokens): sources with their weights, and blocks with their passes.
 
     Without a budget it is the smallest one that uses every document at least once.
@@ -101,23 +110,24 @@ def plan(docs: DataFrame, *, target_entropy: float | None = 0.95, max_repeats: f
     all_, raised, most = totals.agg(F.sum("tokens"), F.sum(F.pow(F.col("tokens").cast("double"), F.lit(alpha))), F.max("tokens")).first()
     if all_ is None:
         all_, raised, most = 0, 1.0, 0
-    spent = float(budget) if budget else (most ** (1 - alpha) * raised if most else 0.0)
+    spent = float(budget) if budget is not None else (most ** (1 - alpha) * raised if most else 0.0)
     weight = F.pow(F.col("tokens").cast("double"), F.lit(alpha)) / F.lit(raised)
-    sources = totals.select("source", "tokens", "documents", weight.alias("weight"), F.lit(alpha).alias("exponent"), (weight * spent).alias("budget"))
+    digits = F.greatest(F.lit(BLOCK_DIGITS), F.ceil(F.log(16.0, F.col("documents") / block_docs))).cast("int")
+    sources = totals.select("source", "tokens", "documents", digits.alias("digits"), weight.alias("weight"), F.lit(alpha).alias("exponent"), (weight * spent).alias("budget"))
     # Rounding must not cost a source its first or last whole pass.
     passes = F.floor(F.col("budget") / F.col("tokens") + 1e-9)
     sources = saved(sources.withColumn("passes", passes).withColumn("rest", F.greatest(F.lit(0.0), F.col("budget") - passes * F.col("tokens"))), "weights")
-    blocks = docs.groupBy("source", _block(F.col("doc_id"), seed)[0].alias("block")).agg(F.sum("tokens").alias("tokens"))
+    rows = docs.select(F.col("source").alias("s"), _digest(F.col("doc_id"), seed).alias("h"), F.col("tokens").alias("n"))
+    of = _small(sources.select("source", "digits", "passes", "rest"))
+    rows = rows.join(of, rows["s"].eqNullSafe(of["source"])).withColumn("b", _block(F.col("h"), F.col("digits")))
+    blocks = rows.groupBy("source", F.col("b").alias("block"), "passes", "rest").agg(F.sum("n").alias("tokens"))
     order = Window.partitionBy("source").orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("")), F.lit(":"), F.col("block"))), "block")
     ranked = blocks.withColumn("place", F.row_number().over(order)).withColumn("before", F.sum("tokens").over(order) - F.col("tokens"))
-    ranked = ranked.join(sources.select("source", "passes", "rest"), ranked["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     left = F.col("rest") - F.col("before")
     ranked = saved(ranked.select("source", "block", "place", "passes", "tokens", F.when(left <= 0, 0).when(left >= F.col("tokens"), 1).otherwise(2).alias("extra"), left.alias("left")), "blocks")
     # The block in which a source's budget ends: documents in hash order while the budget lasts.
-    last = ranked.where("extra = 2")
-    block, h = _block(F.col("doc_id"), seed)
-    rows = docs.select(F.col("source").alias("s"), block.alias("b"), h.alias("h"), F.col("tokens").alias("n"))
-    inside = _near(rows, last.select("source", "block", "left"), ["s", "b"], ["source", "block"])
+    last = _small(ranked.where("extra = 2").select(F.col("source").alias("s2"), F.col("block").alias("b2"), "left"))
+    inside = rows.select("s", "b", "h", "n").join(last, F.col("s").eqNullSafe(F.col("s2")) & (F.col("b") == F.col("b2")))
     by_hash = inside.groupBy("s", "b", "h", "left").agg(F.sum("n").alias("n"))
     spent_at = F.sum("n").over(Window.partitionBy("s", "b").orderBy("h"))
     cut = by_hash.withColumn("upto", spent_at).where("upto <= left").groupBy("s", "b").agg(F.max("h").alias("cut"))
@@ -125,40 +135,29 @@ def plan(docs: DataFrame, *, target_entropy: float | None = 0.95, max_repeats: f
     return sources, saved(final, "plan")
 
 
-def _near(rows: DataFrame, small: DataFrame, left: list[str], right: list[str]) -> DataFrame:
-    """Inner join on keys that may be null; the small side is broadcast only after a count."""
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    on = [rows[a].eqNullSafe(small[b]) for a, b in zip(left, right, strict=True)]
-    condition = on[0]
-    for c in on[1:]:
-        condition = condition & c
-    return rows.join(small, condition)
-
-
-def realise(docs: DataFrame, blocks: DataFrame, *, doc_id: str = "doc_id", source: str = "source", seed: int = SEED) -> DataFrame:
+def realise(docs: DataFrame, sources: DataFrame, blocks: DataFrame, *, doc_id: str = "doc_id", source: str = "source", seed: int = SEED) -> DataFrame:
     """docs, each row once for every pass that uses it, with __pass and __place (of its block).
 
-    Documents of a source without tokens are in no budget; they stay once.
+    Documents of a source without tokens are in no budget; they stay once.  Where docs has
+    a column __pass or __place, the new one has more underscores behind.
     """
-    block, h = _block(docs[f"`{doc_id}`"], seed)
-    b, hh, s = (free_name(docs, x) for x in ("__block", "__hash", "__source"))
-    rows = docs.withColumn(b, block).withColumn(hh, h)
-    small = blocks.select(F.col("source").alias(s), F.col("block").alias("__b"), F.col("place").alias("__place"), F.col("passes").alias("__passes"), F.col("extra").alias("__extra"), F.col("cut").alias("__cut"))
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    joined = rows.join(small, rows[f"`{source}`"].eqNullSafe(small[s]) & (rows[b] == small["__b"]), "left")
-    copies = F.coalesce(F.col("__passes") + F.when(F.col("__extra") == 1, 1).when((F.col("__extra") == 2) & (F.col(hh) <= F.col("__cut")), 1).otherwise(0), F.lit(1)).cast("int")
-    used = joined.withColumn("__copies", copies).where("__copies > 0")
-    return used.withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[docs[f"`{c}`"] for c in docs.columns], "__pass", F.coalesce("__place", F.lit(0)).alias("__place"))
-
-
-def mix(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source", text: str = "text", target_entropy: float | None = 0.95, max_repeats: float | None = 2.0, budget: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), docs[f"`{source}`"].alias("s"), _digest(docs[f"`{doc_id}`"], seed).alias("h"))
+    of = _small(sources.select(F.col("source").alias("s1"), "digits"))
+    rows = rows.join(of, F.col("s").eqNullSafe(F.col("s1")), "left").select("doc", "s", "h", _block(F.col("h"), F.col("digits")).alias("b"))
+    by = _small(blocks.select(F.col("source").alias("s2"), F.col("block").alias("b2"), "place", "passes", "extra", "cut"))
+    joined = rows.join(by, F.col("s").eqNullSafe(F.col("s2")) & (F.col("b") == F.col("b2")), "left")
+    copies = F.coalesce(F.col("passes") + F.when(F.col("extra") == 1, 1).when((F.col("extra") == 2) & (F.col("h") <= F.col("cut")), 1).otherwise(0), F.lit(1)).cast("int")
+    used = joined.withColumn("copies", copies).where("copies > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return used.select("doc.*", F.col("pass").alias(free_name(docs, "__pass")), F.coalesce("place", F.lit(0)).alias(free_name(docs, "__place")))
+
+
+def mix(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source", text: str = "text", target_entropy: float | None = 0.95, max_repeats: float | None = 2.0, budget: int | None = None, seed: int = SEED, block_docs: int = BLOCK_DOCS) -> tuple[DataFrame, DataFrame]:
     """(mixed documents, sources with weights).
 
-    Null sources are one source.  Null and empty texts have no tokens.  Repeated rows
-    share a hash and go together.  An empty table stays empty.
+    Null sources are one source.  Null and empty texts have no tokens and follow their
+    block.  Repeated rows share a hash and go together.  An empty table stays empty.
+    Columns of docs may have any names.
     """
     slim = saved(docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{source}`"].alias("source"), n_tokens(docs[f"`{text}`"]).alias("tokens")), "token-counts")
-    sources, blocks = plan(slim, target_entropy=target_entropy, max_repeats=max_repeats, budget=budget, seed=seed)
-    return realise(docs, blocks, doc_id=doc_id, source=source, seed=seed), sources
+    sources, blocks = plan(slim, target_entropy=target_entropy, max_repeats=max_repeats, budget=budget, seed=seed, block_docs=block_docs)
+    return realise(docs, sources, blocks, doc_id=doc_id, source=source, seed=seed), sources

@@ -81,8 +81,17 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _passes(mixing.mix(table(spark, sf_dir, "documents"))[0])
+
+
+def op10_mixing_budgeted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Almost even sources in seven tenths of all tokens: the exponent moves, and budgets end inside blocks."""
     docs = table(spark, sf_dir, "documents")
-    mixed, _ = mixing.mix(docs)
+    tokens_in_all = docs.agg(F.sum(mixing.n_tokens(F.col("text")))).first()[0] or 0
+    return _passes(mixing.mix(docs, target_entropy=0.9999, max_repeats=None, budget=7 * tokens_in_all // 10)[0])
+
+
+def _passes(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("__pass").cast("long").alias("pass"), F.col("__place").cast("long").alias("block_place"))
 
 
@@ -93,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash, op5_warc, op6_licenses, op6_licenses_whole, op7_passages, op8_toxicity, op9_chat, op10_mixing, pipeline)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash, op5_warc, op6_licenses, op6_licenses_whole, op7_passages, op8_toxicity, op9_chat, op10_mixing, op10_mixing_budgeted, pipeline)}
 
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -183,9 +192,6 @@ FROM s GROUP BY conv_id
 # The bisection as recursions over grids of exponents; p holds the sources' shares.
 _S = "list_sum(list_transform(p, lambda x: exp(({a}) * ln(x))))"
 _ENTROPY = f"(ln({_S}) - list_sum(list_transform(p, lambda x: exp(({{a}}) * ln(x)) * ({{a}}) * ln(x))) / {_S})"
-_REPEATS = f"(exp(({{a}}) * ln(least / total)) / {_S} * (most / (exp(({{a}}) * ln(most / total)) / {_S})) / least)"
-_REACHES = f"{_ENTROPY} >= 0.95e0 * ln(n) - 1e-12"
-_KEEPS = f"{_REPEATS} <= 2e0 + 1e-9"
 
 
 def _grid(good: str, changed: str) -> str:
@@ -199,15 +205,21 @@ def _search(name: str, start: str, good: str, changed: str) -> str:
     return f"{name} AS (SELECT 0 AS k, {start} AS lo, 1e0 AS hi UNION ALL {step} FROM (SELECT k, lo, hi, {_grid(good, changed)} AS j FROM {name}, facts WHERE k < 8))"
 
 
-OP10_SQL = f"""
+def mixing_sql(entropy: str, repeats: str, budget: str | None) -> str:
+    """Without a budget every document is used once at least."""
+    spent = budget or "(most / (exp(({a}) * ln(most / total)) / " + _S + "))"
+    reaches = f"{_ENTROPY} >= {entropy} * ln(n) - 1e-12"
+    keeps = f"(exp(({{a}}) * ln(least / total)) / {_S} * {spent} / least) <= {repeats} + 1e-9"
+    in_all = budget or "pow(most, 1 - a) * sum(pow(tokens, a)) OVER ()"
+    return f"""
 WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")})::DOUBLE AS n, md5('17:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
 totals AS MATERIALIZED (SELECT source, sum(n) AS tokens FROM d GROUP BY source HAVING sum(n) > 0),
 facts AS MATERIALIZED (SELECT sum(tokens) AS total, count(*) AS n, min(tokens) AS least, max(tokens) AS most, list(tokens / (SELECT sum(tokens) FROM totals) ORDER BY tokens, source) AS p FROM totals),
-{_search("g", "0e0", _REACHES, "NOT")},
-first AS MATERIALIZED (SELECT CASE WHEN {_REACHES.format(a="1e0")} THEN 1e0 ELSE (SELECT lo FROM g WHERE k = 8) END AS a0 FROM facts),
-{_search("q", "(SELECT a0 FROM first)", _KEEPS, "")},
-best AS MATERIALIZED (SELECT CASE WHEN {_KEEPS.format(a="a0")} THEN a0 WHEN {_KEEPS.format(a="1e0")} THEN (SELECT hi FROM q WHERE k = 8) ELSE 1e0 END AS a FROM facts, first),
-weighed AS (SELECT source, tokens, pow(tokens, a) / sum(pow(tokens, a)) OVER () * (pow((SELECT most FROM facts), 1 - a) * sum(pow(tokens, a)) OVER ()) AS budget FROM totals, best),
+{_search("g", "0e0", reaches, "NOT")},
+first AS MATERIALIZED (SELECT CASE WHEN {reaches.format(a="1e0")} THEN 1e0 ELSE (SELECT lo FROM g WHERE k = 8) END AS a0 FROM facts),
+{_search("q", "(SELECT a0 FROM first)", keeps, "")},
+best AS MATERIALIZED (SELECT CASE WHEN {keeps.format(a="a0")} THEN a0 WHEN {keeps.format(a="1e0")} THEN (SELECT hi FROM q WHERE k = 8) ELSE 1e0 END AS a FROM facts, first),
+weighed AS (SELECT source, tokens, pow(tokens, a) / sum(pow(tokens, a)) OVER () * ({in_all}) AS budget FROM totals, best, facts),
 w AS MATERIALIZED (SELECT source, tokens, floor(budget / tokens + 1e-9) AS passes, greatest(0, budget - floor(budget / tokens + 1e-9) * tokens) AS rest FROM weighed),
 blocks AS (SELECT source, substr(h, 1, 2) AS block, sum(n) AS tokens FROM d GROUP BY ALL),
 ranked AS (SELECT source, block, tokens, row_number() OVER o AS place, sum(tokens) OVER o - tokens AS before
@@ -224,5 +236,9 @@ SELECT doc_id, source, unnest(range(1, copies::BIGINT + 1)) AS pass, place AS bl
 """
 
 
+OP10_SQL = mixing_sql("0.95e0", "2e0", None)
+OP10_BUDGETED_SQL = mixing_sql("0.9999e0", "1e300", "floor(0.7 * total)")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op5_warc": OP5_SQL, "op6_licenses": OP6_SQL, "op7_passages": OP7_SQL, "op9_chat": OP9_SQL, "op10_mixing": OP10_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op5_warc": OP5_SQL, "op6_licenses": OP6_SQL, "op7_passages": OP7_SQL, "op9_chat": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_budgeted": OP10_BUDGETED_SQL}

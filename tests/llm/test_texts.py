@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm import decontaminate, mixing, passages, quality, queries, simhash, tokens, toxicity
@@ -455,6 +456,26 @@ def test_mixing_edges(spark, docs, none):
     assert mixing.mix(none)[0].count() == 0
 
 
+def test_mixing_of_columns_with_clashing_names(spark):
+    names = ["doc_id", "text", "source", "__pass", "__place", "__copies", "__block", "__hash", "__source", "__passes", "__extra", "__cut", "doc", "s", "h", "b", "pass", "copies", "digits", "place", "cut", "a.b"]
+    rows_ = [(i, "w " * (i % 7), f"s{i % 3}", *[f"{n}{i}" for n in names[3:]]) for i in range(60)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names[3:]))
+    mixed, _ = mixing.mix(df)
+    assert mixed.columns == [*names, "__pass_", "__place_"]
+    assert {tuple(r)[: len(names)] for r in mixed.collect()} == set(rows_)
+
+
+@pytest.mark.parametrize("block_docs", [2, 1 << 20])
+def test_blocks_grow_with_a_source(spark, block_docs):
+    """The same budgets, met to a document, with blocks of three digits and of two."""
+    df = spark.createDataFrame([(i, "w " * (1 + i % 9), "hot" if i % 4 else "s") for i in range(4000)], "doc_id long, text string, source string")
+    mixed, sources = mixing.mix(df, target_entropy=1.0, max_repeats=None, budget=9000, block_docs=block_docs)
+    used = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(mixing.n_tokens(F.col("text"))).alias("n")).collect()}
+    for r in sources.collect():
+        assert r.digits == (3 if block_docs == 2 and r.source == "hot" else 2 if block_docs > 2 or r.source == "hot" else r.digits)
+        assert r.budget - 9 <= used[r.source] <= r.budget + 1e-6
+
+
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_queries_against_sql(spark, name):
     same_rows(queries.queries()[name](spark, SMALL), queries.oracle_sql()[name])
