@@ -32,11 +32,14 @@ def format_examples(rows: DataFrame, *, conv_id: str = "conv_id", turn: str = "t
     loss_start and loss_length are code points of the reply inside text, null in the row
     of trailing turns.  Turns are ordered by turn, then role, then text, nulls first, so
     ties and repeated rows (all kept) have one order.  Null texts and roles count as
-    empty.  A null conv_id is a conversation of its own.
+    empty.  A row without a conv_id is a conversation of its own, as nothing tells which
+    of them belong together; they are not grouped.  A conversation of n turns gives n
+    prefixes, so its output grows with the square of its length.
     """
     col = lambda c: rows[f"`{c}`"]
     turns = rows.select(col(conv_id).alias("conv_id"), F.struct(col(turn).alias("turn"), F.coalesce(col(role), F.lit("")).alias("role"), F.coalesce(col(text), F.lit("")).alias("text")).alias("t"))
-    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    whole = turns.where("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    whole = whole.unionByName(turns.where("conv_id is null").select("conv_id", F.array("t").alias("turns")))
     segment = lambda t: F.concat(F.lit(START), F.replace(escaped(t["role"]), F.lit("\n"), F.lit(LINE)), F.lit("\n"), escaped(t["text"]), F.lit(END))
     parts = whole.select(
         "conv_id",
@@ -55,11 +58,10 @@ def format_examples(rows: DataFrame, *, conv_id: str = "conv_id", turn: str = "t
 def digests(examples: DataFrame) -> DataFrame:
     """Per conversation, from the formatted examples alone: its turns, and all text under the loss mask."""
     row = examples.select("conv_id", "example", "text", F.when(F.col("loss_length").isNotNull(), unescaped(F.substring(F.col("text"), F.col("loss_start") + 1, F.col("loss_length").cast("int")))).alias("loss"))
-    got = row.groupBy("conv_id").agg(
-        F.max_by("text", "example").alias("text"),
-        F.sort_array(F.collect_list(F.when(F.col("loss").isNotNull(), F.struct("example", "loss")))).alias("losses"),
-        F.sum(F.length("text")).alias("formatted_chars"),
-    )
+    # A row without a conversation is its only example, and the only one for its digest.
+    said_in = F.when(F.col("loss").isNotNull(), F.struct("example", "loss"))
+    got = row.where("conv_id is not null").groupBy("conv_id").agg(F.max_by("text", "example").alias("text"), F.sort_array(F.collect_list(said_in)).alias("losses"), F.sum(F.length("text")).alias("formatted_chars"))
+    got = got.unionByName(row.where("conv_id is null").select("conv_id", "text", F.array_compact(F.array(said_in)).alias("losses"), F.length("text").cast("long").alias("formatted_chars")))
     pieces = F.filter(F.split("text", r"<\|im_start\|>"), lambda x: x != "")
     body = lambda p: F.substring(p, F.instr(p, "\n") + 1, F.length(p) - F.instr(p, "\n") - len(END))
     said = lambda p: F.concat(unescaped(F.replace(F.substring_index(p, "\n", 1), F.lit(LINE), F.lit("\n"))), F.lit("\n"), unescaped(body(p)), F.lit("\n"))

@@ -174,18 +174,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 
 OP9_SQL = r"""
 WITH c AS (
-  SELECT conv_id, turn, role, text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
-  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
-t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
+  SELECT conv_id, turn, role, text, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok', NULL
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok', NULL),
+t AS (SELECT conv_id, alone, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
 l AS (SELECT *, 24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<|nl|>')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS size,
-        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM t),
-s AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k) AS upto FROM l)
+        row_number() OVER (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text) AS k, count(*) OVER (PARTITION BY conv_id, alone) AS n FROM t),
+s AS (SELECT *, sum(size) OVER (PARTITION BY conv_id, alone ORDER BY k) AS upto FROM l)
 SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(upto) FILTER (role = 'assistant' OR k = n)::BIGINT AS formatted_chars
-FROM s GROUP BY conv_id
+FROM s GROUP BY conv_id, alone
 """
 
 

@@ -5,13 +5,16 @@ the task.  Equal fingerprints collapse first.  Distinct fingerprints are then pu
 tiles by the population counts of their two 32-bit halves.  The sum of the differences
 of these counts never exceeds the Hamming distance, so a pair of tiles whose counts
 differ by more than the radius is skipped and nothing is lost.  A tile with more than
-`TILE` fingerprints (a large group of near copies) is cut into pieces.  Each surviving
-pair of tiles is compared in numpy by exclusive-or and bit counts, and gives back only
-a spanning forest of its links, so dense groups stay linear in size.
+`TILE` fingerprints (a large group of near copies) is cut into pieces.  Tiles are files in
+the shared folder; only the names of a pair are shuffled, and its task reads the files.
+Each surviving pair of tiles is compared in numpy by exclusive-or and bit counts, and
+gives back only a spanning forest of its links, so dense groups stay linear in size.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, map_texts, saved
+from .common import free_name, map_texts, new_folder, saved
 from .components import connected
+from .files import get, make_folder, put
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
-#: Most fingerprints in a tile.
-TILE = 4096
+#: Most fingerprints in a tile, and tiles that a task keeps in memory.
+TILE, TILES_KEPT = 8192, 128
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -74,39 +78,53 @@ def forest(a: np.ndarray, b: np.ndarray | None, radius: int, rows: int = 256) ->
     return links
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Links (a, b) that connect what fingerprints within the radius connect; distinct: one column fp."""
-    spark = distinct.sparkSession
+def store_tiles(distinct: DataFrame, tile: int) -> tuple[str, DataFrame]:
+    """The folder of the tiles, and their names (x, y, piece); distinct: one column fp."""
+    folder = new_folder(distinct.sparkSession, "tiles")
+    make_folder(folder)
     low = F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
     keyed = distinct.select("fp", low.alias("x"), (F.bit_count("fp") - low).alias("y"))
     sizes = keyed.groupBy("x", "y").count().withColumn("pieces", F.ceil(F.col("count") / tile))
-    # At most 33 x 33 keys, so these broadcasts hold 1,089 rows at most.
-    piece = F.pmod(F.xxhash64("fp"), F.col("pieces"))
-    tiles = saved(keyed.join(F.broadcast(sizes), ["x", "y"]).groupBy("x", "y", piece.alias("piece")).agg(F.collect_list("fp").alias("fps")), "tiles")
-    names = tiles.select("x", "y", "piece")
+    # At most 33 x 33 keys, so this broadcast holds 1,089 rows at most.
+    cut = keyed.join(F.broadcast(sizes), ["x", "y"]).select("x", "y", F.pmod(F.xxhash64("fp"), F.col("pieces")).alias("piece"), "fp")
+
+    def store(table: pa.Table) -> pa.Table:
+        name = [table.column(c)[0].as_py() for c in ("x", "y", "piece")]
+        put(tile_path(folder, *name), np.sort(table.column("fp").to_numpy()).astype("<i8").tobytes())
+        return pa.table({c: pa.array([v], t) for c, v, t in zip(("x", "y", "piece"), name, (pa.int32(), pa.int32(), pa.int64()), strict=True)})
+
+    return folder, saved(cut.groupBy("x", "y", "piece").applyInArrow(store, "x int, y int, piece long"), "tile-names")
+
+
+def tile_path(folder: str, x: int, y: int, piece: int) -> str:
+    return f"{folder}/{x:02d}-{y:02d}-{piece:08d}"
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """Links (a, b) that connect what fingerprints within the radius connect; distinct: one column fp."""
+    spark = distinct.sparkSession
+    folder, names = store_tiles(distinct, tile)
     ball = [(i, j) for i in range(-radius, radius + 1) for j in range(-radius, radius + 1) if abs(i) + abs(j) <= radius and (i, j) >= (0, 0)]
     ball = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ball])
     around = names.select("*", F.explode(ball).alias("d")).select("x", "y", "piece", (F.col("x") + F.col("d.i")).alias("x2"), (F.col("y") + F.col("d.j")).alias("y2"))
     pairs = around.join(names.select(F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("piece").alias("piece2")), ["x2", "y2"]).where((F.col("x") != F.col("x2")) | (F.col("y") != F.col("y2")) | (F.col("piece") <= F.col("piece2")))
-    left = tiles.withColumnRenamed("fps", "a")
-    right = tiles.select(F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("piece").alias("piece2"), F.col("fps").alias("b"))
-    joined = pairs.join(left, ["x", "y", "piece"]).join(right, ["x2", "y2", "piece2"])
-    same = (F.col("x") == F.col("x2")) & (F.col("y") == F.col("y2")) & (F.col("piece") == F.col("piece2"))
-    work = joined.select("a", F.when(~same, F.col("b")).alias("b"))
 
     def compare(batches):
+        @lru_cache(maxsize=TILES_KEPT)
+        def tile_of(x: int, y: int, piece: int) -> np.ndarray:
+            return np.frombuffer(get(tile_path(folder, x, y, piece)), "<u8")
+
         for batch in batches:
             got: list[tuple[int, int]] = []
-            for i in range(batch.num_rows):
-                a = np.asarray(batch.column(0)[i].values).astype(np.int64).view(np.uint64)
-                other = batch.column(1)[i]
-                b = np.asarray(other.values).astype(np.int64).view(np.uint64) if other.is_valid else None
-                got += forest(a, b, radius)
+            for x, y, piece, x2, y2, piece2 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                same = (x, y, piece) == (x2, y2, piece2)
+                got += forest(tile_of(x, y, piece), None if same else tile_of(x2, y2, piece2), radius)
             ends = np.array(got, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
+    # Dealt in turn, as pairs differ much in size.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return work.repartition(n).mapInArrow(compare, "a long, b long").distinct()
+    return pairs.select("x", "y", "piece", "x2", "y2", "piece2").repartition(n).mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, tile: int = TILE) -> DataFrame:

@@ -232,7 +232,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
     make_folder(folder)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("d"), docs[f"`{text}`"].alias("t"))
-    rows = rows.repartitionByRange(n, "d").sortWithinPartitions("d", F.xxhash64("t"))
+    # With the text's hash, rows of one id, or of none, are many ranges too.
+    rows = rows.repartitionByRange(n, "d", F.xxhash64("t")).sortWithinPartitions("d", F.xxhash64("t"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(tokenizer).encode_all, TaskContext.get().partitionId()

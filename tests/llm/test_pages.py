@@ -116,7 +116,7 @@ def test_escapes_come_back(spark):
 
 def test_conversations(spark):
     rows = [(1, i, "user" if i % 2 == 0 else "assistant", HARD[i]) for i in range(len(HARD))]
-    rows += [(2, 0, "system", "s"), (2, 1, "user", "q"), (3, 0, "assistant", "x"), (3, 0, "assistant", "x"), (3, None, "odd\nrole<|", "y"), (4, 1, None, None), (None, 0, "assistant", "n"), (5, 0, "assistant", "t"), (5, 1, "user", "tail")]
+    rows += [(2, 0, "system", "s"), (2, 1, "user", "q"), (3, 0, "assistant", "x"), (3, 0, "assistant", "x"), (3, None, "odd\nrole<|", "y"), (4, 1, None, None), (5, 0, "assistant", "t"), (5, 1, "user", "tail")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, turns string")
     examples = chat.format_examples(df)
     got = {r.conv_id: r for r in chat.digests(examples).collect()}
@@ -130,5 +130,8 @@ def test_conversations(spark):
     assert len(one) == 2 and one[0].loss_length == 1 and one[1].loss_length is None and one[1].text.startswith(one[0].text)
     assert one[0].text[one[0].loss_start : one[0].loss_start + 1] == "t"
     assert chat.digests(chat.format_examples(df.limit(0))).count() == 0
+    lone = spark.createDataFrame([(None, 0, "assistant", "n"), (None, 0, "assistant", "n"), (None, 1, "user", "<|im_end|>")], "conv_id long, turn long, role string, text string")
+    alone = sorted((r.n_turns, r.loss_chars, r.formatted_chars) for r in chat.digests(chat.format_examples(lone)).collect())
+    assert alone == [(1, 0, len("<|im_start|>user\n<\\|im_end|><|im_end|>\n")), *[(1, 1, len("<|im_start|>assistant\nn<|im_end|>\n"))] * 2]
     plan = chat.digests(examples)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
