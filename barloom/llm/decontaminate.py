@@ -5,8 +5,9 @@ ids, sorts the word suffixes that can match (a suffix array), and binary-searche
 every test suffix in it: the suffixes that begin with the wanted number of words form
 one range of the array, the longest verbatim match stands beside the place where the
 whole test suffix would be inserted.  Documents are never shuffled.  The benchmark
-stands in the shared folder in blocks of about `BLOCK_WORDS` words; a task holds one
-block at a time and takes its documents through all of them.
+is dealt by hash into blocks of about `BLOCK_BYTES` bytes, which tasks prepare and put
+into the shared folder; a task holds one block at a time and takes its documents through
+all of them.
 
 Pruning that loses nothing: words outside the benchmark's vocabulary share one id that
 no test suffix holds, so a suffix whose run of known words is shorter than the shortest
@@ -17,20 +18,20 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import STEP_BYTES, map_texts, new_folder
+from .common import STEP_BYTES, map_texts, new_folder, saved
 from .files import get, make_folder, put
 
 WINDOW = 13
-#: Words of benchmark items that a task holds at once.
-BLOCK_WORDS = 2_000_000
+#: Text bytes of benchmark items that a task holds at once.
+BLOCK_BYTES = 12_000_000
 
 #: A-Z become a-z; every byte that is not part of a word becomes a blank.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -46,15 +47,15 @@ class _Ids(dict):
 
 
 class TestSet:
-    """A block of benchmark items: word ids, suffixes and windows."""
+    """A block of benchmark items, in any order: word ids, suffixes and windows."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.window = window
         self.ids: dict[bytes, int] = {}
         number: dict[str, int] = {}
         tokens: list[int] = []
         self.starts, self.lengths, self.left, self.owner = [], [], [], []
-        for item, text in items:
+        for item, text in sorted(items, key=lambda x: (x[0] is not None, x[0] or "", x[1])):
             own = [self.ids.setdefault(w, len(self.ids) + 1) for w in words(text)]
             size = min(window, len(own))
             k = number.setdefault(item, len(number))
@@ -141,15 +142,14 @@ def _expand(sa: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarr
     return number, sa[np.arange(len(number)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
 
 
-def match_shard(texts: list[bytes], test: TestSet) -> list[dict]:
-    """What a shard of documents has in common with a block of the benchmark, for each document."""
-    ids, found = _Ids(test.ids), [words(t) for t in texts]
+def match_shard(found: list[list[bytes]], test: TestSet) -> list[dict]:
+    """What a shard of documents, each a list of words, has in common with a block of the benchmark."""
+    ids = _Ids(test.ids)
     counts = np.array([len(w) for w in found], np.int64)
     begin = np.cumsum(counts + 1) - counts - 1
-    shard = np.zeros(int(counts.sum()) + len(texts) + test.depth + 1, np.int64)
+    shard = np.zeros(int(counts.sum()) + len(found) + test.depth + 1, np.int64)
     for s, w in zip(begin.tolist(), found, strict=True):
         shard[s : s + len(w)] = np.fromiter(map(ids.__getitem__, w), np.int64, len(w))
-    del found
     out = [{"n_words": int(n), "spans": [], "items": [], "longest": 0, "longest_start": None, "longest_item": None} for n in counts]
     gaps = np.flatnonzero(shard == 0)
     known = np.flatnonzero(shard)
@@ -176,12 +176,12 @@ def match_shard(texts: list[bytes], test: TestSet) -> list[dict]:
         out[d]["spans"].append((s - int(begin[d]), e - int(begin[d])))
     # Documents by window, windows by item, then each pair of document and item once.
     doc = np.searchsorted(begin, p, "right") - 1
-    pairs = np.unique(number * len(texts) + doc)
+    pairs = np.unique(number * len(found) + doc)
     owners = np.unique(same * len(test.names) + test.owner[hit])
     window_of, item_of = owners // len(test.names), owners % len(test.names)
-    low_o, high_o = np.searchsorted(window_of, pairs // len(texts)), np.searchsorted(window_of, pairs // len(texts), "right")
+    low_o, high_o = np.searchsorted(window_of, pairs // len(found)), np.searchsorted(window_of, pairs // len(found), "right")
     n, item = _expand(item_of, low_o, high_o)
-    for x in np.unique((pairs % len(texts))[n] * len(test.names) + item).tolist():
+    for x in np.unique((pairs % len(found))[n] * len(test.names) + item).tolist():
         out[x // len(test.names)]["items"].append(test.names[x % len(test.names)])
     # Longest matches: beside the place of insertion, then all places that have as many words.
     q = test.starts[hit]
@@ -213,7 +213,7 @@ def summary(n_words: int, found: list[dict]) -> tuple:
     spans = merge([x for f in found for x in f["spans"]])
     items = sorted({x for f in found for x in f["items"] if x is not None})
     n_hit = sum(e - s for s, e in spans)
-    best = min(found, key=lambda f: (-f["longest"], f["longest_start"] or 0), default={"longest": 0, "longest_start": None, "longest_item": None})
+    best = min(found, key=lambda f: (-f["longest"], f["longest_start"] or 0, f["longest_item"] or ""), default={"longest": 0, "longest_start": None, "longest_item": None})
     return n_words, n_hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), n_hit > 0 and 20 * n_hit >= n_words, best["longest"], best["longest_start"], best["longest_item"]
 
 
@@ -229,19 +229,27 @@ FIELDS = [
 ]
 
 
-def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int) -> Iterator[list[tuple[str, bytes]]]:
-    """Items in blocks of bounded size; rows without a text have no windows."""
-    block: list[tuple[str, bytes]] = []
-    size = 0
+def store_blocks(benchmark: DataFrame, item: str, text: str, window: int, block_bytes: int) -> list[str]:
+    """Files of the benchmark's blocks; rows without a text have no windows.  There is one block at least."""
+    spark = benchmark.sparkSession
+    folder = new_folder(spark, "benchmark")
+    make_folder(folder)
     rows = benchmark.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{item}`").cast("string").alias("i"), F.encode(F.col(f"`{text}`"), "UTF-8").alias("t"))
-    for row in rows.toLocalIterator():
-        block.append((row.i, bytes(row.t)))
-        size += len(words(block[-1][1]))
-        if size >= block_words:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+    size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    n = max(1, -(-size // block_bytes))
+
+    def build(table: pa.Table) -> pa.Table:
+        block = table.column("block")[0].as_py()
+        put(f"{folder}/{block:06d}", pickle.dumps(TestSet(list(zip(table.column("i").to_pylist(), table.column("t").to_pylist(), strict=True)), window)))
+        return pa.table({"block": pa.array([block], pa.int64())})
+
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(n)))
+    done = saved(dealt.groupBy("block").applyInArrow(build, "block long"), "benchmark-blocks")
+    paths = [f"{folder}/{r.block:06d}" for r in done.orderBy("block").toLocalIterator()]
+    if not paths:
+        paths = [f"{folder}/none"]
+        put(paths[0], pickle.dumps(TestSet([], window)))
+    return paths
 
 
 @lru_cache(maxsize=1)
@@ -249,7 +257,7 @@ def stored_block(path: str) -> TestSet:
     return pickle.loads(get(path))
 
 
-def find_overlap(docs: DataFrame, benchmark: DataFrame, *, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+def find_overlap(docs: DataFrame, benchmark: DataFrame, *, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Columns `keep` of every document, then what it shares with the benchmark.
 
     A window is `window` consecutive words of an item; an item of fewer words (but not
@@ -258,22 +266,15 @@ def find_overlap(docs: DataFrame, benchmark: DataFrame, *, keep: list[str], text
     longest_item tell the longest verbatim match of a test suffix and where it begins.
 
     Null or empty texts have no words.  Items without text are skipped; those without
-    id count for n_hit, but not as items.  Equal ids count as one item.  Repeated documents are judged row by row.  An empty benchmark
-    leaves every document uncontaminated.
+    id count for n_hit, but not as items.  Equal ids count as one item; of longest matches
+    that begin at one place the smallest item is told.  Repeated documents are judged row
+    by row.  An empty benchmark leaves every document uncontaminated.
     """
-    spark = docs.sparkSession
-    folder = new_folder(spark, "benchmark")
-    make_folder(folder)
-    blocks: list[str] = []
-    for items in item_blocks(benchmark, item, item_text, block_words):
-        blocks.append(f"{folder}/{len(blocks):05d}")
-        put(blocks[-1], pickle.dumps(TestSet(items, window)))
-    if not blocks:
-        blocks = [f"{folder}/none"]
-        put(blocks[0], pickle.dumps(TestSet([], window)))
+    blocks = store_blocks(benchmark, item, item_text, window, block_bytes)
 
     def judge(texts: list[bytes]) -> list:
-        found = [match_shard(texts, stored_block(b)) for b in blocks]
+        split = [words(t) for t in texts]
+        found = [match_shard(split, stored_block(b)) for b in blocks]
         rows = [summary(x[0]["n_words"], list(x)) for x in zip(*found, strict=True)]
         return [list(c) for c in zip(*rows, strict=True)] or [[] for _ in FIELDS]
 

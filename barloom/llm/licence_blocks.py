@@ -1,4 +1,4 @@
-"""Notices as they stand in file headers and whole licence texts, for `licenses.scan_whole`."""
+"""Notices as they stand in file headers and whole licence texts, for `licenses.scan`."""
 
 from __future__ import annotations
 
@@ -28,6 +28,7 @@ HEADERS = [
     ("LGPL-2.1", _gnu("Lesser General Public License", "This library", "2.1")),
     ("LGPL-3.0", _gnu("Lesser General Public License", "This library", "3")),
     ("AGPL-3.0", _gnu("Affero General Public License", "This program", "3")),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
 ]
 

@@ -1,10 +1,11 @@
 """Licence scans in DataFrame functions only.
 
-Lines that name a licence are compared with templates by the cosine of sparse TF-IDF
-vectors: terms are exploded, weighted by their document frequency over all files, and
-joined to the templates' terms.  A file without a licence of its own inherits that of
-the nearest directory above that has a licence file; ancestors are found by joining
-paths, once for each directory and not for each file.
+Vectors of sparse TF-IDF weights are compared with templates by their cosine: those of
+each line, of each file's header, and of the whole text of each licence file.  Terms are
+exploded, weighted by the number of files that have them, and joined to the templates'
+terms.  A file without a licence of its own inherits that of the nearest directory
+above that has a licence file; ancestors are found by joining paths, once for each
+directory and not for each file.
 """
 
 from __future__ import annotations
@@ -32,8 +33,6 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
 ]
-#: A line is looked at if it has one of these words.
-NAMING = "license licensed licence licenced licenses copyright spdx redistribution permission copyleft"
 #: Names of licence files.
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.\-_].*)?$"
 THRESHOLD = 0.6
@@ -44,44 +43,10 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
-def _template_terms(spark) -> DataFrame:
-    """(template, license, term, tf) of the fixed templates: a bounded table."""
-    rows = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(TEMPLATES)], "template int, license string, notice string")
-    return rows.select("template", "license", F.explode(terms(F.col("notice"))).alias("term")).groupBy("template", "license", "term").agg(F.count("*").alias("tf"))
-
-
-def vocabulary() -> list[str]:
-    import re
-
-    return sorted({w for _, t in TEMPLATES for w in re.findall("[a-z0-9]+", t.lower())})
-
-
-def declared(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """(path, declared, score) of the files (path, text) that name a licence themselves."""
-    spark = files.sparkSession
-    known = F.array(*[F.lit(w) for w in vocabulary()])
-    naming = F.array(*[F.lit(w) for w in NAMING.split()])
-    present = files.select(F.explode(F.array_intersect(terms(F.col("text")), known)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    n = files.agg(F.count("*").alias("n"))
-    # One row for each template term, and one row: bounded by the templates.
-    every = spark.createDataFrame([(w,) for w in vocabulary()], "term string")
-    idf = every.join(present, "term", "left").join(F.broadcast(n), F.lit(True)).select("term", (F.log((1 + F.col("n")) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("idf"))
-    idf = saved(idf, "idf")
-    unknown = saved(n.select((F.log(1 + F.col("n")) + 1).alias("most")), "idf-most")
-    templates = _template_terms(spark).join(F.broadcast(idf), "term").withColumn("weight", F.col("tf") * F.col("idf"))
-    norms = templates.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    templates = saved(templates.join(norms, "template").select("template", "license", "term", (F.col("weight") / F.col("norm")).alias("w")), "templates")
-
-    lines = files.select("path", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.lower("line").rlike("|".join(NAMING.split())))
-    lines = lines.select("path", "line_no", F.xxhash64("line").alias("h"), terms(F.col("line")).alias("words")).where(F.arrays_overlap("words", naming))
-    counts = lines.select("path", "line_no", "h", F.explode("words").alias("term")).groupBy("path", "line_no", "h", "term").agg(F.count("*").alias("tf"))
-    weighted = counts.join(F.broadcast(idf), "term", "left").join(F.broadcast(unknown), F.lit(True)).withColumn("weight", F.col("tf") * F.coalesce("idf", "most"))
-    weighted = saved(weighted.select("path", "line_no", "h", "term", "weight"), "line-terms")
-    length = weighted.groupBy("path", "line_no", "h").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    dots = weighted.join(F.broadcast(templates), "term").groupBy("path", "line_no", "h", "template", "license").agg(F.sum(F.col("weight") * F.col("w")).alias("dot"))
-    scores = dots.join(length, ["path", "line_no", "h"]).select("path", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
-    best = scores.groupBy("path", "license").agg(F.max("score").alias("score")).groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"))).alias("b"))
-    return best.select("path", F.col("b.license").alias("declared"), (-F.col("b.minus")).alias("score"))
+def templates_table() -> list[tuple[int, str, str, bool]]:
+    """(template, license, notice, whole): whole licence texts are compared with licence files only."""
+    short = [*TEMPLATES, *HEADERS]
+    return [(i, k, t, i >= len(short)) for i, (k, t) in enumerate([*short, *bodies()])]
 
 
 def document_frequencies(files: DataFrame) -> DataFrame:
@@ -108,7 +73,7 @@ def _needed(rows: list, threshold: float) -> list[str]:
     return sorted(found)
 
 
-def declared_whole(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+def declared(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """(path, declared, score) by lines, headers and bodies of licence files, every term weighted by its files.
 
     The vectors are each line, each file's header (all before its first blank line) and
@@ -119,10 +84,8 @@ def declared_whole(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFra
     n = files.count()
     df = saved(document_frequencies(files), "df")
     idf = F.log((F.lit(1.0) + n) / (1 + F.coalesce("df", F.lit(0)))) + 1
-    short = [*TEMPLATES, *HEADERS]
-    notices = [(i, k, t, i >= len(short)) for i, (k, t) in enumerate([*short, *bodies()])]
     # Bounded by the templates.
-    rows = spark.createDataFrame(notices, "template int, license string, notice string, whole boolean")
+    rows = spark.createDataFrame(templates_table(), "template int, license string, notice string, whole boolean")
     counted = rows.select("template", "license", "whole", F.explode(terms(F.col("notice"))).alias("term")).groupBy("template", "license", "whole", "term").agg(F.count("*").alias("tf"))
     known = df.join(F.broadcast(counted.select("term").distinct()), "term")
     weights = counted.join(F.broadcast(known), "term", "left").select("template", "license", "whole", "term", F.coalesce("df", F.lit(0)).alias("df"), (F.col("tf") * idf).alias("weight"))
@@ -160,12 +123,6 @@ def scan(files: DataFrame, *, path: str = "path", text: str = "text", threshold:
     return _inherit(rows, saved(declared(rows, threshold=threshold), "declared"))
 
 
-def scan_whole(files: DataFrame, *, path: str = "path", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """As `scan`, with what files declare by `declared_whole`."""
-    rows = _rows(files, path, text)
-    return _inherit(rows, saved(declared_whole(rows, threshold=threshold), "declared"))
-
-
 def _rows(files: DataFrame, path: str, text: str) -> DataFrame:
     return files.select(files[f"`{path}`"].alias("path"), F.coalesce(files[f"`{text}`"], F.lit("")).alias("text"))
 

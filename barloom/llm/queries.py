@@ -49,15 +49,7 @@ def document_paths(docs: DataFrame) -> DataFrame:
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = document_paths(table(spark, sf_dir, "documents"))
-    return _by_document(licenses.scan(files))
-
-
-def op6_licenses_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _by_document(licenses.scan_whole(document_paths(table(spark, sf_dir, "documents"))))
-
-
-def _by_document(found: DataFrame) -> DataFrame:
+    found = licenses.scan(document_paths(table(spark, sf_dir, "documents")))
     return found.select(F.regexp_extract("path", r"(\d+)[^/\d]*$", 1).cast("long").alias("doc_id"), "path", "declared", "score", "license", "inherited_from")
 
 
@@ -102,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash, op5_warc, op6_licenses, op6_licenses_whole, op7_passages, op8_toxicity, op9_chat, op10_mixing, op10_mixing_budgeted, pipeline)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash, op5_warc, op6_licenses, op7_passages, op8_toxicity, op9_chat, op10_mixing, op10_mixing_budgeted, pipeline)}
 
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -133,10 +125,11 @@ FROM p LEFT JOIN g USING (html)
 """
 
 _TERMS = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
-_NOTICES = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(licenses.TEMPLATES))
-_NAMING = ", ".join(f"'{w}'" for w in licenses.NAMING.split())
 
-OP6_SQL = f"""
+
+def licences_sql() -> str:
+    notices = ", ".join("({}, '{}', '{}', {})".format(i, k, t.replace("'", "''"), whole) for i, k, t, whole in licenses.templates_table())
+    return rf"""
 WITH f AS (
   SELECT doc_id, coalesce(text, '') AS text,
     CASE WHEN doc_id % 1000 = 0 THEN source WHEN doc_id % 100 = 0 THEN source || '/' || lang
@@ -144,17 +137,22 @@ WITH f AS (
     CASE WHEN doc_id % 25 = 0 THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END AS name
   FROM documents),
 files AS (SELECT *, dir || '/' || name AS path FROM f),
-tt AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest({_TERMS.format("notice")}) AS term FROM (VALUES {_NOTICES}) v(template, license, notice)) GROUP BY ALL),
+tt AS (SELECT template, license, whole, term, count(*) AS tf FROM (SELECT template, license, whole, unnest({_TERMS.format("notice")}) AS term FROM (VALUES {notices}) v(template, license, notice, whole)) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM files),
-df AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({_TERMS.format("text")})) AS term FROM files) WHERE term IN (SELECT term FROM tt) GROUP BY term),
-idf AS (SELECT term, ln((1 + n.n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n),
-tw AS (SELECT template, license, term, tf * idf AS weight FROM tt JOIN idf USING (term)),
-t AS (SELECT template, license, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY template)) AS w FROM tw),
-lines AS (SELECT path, i, {_TERMS.format("line")} AS words FROM (SELECT path, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM files)),
-lt AS (SELECT path, i, term, count(*) AS tf FROM (SELECT path, i, unnest(words) AS term FROM lines WHERE list_has_any(words, [{_NAMING}])) GROUP BY ALL),
-lw AS (SELECT path, i, term, tf * coalesce(idf, ln(1 + n.n) + 1) AS weight FROM lt LEFT JOIN idf USING (term), n),
-ln_ AS (SELECT path, i, sqrt(sum(weight * weight)) AS norm FROM lw GROUP BY ALL),
-s AS (SELECT path, license, round(sum(weight * w) / any_value(norm), 6) AS score FROM lw JOIN t USING (term) JOIN ln_ USING (path, i) GROUP BY path, i, template, license),
+df AS MATERIALIZED (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({_TERMS.format("text")})) AS term FROM files) GROUP BY term),
+tw AS (SELECT template, license, whole, term, tf * (ln((1 + n.n) / (1 + coalesce(df, 0))) + 1) AS weight FROM tt LEFT JOIN df USING (term), n),
+t AS MATERIALIZED (SELECT template, license, whole, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY template)) AS w FROM tw),
+pieces AS (
+  SELECT path, unnest(string_split(text, chr(10))) AS piece, unnest(range(len(string_split(text, chr(10))))) AS part FROM files
+  UNION ALL SELECT path, string_split_regex(regexp_replace(text, '^\s+', ''), '
+[ 	]*
+')[1], -1 FROM files
+  UNION ALL SELECT path, text, -2 FROM files WHERE name LIKE 'LICENSE%'),
+pt AS (SELECT path, part, term, count(*) AS tf FROM (SELECT path, part, unnest({_TERMS.format("piece")}) AS term FROM pieces) GROUP BY ALL),
+pw AS MATERIALIZED (SELECT path, part, term, tf * (ln((1 + n.n) / (1 + df)) + 1) AS weight FROM pt JOIN df USING (term), n),
+length AS (SELECT path, part, sqrt(sum(weight * weight)) AS norm FROM pw GROUP BY ALL),
+dots AS (SELECT path, part, template, license, sum(weight * w) AS dot FROM pw JOIN t USING (term) WHERE NOT whole OR part = -2 GROUP BY ALL),
+s AS (SELECT path, license, round(dot / norm, 6) AS score FROM dots JOIN length USING (path, part)),
 own AS (SELECT path, license AS declared, score FROM s WHERE score >= {licenses.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),
 speaking AS (SELECT dir AS above, declared AS inherited FROM files JOIN own USING (path) WHERE name LIKE 'LICENSE%' QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, name) = 1),
 nearest AS (SELECT d.dir, s.above, s.inherited FROM (SELECT DISTINCT dir FROM files) d JOIN speaking s ON d.dir = s.above OR starts_with(d.dir, s.above || '/') QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(s.above) DESC) = 1)
@@ -162,6 +160,7 @@ SELECT doc_id, path, declared, score, coalesce(declared, inherited) AS license,
 FROM files LEFT JOIN own USING (path) LEFT JOIN nearest USING (dir)
 """
 
+
 OP7_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 win AS (SELECT r, doc_id, i, array_to_string(w[i:i + 49], ' ') AS t FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50 AND doc_id IS NOT NULL)),
@@ -241,4 +240,4 @@ OP10_BUDGETED_SQL = mixing_sql("0.9999e0", "1e300", "floor(0.7 * total)")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op5_warc": OP5_SQL, "op6_licenses": OP6_SQL, "op7_passages": OP7_SQL, "op9_chat": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_budgeted": OP10_BUDGETED_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op5_warc": OP5_SQL, "op6_licenses": licences_sql(), "op7_passages": OP7_SQL, "op9_chat": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_budgeted": OP10_BUDGETED_SQL}

@@ -72,7 +72,7 @@ def test_licence_weights_count_every_word(spark, n):
     sentence = "This project is released under the MIT License."
     texts = [sentence, *[f"this project is by us number{i}" if i % 3 else f"other words{i} under the sun" for i in range(n - 1)]]
     df = spark.createDataFrame([(f"d/{i}.txt", t) for i, t in enumerate(texts)], "path string, text string")
-    got = {r.path: r for r in licenses.declared_whole(df).collect()}
+    got = {r.path: r for r in licenses.declared(df).collect()}
     words = lambda t: re.findall("[a-z0-9]+", t.lower())
     seen = Counter(w for t in texts for w in set(words(t)))
     vector = lambda t: {w: c * (math.log((1 + n) / (1 + seen[w])) + 1) for w, c in Counter(words(t)).items()}
@@ -84,23 +84,23 @@ def test_licence_weights_count_every_word(spark, n):
 
 def test_wrapped_notices_and_licence_bodies(spark):
     wrapped = lambda t, mark: "\n".join(mark + x for x in textwrap.wrap(t, 60))
-    notices = [(k, t) for k, t in licence_blocks.HEADERS if k in ("GPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MIT", "Apache-2.0")]
+    notices = [(k, t) for k, t in licence_blocks.HEADERS if k in ("GPL-3.0", "LGPL-2.1", "ISC", "BSD-2-Clause", "BSD-3-Clause", "MIT", "Apache-2.0")]
     rows = [(f"src/{k}.py", "# Copyright 2020 A. Body\n" + wrapped(t, "# ") + "\n\nimport os\n", k) for k, t in notices]
     rows += [(f"{k}/LICENSE", f"Copyright 2021 B. Body\n\n{wrapped(t, '  ')}", k) for k, t in licence_blocks.bodies()]
     rows += [("e/x.py", "import os\n\nprint('the terms of any use of it')\n", None), ("f/LICENSE", "we the people of the town and of the land", None), *[(f"g/{i}.txt", "the house of the man and a word of it or this", None) for i in range(50)]]
     df = spark.createDataFrame(rows, "path string, text string, wanted string")
-    got = {r.path: r.declared for r in licenses.scan_whole(df).collect()}
+    got = {r.path: r.declared for r in licenses.scan(df).collect()}
     assert got == {p: k for p, _, k in rows}
-    plan = licenses.scan_whole(df)._jdf.queryExecution().executedPlan().toString()
+    plan = licenses.scan(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
-    assert licenses.scan_whole(df.limit(0)).count() == 0
+    assert licenses.scan(df.limit(0)).count() == 0
 
 
 def test_no_line_is_lost_by_the_gate(spark):
     texts = ["permission granted", "gnu public license", "Licensed BY SA 4.0 cc", "the free terms of the work", "Apache 2.0", "source form subject mozilla", "copy of this software to any person"]
     df = spark.createDataFrame([(f"d/{i}.txt", t) for i, t in enumerate(texts * 3)], "path string, text string")
-    narrow = {(r.path, r.declared, r.score) for r in licenses.declared_whole(df).collect()}
-    wide = {(r.path, r.declared, r.score) for r in licenses.declared_whole(df, threshold=1e-3).where("score >= 0.6").collect()}
+    narrow = {(r.path, r.declared, r.score) for r in licenses.declared(df).collect()}
+    wide = {(r.path, r.declared, r.score) for r in licenses.declared(df, threshold=1e-3).where("score >= 0.6").collect()}
     assert narrow == wide and narrow
 
 

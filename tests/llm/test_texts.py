@@ -54,13 +54,13 @@ def windows_of(text, size):
     return w, [tuple(w[i : i + n]) for i in range(len(w) - n + 1)] if w else []
 
 
-@pytest.mark.parametrize("block", [2_000_000, 30])
+@pytest.mark.parametrize("block", [12_000_000, 180])
 def test_decontamination(spark, docs, none, block):
     parts = rows()[16][1].split()
     items = [(1, " ".join(parts[100:130])), (2, "one"), (3, None), (None, "one"), (10, parts[5000] + " " + " ".join(parts[5001:5040]) + " zz"), (10, prose(20, 99)), (4, "")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {}
-    for r in decontaminate.find_overlap(docs, bench, keep=["doc_id", "text"], block_words=block).collect():
+    for r in decontaminate.find_overlap(docs, bench, keep=["doc_id", "text"], block_bytes=block).collect():
         wanted = defaultdict(set)
         for item, text in items:
             if item is not None and text:
@@ -78,7 +78,7 @@ def test_decontamination(spark, docs, none, block):
         got[r.doc_id] = r
     assert got[16].longest_match == 40 and got[16].longest_start == 5000 and got[16].longest_item == "10"
     assert got[3].contaminated and got[3].longest_match == 1
-    clean = decontaminate.remove_contaminated(docs, bench, block_words=block)
+    clean = decontaminate.remove_contaminated(docs, bench, block_bytes=block)
     assert clean.columns == docs.columns and clean.where("doc_id = 3").count() == 0 and clean.count() == docs.count() - 1
     assert decontaminate.remove_contaminated(docs, bench.limit(0)).count() == docs.count()
     assert decontaminate.find_overlap(none, bench, keep=["doc_id"]).count() == 0
