@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ from .files import make_folder, put
 END_ID = 2
 #: Tokens after which a file is closed; a document stands in one file.
 FILE_TOKENS = 4_000_000
-#: Distinct pieces of text whose ids a worker remembers; the memory is emptied when full.
-MEMO = 500_000
+#: Words whose ids a worker remembers; the memory is emptied when full.
+MEMO = 400_000
 #: Text bytes whose distinct pieces are looked up together.
 LEARN_BYTES = 4 << 20
 MAGIC = b"DACIDS01"
@@ -43,14 +44,6 @@ _BLOCK = 512
 _LINE = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!%$&*#?;:]*)|(.*))$", re.MULTILINE)
 
 
-class _Places(dict):
-    """Numbers keys in the order in which they are first asked for."""
-
-    def __missing__(self, key: str) -> int:
-        self[key] = n = len(self)
-        return n
-
-
 class Encoder:
     """Encodes whole texts exactly as the tokenizer does, but each distinct piece once.
 
@@ -72,7 +65,7 @@ class Encoder:
         self.byte_letters = {ord(c): "".join(letter[x] for x in c.encode()) for c in high}
         self.by_piece = self._pieces_suffice(high)
 
-        self.memo: dict[str, bytes] = {"": b""}
+        self.memo: dict[str, bytes] = {}
 
     def _pieces_suffice(self, high: list[str]) -> bool:
         """Whether this tokenizer gives a text the ids of its pieces, tried on all letters in question."""
@@ -93,45 +86,40 @@ class Encoder:
         ends = (np.cumsum([len(x) for x in parts]) * 4).tolist()
         return {w: whole[a:b] for w, a, b in zip(cores, [0, *ends], ends, strict=False)}
 
-    def _learn(self, pieces: list[str]) -> list[bytes]:
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
         """The ids of each of the pieces, which have no line feeds."""
         rows = _LINE.findall("\n".join(pieces))
         cores = "\n".join([r[0] for r in rows]).lower().split("\n")
-        ids = self._letters(list(dict.fromkeys(filter(None, cores))))
+        memo = self.memo
+        new = [c for c in dict.fromkeys(cores) if c and c not in memo]
+        if len(memo) + len(new) > MEMO:
+            memo.clear()
+            new = list(dict.fromkeys(filter(None, cores)))
+        memo.update(self._letters(new))
+        memo[""] = b""
         rest = list({x for _, marks, other in rows for x in (marks, other) if x})
-        ids.update(zip(rest, self._each(rest), strict=True))
-        ids[""] = b""
-        return [ids[c] + ids[m] + ids[o] for c, (_, m, o) in zip(cores, rows, strict=True)]
+        other = dict(zip(rest, self._each(rest), strict=True))
+        other[""] = b""
+        return [memo[c] + other[m] + other[o] for c, (_, m, o) in zip(cores, rows, strict=True)]
 
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, none of them null."""
         if not self.by_piece:
-            return [np.frombuffer(x, "<u4") for x in self._each(texts)]
-        places = _Places()
-        number = places.__getitem__
-        used = [np.fromiter(map(number, t.replace("\n", " ").split(" ")), np.int64) for t in texts]
-        pieces = list(places)
-        ids = list(map(self.memo.get, pieces))
-        new = [i for i, x in enumerate(ids) if x is None]
-        if new:
-            if len(self.memo) + len(new) > MEMO:
-                self.memo = {"": b""}
-            unknown = [pieces[i] for i in new]
-            learned = self._learn(unknown)
-            self.memo.update(zip(unknown, learned, strict=True))
-            for i, x in zip(new, learned, strict=True):
-                ids[i] = x
+            return [np.frombuffer(x, "<u4") for x in self._each(texts.to_pylist())]
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        coded = split.values.dictionary_encode()
+        own, ids = coded.indices.to_numpy(), self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(ids), "<u4")
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         start = np.cumsum(size) - size
-        own = np.concatenate(used)
         n = size[own]
         end = np.cumsum(n)
-        every = flat[np.arange(end[-1]) + np.repeat(start[own] - end + n, n)]
-        cuts = end[np.cumsum([len(x) for x in used]) - 1].tolist()
+        every = flat[np.arange(end[-1] if len(end) else 0) + np.repeat(start[own] - end + n, n)]
+        cuts = end[split.offsets.to_numpy()[1:] - 1].tolist()  # every text has a piece, if only an empty one
         return [every[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
 
     def encode(self, text: str) -> np.ndarray:
-        return self.encode_all([text])[0]
+        return self.encode_all(pa.array([text]))[0]
 
 
 @lru_cache(maxsize=2)
@@ -252,7 +240,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
 
         for batch in batches:
             for step in steps(batch, 1, LEARN_BYTES):
-                texts = [t or "" for t in step.column(1).to_pylist()]
+                texts = pc.fill_null(step.column(1), "")
                 for d, got in zip(step.column(0).to_pylist(), encode(texts), strict=True):
                     names.append(d)
                     ids.append(np.concatenate([got, tail]))
