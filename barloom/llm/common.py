@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..session import ship
+from .files import remove_folder
 
 #: Text bytes that one numpy step holds at once; a longer single text is a step of its own.
 STEP_BYTES = 8 << 20
@@ -25,23 +28,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where none is set."""
+    """The shared folder that the cluster names; a temporary one only on one machine, where none is set."""
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-work-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+#: For each open `scratch`, the folders that were made since.
+_made: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _made:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[str], None]]:
+    """Removes, in the end, all that was written into the shared folder meanwhile; gives a function that keeps a folder.
+
+    For jobs whose results are written inside: a table that is read later would miss its files.
+    """
+    made: list[str] = []
+    kept: set[str] = set()
+    _made.append(made)
+    try:
+        yield kept.add
+    finally:
+        _made.remove(made)
+        for folder in made:
+            if folder not in kept:
+                remove_folder(folder)
+
+
+def written(name: str) -> list[str]:
+    """Folders of a name that the innermost scratch has seen made."""
+    return [f for f in (_made[-1] if _made else []) if re.fullmatch(rf"{re.escape(name)}-[0-9a-f]{{32}}", f.rsplit("/", 1)[-1])]
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Cut the lineage: write df as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = path or new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

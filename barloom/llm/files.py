@@ -35,3 +35,9 @@ def get(uri: str) -> bytes:
     store, path = _open(uri)
     with store.open_input_file(path) as f:
         return f.read()
+
+
+def remove_folder(uri: str) -> None:
+    store, path = _open(uri)
+    if store.get_file_info(path).type != fs.FileType.NotFound:
+        store.delete_dir(path)

@@ -399,8 +399,8 @@ def test_toxicity_of_held_out_documents(spark):
     held = out[out.held_out]
     assert held.score.between(0, 1).all()
     assert ((held.score >= 0.3) == (held.predicted == 1)).all()
-    english = held[held.lang == "en"]
-    assert english[english.toxic == 1].predicted.mean() > 0.8 and held[held.toxic == 0].predicted.mean() < 0.05
+    assert held[held.toxic == 0].predicted.mean() < 0.05
+    assert held[(held.toxic == 1) & (held.lang == "en")].predicted.mean() > 0.8
 
 
 def test_toxicity_edges(spark, docs, none):
@@ -414,6 +414,47 @@ def test_toxicity_edges(spark, docs, none):
     assert len(toxicity.features(b"", lexicon)) == len(toxicity.FEATURES)
 
 
+def slow_features(text, lexicon):
+    """The 16 features, one word and one character at a time."""
+    fold = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
+    n_bytes = lambda t: len(t.encode())
+    words = re.findall("[a-z0-9'\x80-\U0010ffff]+", fold(text))
+    n, size = max(1, len(words)), max(1, n_bytes(text))
+
+    def weight(w):
+        b, found = w.encode(), [0.0]
+        for unit, x in lexicon.learned.items():
+            if unit == b or unit.endswith(b"*") and len(unit) - 1 in (4, 5, 6, 7) and b.startswith(unit[:-1]):
+                found.append(x)
+        return max(found)
+
+    insults, second = toxicity.INSULTS, toxicity.SECOND_PERSON
+    hits, you = [i for i, w in enumerate(words) if w in insults], [i for i, w in enumerate(words) if w in second]
+    weights = [weight(w) for w in words if weight(w) > 0]
+    upper, lower = sum("A" <= c <= "Z" for c in text), sum("a" <= c <= "z" for c in text)
+    shouted = sum(len(w.encode()) > 2 and w.encode().isupper() for w in re.findall("[^\x20\x09-\x0d]+", text)) if upper > 0.05 * max(1, upper + lower) else 0
+    spelled = r"(?<![a-z])(?:[a-z][ .\-_]){3,}[a-z](?![a-z])"
+    masked = r"[a-z\x80-\U0010ffff]+[0-9@$!*#_.\-]+[a-z\x80-\U0010ffff][a-z0-9@$!*#\x80-\U0010ffff]*"
+    hidden = re.findall(f"{spelled}|{masked}", fold(text)) if words else []
+    squeeze = lambda w: re.sub(r"(.)\1+", r"\1", w)
+    plain = [squeeze(re.sub("[^a-z\x80-\U0010ffff]", "", "".join({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "@": "a", "$": "s", "!": "i", "7": "t"}.get(c, c) for c in h))) for h in hidden]
+    known = {squeeze(w) for w in insults} | set(insults)
+    count = lambda cs: sum(c in cs for c in text)
+    return [
+        np.log1p(len(words)), 100 * len(hits) / n, np.log1p(len(hits)), 100 * len(weights) / n, np.log1p(len(weights)), 100 * sum(weights) / n,
+        np.log1p(sum(any(abs(i - j) <= 6 for j in you) for i in hits)), 100 * len(you) / n, upper / max(1, upper + lower), shouted / n, 100 * count("!?") / size, 100 * count(".,;:!?'\"()-") / size,
+        100 * len(hidden) / n, np.log1p(sum(p in known or p.encode() in lexicon.learned for p in plain)), 100 * count("#*$%&|") / size, size / n,
+    ]
+
+
+def test_features_against_one_word_at_a_time(spark):
+    lexicon = toxicity.Lexicon(toxicity._FIXED, {b"lowe*": 2.0, b"bad": 1.0, "dépl".encode() + b"*": 3.0, b"theretofo*": 9.0, b"idiot": 0.5})
+    texts = [r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()][:80]
+    texts += ["", " ", "You IDIOT, you are an i-d-i-o-t and lowentum bad!!", "st0pid sh1t m.o.r.o.n @$$hole f.u.c.k", "LOUD ÉCOLE DÉPLOIE déplaît crétin toi", "a1b2c3 x@y.z 'tis it''s", "pute you " * 30, "no you here idiot " + "w " * 7 + "you", "\x00 idiot\x7f"]
+    for t in texts:
+        np.testing.assert_allclose(toxicity.features(t.encode(), lexicon), slow_features(t, lexicon), rtol=1e-12, err_msg=t[:60])
+
+
 # --- mixing --------------------------------------------------------------------
 
 
