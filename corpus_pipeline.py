@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.llm import decontaminate, mixing, quality, simhash, tokens
-from barloom.llm.common import saved, table
+from barloom.llm.common import new_folder, saved, scratch, table, written
 from barloom.llm.queries import tokenizer_file
 
 
@@ -43,9 +43,17 @@ STAGES = [("quality rules", quality_rules), ("near dedup", near_dedup), ("decont
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; the token files and their table stay, what the stages wrote else goes."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    with scratch() as keep:
+        for name, stage in STAGES:
+            path = new_folder(spark, name.replace(" ", "-"))
+            with scratch() as keep_of_stage:
+                docs = saved(stage(spark, docs, sf_dir), name, path)
+                if name == STAGES[-1][0]:
+                    for folder in written("tokens"):
+                        keep_of_stage(folder), keep(folder)
+        keep(path)
     return docs
 
 
