@@ -1,4 +1,9 @@
-"""The 198 columns of the wh6 family, grouped as their formulas are."""
+"""The 198 columns of the wh6 family, grouped as their formulas are.
+
+`/` stands where a quotient by zero ends as missing in either arithmetic: it is the result,
+it meets a frame (which takes infinities for missing), or its numerator is zero too.  Where
+such a quotient is compared, summed without a frame or carried on, it is `ieee`.
+"""
 
 from __future__ import annotations
 
@@ -55,7 +60,7 @@ def oscillators() -> dict:
     out |= {f"BIAS_BIAS{i}": (C - avg(C, n)) / avg(C, n) * 100 for i, n in enumerate((6, 12, 20), 1)}
     out |= {"CCI_CCI": (typical - avg(typical, 100)) / mean_deviation(typical, 100) / 0.015, "CR_CR": cr}
     out |= {f"CR_CRMA{i}": lag(avg(cr, n), int(n / 2.5 + 1)) for i, n in enumerate((5, 10, 20, 40), 1)}
-    bias = (C - avg(C, 5)) / avg(C, 5)
+    bias = ieee(C - avg(C, 5), avg(C, 5))
     dbcd = wsma(bias - lag(bias, 16), 76)
     plus, minus = _swings()
     sp, sm = total(plus, 13), total(minus, 13)
@@ -89,11 +94,11 @@ def oscillators() -> dict:
         "MI_A": diff(C, 12), "MI_MI": wsma(diff(C, 12), 12), "MICD_DIF": micd, "MICD_MICD": wsma(micd, 10), "MTM_MTM": mtm, "MTM_MTMMA": avg(mtm, 6),
         "PRICEOSC_PRICEOSC": (avg(C, 12) - avg(C, 26)) / avg(C, 12) * 100, "PSY_PSY": psy, "PSY_PSYMA": avg(psy, 6),
     }
-    qhl = C - p - (V - lag(V)) * (lag(H) - lag(L)) / lag(V)
+    qhl = C - p - ieee((V - lag(V)) * (lag(H) - lag(L)), lag(V))
     up = lambda n: total(where(qhl > 0, qhl, 0), n)
     down = lambda n: abs(total(where(qhl < 0, qhl, 0), n))
     ones = lambda c: total(where(c, 1, 0), 5)
-    rc = lambda n: wsma(lag(C / lag(C, n)), n)
+    rc = lambda n: wsma(lag(ieee(C, lag(C, n))), n)
     rccd = avg(lag(rc(59)), 21) - avg(lag(rc(59)), 28)
     roc = diff(C, 24) / lag(C, 24) * 100
     short = (C - avg(C, 24)) / avg(C, 24) * 100 * (1 + avg(diff(V) / lag(V), 5))

@@ -8,8 +8,11 @@ nine narrow columns, and the windows follow.
 
 from __future__ import annotations
 
+import datetime as dt
+from zoneinfo import ZoneInfo
+
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,21 +69,32 @@ def compute(bars: DataFrame, *, columns: list[str] | None = None, families: tupl
     return df.select(*KEYS, TIME, *wanted)
 
 
-def live_only(history: DataFrame, live: DataFrame, *, start: str, cold_start: bool = False, **options) -> DataFrame:
+def boundary(start: str, zone: str | None = None) -> Column:
+    """The instant at which live bars begin: local to zone, or to the session; a text with an offset is an instant already."""
+    when = dt.datetime.fromisoformat(start)
+    if when.tzinfo is None and zone is None:
+        return F.to_timestamp(F.lit(start))
+    when = when if when.tzinfo else when.replace(tzinfo=ZoneInfo(zone))
+    return F.timestamp_micros(F.lit(int(when.timestamp() * 1e6)))
+
+
+def live_only(history: DataFrame, live: DataFrame, *, start: str, zone: str | None = None, cold_start: bool = False, **options) -> DataFrame:
     """Features of the live bars, computed over history and live bars together.
 
     History before `start` warms the sequences up and is never returned; the filter
     stands behind the windows.  Without `cold_start` every live sequence must have
-    history; live bars before `start` are an error.
+    history; live bars before `start` are an error.  The excel family alone also refuses
+    a cold start that no sequence needs.
     """
-    early = F.col(TIME) < F.to_timestamp(F.lit(start))
+    early = F.col(TIME) < boundary(start, zone)
     if live.where(early).limit(1).count():
         raise ValueError("live bars begin before the boundary")
     past = history.where(early)
-    if not cold_start:
-        cold = live.select(*KEYS).distinct().join(past.select(*KEYS).distinct(), list(KEYS), "left_anti")
-        if cold.limit(1).count():
-            raise ValueError("a sequence has no history; allow a cold start to go on")
+    cold = live.select(*KEYS).distinct().join(past.select(*KEYS).distinct(), list(KEYS), "left_anti").limit(1).count() > 0
+    if cold and not cold_start:
+        raise ValueError("a sequence has no history; allow a cold start to go on")
+    if cold_start and not cold and tuple(options.get("families", ())) == ("excel",):
+        raise ValueError("every sequence has history; a cold start is not needed")
     return compute(past.unionByName(live), **options).where(~early)
 
 

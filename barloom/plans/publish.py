@@ -1,23 +1,30 @@
 """Build, validate, finalise and publish a feature table.
 
 A build writes Parquet, partitioned by symbol, timeframe and year, into a folder of its
-own under the root.  Validation compares it with its bars; finalising writes a READY
-record whose hash covers counts and schema; publishing moves a pointer file to the build
-in one step, so readers see either the old table or the new one, and keeps the old
-build for a rollback.  Control records are small JSON texts, written through Hadoop's
-file system, so any store that Spark writes to will do.
+own under the root, and keeps a fingerprint of each sequence's bars beside it: a build
+that is resumed skips only sequences whose bars and rows are still those.  Finalising
+computes every column anew and compares it bit for bit, checks that the bars did not
+change meanwhile, and writes a READY record that seals counts, schema, bars and files.
+Publishing adds a pointer file with the next number; the highest number counts, so
+readers see either the old table or the new one, a second publisher at the same
+time fails, and a rollback adds a pointer too.  Control records are small JSON texts, moved
+into place by Hadoop's file system, so any store that Spark writes to will do.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.registry import FAMILIES, select
 from ..sources.bars import KEYS, TIME, fingerprint
+from . import audit
 from .features import compute
 
 
@@ -30,8 +37,12 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.root, jvm = root.rstrip("/"), spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        fs, conf = jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+        self._path = fs.Path
+        self._fs = self._path(self.root).getFileSystem(conf)
+        self._files = fs.FileContext.getFileContext(self._path(self.root).toUri(), conf)
+        self._rename = getattr(fs, "Options$Rename")
+        self._array = lambda x: spark.sparkContext._gateway.new_array(self._rename, 1)
         self._io = jvm.org.apache.hadoop.io.IOUtils
         self._buffer = jvm.java.io.ByteArrayOutputStream
 
@@ -47,25 +58,37 @@ class Store:
         return json.loads(bytes(buffer.toByteArray()))
 
     def write(self, name: str, value: dict, overwrite: bool = False) -> None:
-        """Write beside and rename: never a half file under the name."""
-        if self.exists(name) and not overwrite:
-            raise PublishError(f"{name} is there already")
-        part = self._path(f"{self.root}/{name}.partial")
+        """Write beside and move in one step: never a half file under the name, nor none where one was."""
+        part = self._path(f"{self.root}/.{name}.{uuid.uuid4().hex}")
         out = self._fs.create(part, True)
         try:
             out.write(bytearray(canonical(value)))
         finally:
             out.close()
-        target = self._path(f"{self.root}/{name}")
-        if self.exists(name):
-            self._fs.delete(target, False)
-        if not self._fs.rename(part, target):
-            raise PublishError(f"cannot move {name} into place")
+        how = self._array(1)
+        how[0] = self._rename.OVERWRITE if overwrite else self._rename.NONE
+        try:
+            self._files.rename(part, self._path(f"{self.root}/{name}"), how)
+        except Py4JJavaError as e:
+            self._fs.delete(part, False)
+            raise PublishError(f"cannot move {name} into place; is it there already?") from e
+
+    def remove(self, name: str) -> None:
+        self._fs.delete(self._path(f"{self.root}/{name}"), True)
 
     def names(self, folder: str) -> list[str]:
         path = self._path(f"{self.root}/{folder}")
         return sorted(s.getPath().getName() for s in self._fs.listStatus(path)) if self._fs.exists(path) else []
 
+    def inventory(self, folder: str) -> str:
+        """A digest of the names and sizes of all data files below a folder."""
+        found, files = [], self._fs.listFiles(self._path(f"{self.root}/{folder}"), True)
+        while files.hasNext():
+            f = files.next()
+            if f.getPath().getName().endswith(".parquet"):
+                found.append((f.getPath().toString().rsplit(f"/{folder}/", 1)[-1], f.getLen()))
+        return digest({"files": sorted(found)})
+
 
 def canonical(value: dict) -> bytes:
     return json.dumps(value, sort_keys=True, separators=(",", ":")).encode()
@@ -78,90 +101,175 @@ def digest(value: dict) -> str:
 def build(bars: DataFrame, root: str, run: str, *, families: tuple[str, ...] = FAMILIES, columns: list[str] | None = None, resume: bool = False) -> DataFrame:
     """Write the features of all sequences to root/builds/run; one plan, no loop over sequences.
 
-    resume computes only the sequences that the run's folder does not have yet.
+    resume computes the sequences that are not there yet, and anew those whose bars are
+    not the fingerprinted ones or whose rows are not as many as their bars.
     """
     spark = bars.sparkSession
-    path = f"{root}/builds/{run}"
-    store = Store(spark, root)
-    if store.exists(f"builds/{run}"):
-        if not resume:
-            raise PublishError(f"build {run} is there already")
-        done = spark.read.parquet(path).select(*KEYS).distinct()
-        bars = bars.join(done, list(KEYS), "left_anti")
+    path, store = f"{root}/builds/{run}", Store(spark, root)
+    wanted = digest({"c": list(select(columns, families))})
+    prints = fingerprint(bars).withColumn("columns", F.lit(wanted))
+    there = store.exists(f"builds/{run}")
+    if there and not resume:
+        raise PublishError(f"build {run} is there already")
+    if there:
+        # Written, as what it was read from is about to change.
+        skipped = f"{root}/skipped/{run}-{uuid.uuid4().hex}"
+        valid_sequences(spark, root, run, prints).write.parquet(skipped)
+        valid = spark.read.parquet(skipped)
+        bars = bars.join(valid, list(KEYS), "left_anti")
+        prints = prints.join(valid, list(KEYS), "left_anti")
+        for r in stored(spark, root, run).select(*KEYS).distinct().join(valid, list(KEYS), "left_anti").collect():  # names of sequences
+            store.remove(f"builds/{run}/symbol={_escaped(r.symbol)}/timeframe={_escaped(r.timeframe)}")
     made = compute(bars, families=families, columns=columns).withColumn("year", F.year(TIME))
-    made.repartition("symbol", "timeframe", "year").sortWithinPartitions(TIME).write.mode("append" if resume else "errorifexists").partitionBy("symbol", "timeframe", "year").option("compression", "zstd").parquet(path)
+    made.repartition("symbol", "timeframe", "year").sortWithinPartitions(TIME).write.mode("append" if there else "errorifexists").partitionBy("symbol", "timeframe", "year").option("compression", "zstd").parquet(path)
+    prints.withColumn("stamp", F.current_timestamp()).write.mode("append").parquet(f"{root}/prints/{run}")
     return stored(spark, root, run)
 
 
+def _escaped(value: str) -> str:
+    """A partition value as Spark names its folder."""
+    return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^\x7f" or ord(c) < 32 else c for c in value)
+
+
+def valid_sequences(spark: SparkSession, root: str, run: str, prints: DataFrame) -> DataFrame:
+    """Sequences of a build whose last fingerprint is that of their bars now, with as many rows as bars."""
+    if not Store(spark, root).exists(f"prints/{run}"):
+        return prints.select(*KEYS).limit(0)
+    same = ["n_bars", "first_time", "last_time", "hash_sum", "hash_xor", "columns"]
+    last = spark.read.schema(T.StructType([*prints.schema.fields, T.StructField("stamp", T.TimestampType())])).parquet(f"{root}/prints/{run}")
+    last = last.groupBy(*KEYS).agg(F.max(F.struct("stamp", *same)).alias("was")).select(*KEYS, "was")
+    rows = stored(spark, root, run).groupBy(*KEYS).agg(F.count("*").alias("rows"))
+    now = prints.select(*KEYS, F.struct(*same).alias("now"), F.col("n_bars").alias("expected"))
+    matches = [F.col(f"was.{c}").eqNullSafe(F.col(f"now.{c}")) for c in same]
+    condition = F.col("rows") == F.col("expected")
+    for m in matches:
+        condition = condition & m
+    return now.join(last, list(KEYS)).join(rows, list(KEYS)).where(condition).select(*KEYS)
+
+
 def stored(spark: SparkSession, root: str, run: str) -> DataFrame:
-    """A build's rows; its partition columns are read as strings, as symbols are case-sensitive codes."""
-    df = spark.read.option("mergeSchema", False).parquet(f"{root}/builds/{run}")
-    return df.withColumn("symbol", F.col("symbol").cast("string")).withColumn("timeframe", F.col("timeframe").cast("string"))
+    """A build's rows; its partition columns are strings, as symbols are codes: `01` is not `1`."""
+    path = f"{root}/builds/{run}"
+    found = spark.read.option("mergeSchema", False).parquet(path).schema
+    text = {f.name: T.StringType() for f in found if f.name in KEYS}
+    return spark.read.schema(T.StructType([T.StructField(f.name, text.get(f.name, f.dataType)) for f in found])).parquet(path)
 
 
 def structure(bars: DataFrame, features: DataFrame, *, families: tuple[str, ...] = FAMILIES, columns: list[str] | None = None) -> dict:
-    """Columns, sequences and bars that are missing or too many."""
+    """Columns and bars that are missing or too many; one join over the keys."""
     wanted = list(select(columns, families))
     have = [c for c in features.columns if c not in (*KEYS, TIME, "year")]
     on = [*KEYS, TIME]
-    a, b = bars.select(*on), features.select(*on)
-    return {"columns_missing": [c for c in wanted if c not in have], "columns_extra": [c for c in have if c not in wanted], "bars_missing": a.exceptAll(b).count(), "bars_extra": b.exceptAll(a).count()}
+    a, b = (x.groupBy(*on).agg(F.count("*").alias(n)) for x, n in ((bars, "x"), (features, "y")))
+    gap = F.coalesce("x", F.lit(0)) - F.coalesce("y", F.lit(0))
+    row = a.join(b, on, "full_outer").agg(F.sum(F.greatest(gap, F.lit(0))), F.sum(F.greatest(-gap, F.lit(0)))).first()
+    return {"columns_missing": [c for c in wanted if c not in have], "columns_extra": [c for c in have if c not in wanted], "bars_missing": row[0] or 0, "bars_extra": row[1] or 0}
 
 
-def finalize(bars: DataFrame, root: str, run: str, **scope) -> dict:
-    """Validate the structure and write READY last; gives the record."""
-    spark = bars.sparkSession
-    features = stored(spark, root, run)
+def validate(bars: DataFrame, features: DataFrame, **scope) -> dict:
+    """Structure, then every cell against one that is computed anew: cells, and those that are not identical."""
     report = structure(bars, features, **scope)
     if any(report.values()):
-        raise PublishError(f"build {run} is not complete: {report}")
-    prints = [r.asDict() for r in fingerprint(bars).select(*KEYS, "n_bars", "hash_sum").orderBy(*KEYS).toLocalIterator()]
-    ready = {"run": run, "columns": digest({"c": list(select(scope.get("columns"), scope.get("families", FAMILIES)))}), "sequences": len(prints), "bars": sum(p["n_bars"] for p in prints), "source": digest({"p": prints})}
+        return report | {"cells": 0, "not_identical": 0}
+    row = audit.compare(features.drop("year"), compute(bars, **scope), absolute=0.0, relative=0.0).agg(F.sum("n_cells"), F.sum("not_identical")).first()
+    return report | {"cells": row[0] or 0, "not_identical": row[1] or 0}
+
+
+def _seal(bars: DataFrame) -> dict:
+    """Counts of the bars and a digest over the fingerprints of all sequences."""
+    rows = fingerprint(bars)
+    h = F.xxhash64(*KEYS, "n_bars", "first_time", "last_time", "hash_sum", "hash_xor")
+    n, total, x, y = rows.agg(F.count("*"), F.sum("n_bars"), F.sum(h.cast("decimal(38,0)")).cast("string"), F.bit_xor(h)).first()
+    return {"sequences": n, "bars": total or 0, "source": digest({"sum": x, "xor": y})}
+
+
+def finalize(bars: DataFrame, root: str, run: str, **scope) -> dict:
+    """Validate all cells and write READY last; gives the record.
+
+    The bars must be those of the build's fingerprints, and be the same before and after.
+    """
+    spark = bars.sparkSession
+    before, files = _seal(bars), Store(spark, root).inventory(f"builds/{run}")
+    prints = fingerprint(bars).withColumn("columns", F.lit(digest({"c": list(select(scope.get("columns"), scope.get("families", FAMILIES)))})))
+    if valid_sequences(spark, root, run, prints).count() != before["sequences"]:
+        raise PublishError(f"build {run} was not made from these bars and columns, or is not complete")
+    report = validate(bars, stored(spark, root, run), **scope)
+    if any(v for k, v in report.items() if k != "cells"):
+        raise PublishError(f"build {run} is not valid: {report}")
+    if _seal(bars) != before or Store(spark, root).inventory(f"builds/{run}") != files:
+        raise PublishError("bars or files changed while they were validated")
+    ready = {"run": run, "columns": list(select(scope.get("columns"), scope.get("families", FAMILIES))), "cells": report["cells"], "files": files, **before}
     Store(spark, root).write(f"ready-{run}.json", ready)
     return ready
 
 
+def pointer(store: Store) -> tuple[int, dict | None]:
+    """The number and content of the pointer that counts; 0 and none before the first."""
+    names = [n for n in store.names("") if n.startswith("current-") and n.endswith(".json")]
+    return (int(names[-1][8:-5]), store.read(names[-1])) if names else (0, None)
+
+
 def publish(spark: SparkSession, root: str, run: str, *, confirm: str | None = None) -> dict:
     """Point readers to a finalised build; without `confirm`, the READY digest, only tell what would be done."""
     store = Store(spark, root)
     if not store.exists(f"ready-{run}.json"):
         raise PublishError(f"build {run} is not finalised")
-    ready = digest(store.read(f"ready-{run}.json"))
-    before = store.read("current.json")["run"] if store.exists("current.json") else None
-    plan = {"run": run, "ready": ready, "previous": before}
+    record = store.read(f"ready-{run}.json")
+    ready, (number, now) = digest(record), pointer(store)
+    plan = {"run": run, "ready": ready, "previous": now["run"] if now else None}
     if confirm is None:
         return plan | {"published": False}
     if confirm != ready:
         raise PublishError("the confirmed digest is not that of READY")
-    store.write(f"journal-{run}.json", plan | {"state": "PREPARED"}, overwrite=True)
-    store.write("current.json", plan, overwrite=True)
-    store.write(f"journal-{run}.json", plan | {"state": "LIVE"}, overwrite=True)
+    if store.inventory(f"builds/{run}") != record["files"]:
+        raise PublishError(f"the files of build {run} are not those that were validated")
+    journal = {"run": run, "ready": ready, "number": number + 1}
+    store.write(f"journal-{number + 1:08d}-{run}.json", journal | {"state": "PREPARED"}, overwrite=True)
+    store.write(f"current-{number + 1:08d}.json", {"run": run, "ready": ready, "history": [*now["history"], now["run"]] if now else []})
+    store.write(f"journal-{number + 1:08d}-{run}.json", journal | {"state": "LIVE"}, overwrite=True)
     return plan | {"published": True}
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    return stored(spark, root, Store(spark, root).read("current.json")["run"])
+    _, now = pointer(Store(spark, root))
+    if now is None:
+        raise PublishError("nothing is published")
+    return stored(spark, root, now["run"])
+
+
+def verify_live(bars: DataFrame, root: str, **scope) -> dict:
+    """What is published against its READY record and, cell by cell, against its bars; gives the report."""
+    spark = bars.sparkSession
+    store = Store(spark, root)
+    _, now = pointer(store)
+    if now is None:
+        raise PublishError("nothing is published")
+    record = store.read(f"ready-{now['run']}.json")
+    report = validate(bars, stored(spark, root, now["run"]), **scope)
+    found = {"ready": digest(record) == now["ready"], "files": store.inventory(f"builds/{now['run']}") == record["files"], "bars": _seal(bars)["source"] == record["source"], "cells": not any(v for k, v in report.items() if k != "cells")}
+    return {"run": now["run"], "status": "PASS" if all(found.values()) else "FAIL", **found, "report": report}
 
 
 def recover(spark: SparkSession, root: str) -> list[str]:
-    """Finish or undo publications that broke off; gives what was done."""
+    """Close publications that broke off: LIVE if their pointer was written, UNDONE if not; gives what was done."""
     store, done = Store(spark, root), []
-    now = store.read("current.json")["run"] if store.exists("current.json") else None
     for name in store.names(""):
         if name.startswith("journal-") and name.endswith(".json"):
             entry = store.read(name)
             if entry["state"] == "PREPARED":
-                state = "LIVE" if now == entry["run"] else "UNDONE"
+                made = f"current-{entry['number']:08d}.json"
+                state = "LIVE" if store.exists(made) and store.read(made)["ready"] == entry["ready"] else "UNDONE"
                 store.write(name, entry | {"state": state}, overwrite=True)
                 done.append(f"{entry['run']}: {state}")
     return done
 
 
 def rollback(spark: SparkSession, root: str) -> str:
-    """Point readers to the build before the current one."""
+    """Point readers to the build before the current one; can be repeated down to the first."""
     store = Store(spark, root)
-    entry = store.read("current.json")
-    if not entry["previous"]:
+    number, now = pointer(store)
+    if now is None or not now["history"]:
         raise PublishError("there is no build before")
-    store.write("current.json", {"run": entry["previous"], "ready": digest(store.read(f"ready-{entry['previous']}.json")), "previous": None}, overwrite=True)
-    return entry["previous"]
+    run = now["history"][-1]
+    store.write(f"current-{number + 1:08d}.json", {"run": run, "ready": digest(store.read(f"ready-{run}.json")), "history": now["history"][:-1]})
+    return run

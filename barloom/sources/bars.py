@@ -124,3 +124,14 @@ def scoped(bars: DataFrame, symbols: list[str] | None = None, timeframes: list[s
         if found != len(symbols) * len(timeframes):
             raise ValueError(f"{found} of {len(symbols) * len(timeframes)} sequences are there")
     return out
+
+
+def one_sequence(bars: DataFrame, identity: tuple[str, ...] = ("symbol", "timeframe", "period", "contract_code")) -> DataFrame:
+    """bars, which must be one sequence: each identity column that is there has one value, and no null."""
+    there = [c for c in identity if c in bars.columns]
+    row = bars.agg(F.count("*"), *[x for c in there for x in (F.min(c), F.max(c), F.count(c))]).first()
+    for i, c in enumerate(there):
+        least, most, n = row[3 * i + 1 : 3 * i + 4]
+        if least != most or n != row[0]:
+            raise ValueError(f"{c} has more than one value, or none")
+    return bars

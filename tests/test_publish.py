@@ -2,41 +2,117 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.plans import publish as P
+from barloom.plans.features import compute
 from tests.conftest import SMALL
 
-SCOPE = {"columns": ["tv_sma_10", "tv_ema_8", "excel_CLV"]}
+COLUMNS = ["tv_sma_10", "tv_ema_8", "excel_CLV"]
+SCOPE = {"columns": COLUMNS}
 
 
-def test_from_build_to_rollback(spark, tmp_path):
+@pytest.fixture(scope="module")
+def bars(spark):
     from barloom.sources.bars import lineitem_bars
 
+    rows = lineitem_bars(spark, SMALL).where("trade_time < '1995-09-01'")
+    return rows.withColumn("symbol", F.when(F.col("symbol") == "N", "01").otherwise(F.col("symbol"))).cache()
+
+
+def test_from_build_to_rollback(spark, bars, tmp_path):
     root = f"file://{tmp_path}/features"
-    bars = lineitem_bars(spark, SMALL).cache()
     made = P.build(bars, root, "r1", **SCOPE)
-    assert made.count() == bars.count()
+    assert made.count() == bars.count() and {r.symbol for r in made.select("symbol").distinct().collect()} >= {"01", "R"}
     with pytest.raises(P.PublishError):
         P.build(bars, root, "r1", **SCOPE)
     with pytest.raises(P.PublishError):
         P.publish(spark, root, "r1")
+    with pytest.raises(P.PublishError):
+        P.current(spark, root)
     ready = P.finalize(bars, root, "r1", **SCOPE)
-    assert ready["bars"] == bars.count() and ready["sequences"] == 3
+    assert ready["bars"] == bars.count() and ready["sequences"] == 3 and ready["cells"] == 3 * bars.count()
     plan = P.publish(spark, root, "r1")
     assert not plan["published"]
     with pytest.raises(P.PublishError):
         P.publish(spark, root, "r1", confirm="wrong")
     assert P.publish(spark, root, "r1", confirm=plan["ready"])["published"]
     assert P.current(spark, root).count() == bars.count()
-
-    part = bars.where("symbol <> 'R'")
-    P.build(part, root, "r2", **SCOPE)
+    assert P.verify_live(bars, root, **SCOPE)["status"] == "PASS"
+    for run in ("r2", "r3"):
+        P.build(bars, root, run, **SCOPE)
+        P.finalize(bars, root, run, **SCOPE)
+        P.publish(spark, root, run, confirm=P.publish(spark, root, run)["ready"])
+    assert [P.rollback(spark, root), P.rollback(spark, root)] == ["r2", "r1"]
     with pytest.raises(P.PublishError):
+        P.rollback(spark, root)
+    moved = bars.withColumn("close", F.col("close") + (F.col("symbol") == "R").cast("double") * 1e-9)
+    live = P.verify_live(moved, root, **SCOPE)
+    assert live["status"] == "FAIL" and not live["bars"] and not live["cells"] and live["files"] and live["ready"]
+
+
+def test_wrong_values_are_not_finalised(spark, bars, tmp_path):
+    root = f"file://{tmp_path}/f"
+    P.build(bars, root, "r1", **SCOPE)
+    rows = P.stored(spark, root, "r1").cache()
+    rows.count()
+    off = rows.withColumn("tv_sma_10", F.when(F.col("symbol") == "A", F.col("tv_sma_10") * (1 + 1e-14)).otherwise(F.col("tv_sma_10")))
+    off.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("symbol", "timeframe", "year").parquet(f"{root}/builds/r2")
+    bars_print = P.fingerprint(bars).withColumn("columns", F.lit(P.digest({"c": COLUMNS}))).withColumn("stamp", F.current_timestamp())
+    bars_print.write.parquet(f"{root}/prints/r2")
+    with pytest.raises(P.PublishError, match="not valid"):
         P.finalize(bars, root, "r2", **SCOPE)
-    P.build(bars, root, "r2", resume=True, **SCOPE)
-    P.finalize(bars, root, "r2", **SCOPE)
-    done = P.publish(spark, root, "r2", confirm=P.publish(spark, root, "r2")["ready"])
-    assert done["previous"] == "r1"
-    assert P.rollback(spark, root) == "r1"
-    assert P.current(spark, root).agg(F.count("*")).first()[0] == bars.count()
+
+
+def test_resume_computes_what_changed(spark, bars, tmp_path):
+    root = f"file://{tmp_path}/f"
+    P.build(bars.where("symbol <> 'R'"), root, "r", **SCOPE)
+    with pytest.raises(P.PublishError):
+        P.finalize(bars, root, "r", **SCOPE)
+    corrected = bars.withColumn("close", F.when((F.col("symbol") == "A") & (F.col("trade_time") >= "1995-06-01"), F.col("high")).otherwise(F.col("close"))).cache()
+    prints = P.fingerprint(corrected).withColumn("columns", F.lit(P.digest({"c": COLUMNS})))
+    assert [tuple(r) for r in P.valid_sequences(spark, root, "r", prints).collect()] == [("01", "1day")]
+    P.build(corrected, root, "r", resume=True, **SCOPE)
+    assert P.stored(spark, root, "r").count() == bars.count()
+    P.finalize(corrected, root, "r", **SCOPE)
+    got = {(r.symbol, r.trade_time): r.tv_sma_10 for r in P.stored(spark, root, "r").collect()}
+    assert got == {(r.symbol, r.trade_time): r.tv_sma_10 for r in compute(corrected, columns=COLUMNS).collect()}
+    with pytest.raises(P.PublishError, match="not made from"):
+        P.finalize(corrected, root, "r", columns=COLUMNS[:2])
+
+
+@pytest.mark.parametrize("broken", [1, 2, 3])
+def test_publication_that_breaks_off(spark, bars, tmp_path, monkeypatch, broken):
+    """Broken off before each of its three records, a publication is undone or live, and readers see a whole build."""
+    root = f"file://{tmp_path}/f"
+    few = bars.where("symbol = 'A'")
+    for run in ("r1", "r2"):
+        P.build(few, root, run, **SCOPE)
+        P.finalize(few, root, run, **SCOPE)
+    P.publish(spark, root, "r1", confirm=P.publish(spark, root, "r1")["ready"])
+    confirm, write, calls = P.publish(spark, root, "r2")["ready"], P.Store.write, []
+
+    def breaks(self, *a, **k):
+        calls.append(a)
+        if len(calls) == broken:
+            raise KeyboardInterrupt
+        return write(self, *a, **k)
+
+    with monkeypatch.context() as m:
+        m.setattr(P.Store, "write", breaks)
+        with pytest.raises(KeyboardInterrupt):
+            P.publish(spark, root, "r2", confirm=confirm)
     store = P.Store(spark, root)
-    store.write("journal-r9.json", {"run": "r9", "state": "PREPARED"})
-    assert P.recover(spark, root) == ["r9: UNDONE"]
+    assert P.pointer(store)[1]["run"] == ("r2" if broken == 3 else "r1")
+    assert P.recover(spark, root) == {1: [], 2: ["r2: UNDONE"], 3: ["r2: LIVE"]}[broken]
+    assert P.recover(spark, root) == [] and P.current(spark, root).count() == few.count()
+    if broken < 3:
+        assert P.publish(spark, root, "r2", confirm=confirm)["published"]
+
+
+def test_of_two_publishers_one_fails(spark, tmp_path):
+    store = P.Store(spark, f"file://{tmp_path}/f")
+    store.write("current-00000001.json", {"run": "a", "ready": "", "history": []})
+    with pytest.raises(P.PublishError):
+        store.write("current-00000001.json", {"run": "b", "ready": "", "history": []})
+    assert P.pointer(store)[1]["run"] == "a"
+    store.write("note.json", {"x": 1}, overwrite=True)
+    store.write("note.json", {"x": 2}, overwrite=True)
+    assert store.read("note.json") == {"x": 2} and not [n for n in store.names("") if n.startswith(".") and not n.endswith(".crc")]
