@@ -1,6 +1,7 @@
 """Features as Spark windows against the kernels, and their edges."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
@@ -15,22 +16,23 @@ from barloom.sources.bars import NUMBERS, SCHEMA
 
 
 def made(n, seed=0, symbol="a", start="2019-12-01", flat=(), quiet=()):
-    x = np.arange(n, dtype=float)
-    close = 100 + 0.02 * x + np.sin(x / 11) * 3 + np.random.default_rng(seed).normal(size=n) / 3
-    open_ = close + 0.15 * np.cos(x / 7)
-    high, low = np.maximum(open_, close) + 0.8, np.minimum(open_, close) - 0.9
-    volume = 1000 + 11 * (x % 37)
+    """A seeded random walk; rows of `flat` have one price, rows of `quiet` no volume."""
+    r = np.random.default_rng([seed, 77])
+    close = 60 * np.exp(r.normal(0, 0.01, n).cumsum())
+    open_ = close * np.exp(r.normal(0, 0.004, n))
+    high, low = np.maximum(open_, close) + r.gamma(2.0, 0.2, n), np.minimum(open_, close) - r.gamma(2.0, 0.2, n)
+    volume, interest = r.integers(40, 900, n).astype(float), 3000 + r.integers(-30, 31, n).cumsum().astype(float)
     for i in flat:
         open_[i] = high[i] = low[i] = close[i]
     for i in quiet:
         volume[i] = 0
     when = [dt.datetime.fromisoformat(start) + dt.timedelta(hours=i) for i in range(n)]
-    return pd.DataFrame({"symbol": symbol, "timeframe": "1h", "trade_time": when, "open": open_, "high": high, "low": low, "close": close, "volume": volume, "open_interest": 5000 + 9 * (x % 53)})
+    return pd.DataFrame({"symbol": symbol, "timeframe": "1h", "trade_time": when, "open": open_, "high": high, "low": low, "close": close, "volume": volume, "open_interest": interest})
 
 
 @pytest.fixture(scope="module")
 def bars(spark):
-    frames = [made(300, 1, "a", flat=range(120, 145), quiet=[0, 60, 61, 200]), made(260, 2, "A"), made(1, 3, "one")]
+    frames = [made(300, 1, "a", flat=range(171, 199), quiet=[0, 83, 84, 219]), made(260, 2, "A"), made(1, 3, "one")]
     return spark.createDataFrame(pd.concat(frames), SCHEMA).cache(), frames
 
 
@@ -67,12 +69,41 @@ def test_one_exchange_for_all_windows(bars):
 
 
 def test_flat_candles(spark):
-    f = made(60, flat=[24])
+    """A candle without a range has no place for its close: what frames it lacks a value, the running sum stands still."""
+    f = made(90, 5, flat=[37])
     df = spark.createDataFrame(f, SCHEMA)
     got = compute(df, columns=["tv_cmf_20", "tv_eom_14", "tv_adl"]).orderBy("trade_time").toPandas()
-    assert got.tv_cmf_20[24:44].isna().all() and got.tv_cmf_20[[23, 44]].notna().all()
-    assert got.tv_eom_14[24:38].isna().all() and got.tv_eom_14[[23, 38]].notna().all()
-    assert got.tv_adl[24] == got.tv_adl[23]
+    for column, n in (("tv_cmf_20", 20), ("tv_eom_14", 14)):
+        missing = np.flatnonzero(got[column].isna())
+        assert [i for i in missing if i > n] == list(range(37, 37 + n))
+    assert got.tv_adl[37] == got.tv_adl[36] != got.tv_adl[38]
+
+
+def test_silent_bar_in_the_short_line(spark):
+    """A quotient by a volume of zero is infinite, counts as negative and empties the sums after it."""
+    f = made(48, 9, quiet=[22])
+    got = compute(spark.createDataFrame(f, SCHEMA), columns=["wh6_QHLSR_QHL5", "wh6_QHLSR_QHL10"]).orderBy("trade_time").toPandas()
+    c, h, low, v = (f[x].tolist() for x in ("close", "high", "low", "volume"))
+    line = [math.nan] * 2
+    for i in range(2, 48):
+        num = (v[i] - v[i - 1]) * (h[i - 1] - low[i - 1])
+        line.append(c[i] - c[i - 1] - (num / v[i - 1] if v[i - 1] else math.copysign(math.inf, num)))
+    num1 = (v[1] - v[0]) * (h[0] - low[0])
+    line[1] = c[1] - c[0] - num1 / v[0]
+    for i in range(48):
+        for n, have in ((5, got.wh6_QHLSR_QHL5[i]), (10, got.wh6_QHLSR_QHL10[i])):
+            own = line[max(0, i - n + 1) : i + 1]
+            up, down = sum(x for x in own if x > 0), -sum(x for x in own if x < 0)
+            if len(own) < n:
+                want = math.nan
+            elif n == 5 and all(x > 0 for x in own):
+                want = 1.0
+            elif n == 5 and all(x < 0 for x in own):
+                want = 0.0
+            else:
+                want = math.nan if math.inf in (up, down) else up / (up + down)
+            assert have == pytest.approx(want, nan_ok=True), (i, n)
+    assert got.wh6_QHLSR_QHL10[23:33].isna().all() and got.wh6_QHLSR_QHL10[[22, 33]].notna().all()
 
 
 def test_first_rows(spark):
@@ -107,6 +138,32 @@ def test_warm_up(spark):
         live_only(df, df, start="2019-12-10", columns=columns)
 
 
+def test_boundary_in_a_zone(spark):
+    df = spark.createDataFrame(made(60, start="2019-12-31"), SCHEMA)
+    live = df.where("trade_time >= '2019-12-31 16:00:00'")
+    got = live_only(df, live, start="2020-01-01", zone="Asia/Shanghai", columns=["tv_sma_10"])
+    same = live_only(df, live, start="2020-01-01T00:00:00+08:00", columns=["tv_sma_10"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, same.collect())) and got.count() == live.count() == 44
+    with pytest.raises(ValueError):
+        live_only(df, live, start="2020-01-01", columns=["tv_sma_10"])
+
+
+def test_needless_cold_start(spark):
+    df = spark.createDataFrame(made(60), SCHEMA)
+    live = df.where("trade_time >= '2019-12-02'")
+    with pytest.raises(ValueError):
+        live_only(df, live, start="2019-12-02", cold_start=True, families=("excel",))
+    assert live_only(df, live, start="2019-12-02", cold_start=True, columns=["tv_sma_10"]).count() == 36
+
+
+def test_identity_of_a_sequence(spark):
+    one, other = (spark.createDataFrame(made(5, symbol=x), SCHEMA) for x in "ab")
+    assert B.one_sequence(one).count() == 5
+    for bad in (one.unionByName(other), one.limit(0).unionByName(one.selectExpr("CAST(NULL AS STRING) AS symbol", *[c for c in one.columns if c != "symbol"]))):
+        with pytest.raises(ValueError):
+            B.one_sequence(bad)
+
+
 def test_empty_bars(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert compute(df, columns=["tv_ema_21", "tv_sma_10"]).count() == 0

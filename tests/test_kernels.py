@@ -43,11 +43,24 @@ def test_recursive_average_repeats_over_gaps():
     np.testing.assert_allclose(K.smooth(np.array([NAN, 4, NAN, 8]), 4, 1), [NAN, 4, 4, 5])
 
 
+def literal_ema(values, n, least):
+    """One value at a time: the first one seeds, gaps keep the state, the first least - 1 are hidden."""
+    out, state, seen, a = [], None, 0, 2 / (n + 1)
+    for v in values:
+        if not math.isnan(v):
+            state = v if state is None else (1 - a) * state + a * v
+            seen += 1
+        out.append(state if seen >= least and state is not None else NAN)
+    return out
+
+
 def test_ema_begins_where_its_observations_are_enough():
-    got = one(X.ema(X.C, 4), close=[1, 2, 3, 4, 5])
-    assert np.isnan(got[:3]).all() and not math.isnan(got[3])
-    late = one(X.ema(X.C, 4), close=[NAN, 1, 2, 3, 4, 5])
-    assert np.isnan(late[:4]).all() and late[4] == got[3]
+    r = np.random.default_rng(41)
+    for n, lead in ((3, 0), (7, 0), (7, 2), (11, 5)):
+        close = [NAN] * lead + r.normal(50, 4, 19).tolist()
+        got = one(X.ema(X.C, n), close=close)
+        np.testing.assert_allclose(got, literal_ema(close, n, n), rtol=1e-12)
+        assert np.flatnonzero(~np.isnan(got))[0] == lead + n - 1
 
 
 def test_rank_averages_ties():
@@ -69,25 +82,48 @@ def test_weighted_average_and_line():
     assert one(X.endpoint(X.C, 10), close=x)[-1] == pytest.approx(9 * k + b)
 
 
-def test_money_flow_of_one_side():
+def test_money_flow_against_a_loop():
     from barloom.operators.registry import select
 
     mfi = select(["tv_mfi_14"])["tv_mfi_14"]
-    for step, volume, want in ((1, 10, 100), (-1, 10, 0), (0, 0, None)):
-        c = 100 + step * np.arange(20.0)
-        got = one(mfi, high=c + 1, low=c - 1, close=c, volume=np.full(20, volume))[13]
-        assert math.isnan(got) if want is None else got == want
-
-
-def test_fisher_keeps_its_state_over_a_flat_range():
-    c = np.where((np.arange(60) >= 20) & (np.arange(60) < 35), 110.0, 100 + np.sin(np.arange(60)))
-    flat = (np.arange(60) >= 20) & (np.arange(60) < 35)
-    high, low = np.where(flat, 110, c + 1), np.where(flat, 110, c - 1)
+    r = np.random.default_rng(43)
+    walk = 70 + r.normal(size=33).cumsum()
+    for c in (walk, np.sort(walk), np.sort(walk)[::-1], np.full(33, 70.0)):
+        high, low, volume = c + r.random(33), c - r.random(33), r.integers(1, 90, 33).astype(float)
+        if (c == c[0]).all():
+            high, low = c + 0.5, c - 0.5
+        typical, want = (high + low + c) / 3, []
+        for i in range(33):
+            plus = minus = 0.0
+            for j in range(max(1, i - 13), i + 1):
+                plus += typical[j] * volume[j] * (typical[j] > typical[j - 1])
+                minus += typical[j] * volume[j] * (typical[j] < typical[j - 1])
+            want.append(NAN if i < 13 or plus == minus == 0 else 100 - 100 / (1 + plus / minus) if minus else 100)
+        np.testing.assert_allclose(one(mfi, high=high, low=low, close=c, volume=volume), want, rtol=1e-9)
+
+
+def test_fisher_against_a_loop_with_flat_ranges():
     from barloom.operators.registry import select
 
+    r = np.random.default_rng(47)
+    c = 30 + r.normal(size=75).cumsum()
+    high, low = c + r.random(75), c - r.random(75)
+    for b, e in ((11, 27), (52, 63)):
+        c[b:e] = high[b:e] = low[b:e] = 31.5
+    value = state = 0.0
+    want = []
+    for i in range(75):
+        if i < 9 or (top := high[i - 9 : i + 1].max()) == (least := low[i - 9 : i + 1].min()):
+            want.append(NAN)
+            continue
+        value = min(0.999, max(-0.999, 0.66 * ((c[i] - least) / (top - least) - 0.5) + 0.67 * value))
+        state = 0.5 * math.log((1 + value) / (1 - value)) + 0.5 * state
+        want.append(state)
     e = select(["tv_fisher_10", "tv_fisher_trigger"])
     line, trigger = K.evaluate(e.values(), {"high": high, "low": low, "close": c, "open": c, "volume": c, "open_interest": c})
-    assert np.isnan(line[29:35]).all() and not np.isnan(line[35]) and np.isnan(trigger[35])
+    assert np.isnan(want[20:27]).all() and not np.isnan(want[27])
+    np.testing.assert_allclose(line, want, rtol=1e-9)
+    np.testing.assert_allclose(trigger, [NAN, *want[:-1]], rtol=1e-9)
 
 
 def test_runs_and_compounds():
