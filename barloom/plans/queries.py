@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.registry import FAMILIES, family
 from ..session import ship
 from ..sources import bars as B
-from . import audit
+from . import audit, formulas
 from .features import compute, live_only, sql_text
 
 BOUNDARY = "1997-01-01"
@@ -53,7 +54,7 @@ def bars_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last event of each user and hour, by row_number over the key."""
+    """The last event of each type and hour, by row_number over the key."""
     ticks = B.table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"), F.lit("1h").alias("timeframe"), F.date_trunc("hour", "ts").alias("trade_time"), "event_id", "value")
     return B.latest(ticks, "event_id")
 
@@ -104,10 +105,47 @@ def audit_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.coverage(bars, bars.where("volume > 100"))
 
 
+def _by_hand(name: str) -> list[str]:
+    return [c for c in family(name) if c in formulas.BY_HAND]
+
+
+def _formula_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Columns of the family whose SQL is written by hand."""
+    return lambda spark, sf_dir: rounded(compute(B.lineitem_bars(spark, sf_dir), columns=_by_hand(name)))
+
+
+def features_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The excel family, windows and recursions, of a sequence for each supplier."""
+    return rounded(compute(B.lineitem_bars(spark, sf_dir, "l_suppkey"), families=("excel",)))
+
+
+USER_TIMEFRAMES = ("1h", "4h", "1day")
+
+
+def features_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of the indicator family for each user's bars in three timeframes."""
+    bars = [B.event_bars(spark, sf_dir, t, "user_id") for t in USER_TIMEFRAMES]
+    return rounded(compute(reduce(DataFrame.unionByName, bars), columns=plain("indicator")))
+
+
+def bars_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a resumed build compares: rows and span of each sequence."""
+    return B.fingerprint(B.lineitem_bars(spark, sf_dir, "l_suppkey")).select(*B.KEYS, "n_bars", "first_time", "last_time")
+
+
+def audit_excel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of a family, stored from a warm start, against an audit that knows only the live bars."""
+    bars = B.lineitem_bars(spark, sf_dir)
+    live = bars.where(F.col(B.TIME) >= F.to_timestamp(F.lit(BOUNDARY)))
+    warm = live_only(bars, live, start=BOUNDARY, columns=plain("excel"))
+    report = audit.audit_features(live.join(warm, [*B.KEYS, B.TIME]), family="excel")
+    return report.select("column", "n_cells", "null_mismatches", "infinities", "beyond", "missing", "status")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (features_flagship, bars_lineitem, bars_events, bars_violations, bars_latest, features_all, features_live, audit_warmup, audit_coverage)}
+    named = {f.__name__: f for f in (features_flagship, bars_lineitem, bars_events, bars_violations, bars_latest, features_all, features_live, audit_warmup, audit_coverage, features_suppliers, features_users, bars_fingerprint, audit_excel)}
     for name in FAMILIES:
-        named |= {f"features_{name}": _plain_query(name), f"features_{name}_events": _event_query(name), f"recursions_{name}": _recursive_query(name)}
+        named |= {f"features_{name}": _plain_query(name), f"features_{name}_events": _event_query(name), f"recursions_{name}": _recursive_query(name), f"formulas_{name}": _formula_query(name)}
     return named
 
 
@@ -166,6 +204,10 @@ def oracle_sql() -> dict[str, str]:
         texts[f"features_{name}"] = sql_text(B.LINEITEM_SQL, plain(name), wrap=quantised)
         texts[f"features_{name}_events"] = sql_text(B.events_sql(), plain(name), wrap=quantised)
         texts[f"recursions_{name}"] = sql_text(B.LINEITEM_SQL, recursive(name), wrap=quantised)
+        texts[f"formulas_{name}"] = formulas.sql(B.LINEITEM_SQL, _by_hand(name), quantised)
+    texts["features_suppliers"] = sql_text(B.lineitem_sql("l_suppkey"), families=("excel",), wrap=quantised)
+    texts["features_users"] = sql_text(" UNION ALL ".join(f"SELECT * FROM ({B.events_sql(t, 'user_id')})" for t in USER_TIMEFRAMES), plain("indicator"), wrap=quantised)
+    texts["bars_fingerprint"] = f"SELECT symbol, timeframe, count(*) AS n_bars, min(trade_time) AS first_time, max(trade_time) AS last_time FROM ({B.lineitem_sql('l_suppkey')}) GROUP BY ALL"
     texts["features_all"] = sql_text(B.LINEITEM_SQL, wrap=quantised)
     texts["features_live"] = f"SELECT * FROM ({texts['features_excel']}) WHERE trade_time >= TIMESTAMP '{BOUNDARY}'"
     return texts

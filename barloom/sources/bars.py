@@ -41,26 +41,27 @@ def with_open_interest(bars: DataFrame) -> DataFrame:
     return bars.selectExpr(*KEYS, TIME, *PRICES, "volume", f"{running} AS open_interest")
 
 
-def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars of the line items by return flag; unit prices in the order of the line's keys."""
+def lineitem_bars(spark: SparkSession, sf_dir: str, by: str = "l_returnflag") -> DataFrame:
+    """Daily bars of the line items by one of their columns; unit prices in the order of the line's keys."""
     ticks = table(spark, sf_dir, "lineitem")
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     price, size = F.col("l_extendedprice") / F.col("l_quantity"), F.col("l_quantity")
     signed = F.when(F.col("l_linestatus") == "O", size).otherwise(-size)
-    return with_open_interest(resample(ticks, symbol=F.col("l_returnflag"), bucket=F.col("l_shipdate"), timeframe="1day", price=price, size=size, order=order, position=signed))
+    return with_open_interest(resample(ticks, symbol=F.col(by).cast("string"), bucket=F.col("l_shipdate"), timeframe="1day", price=price, size=size, order=order, position=signed))
 
 
-def event_bars(spark: SparkSession, sf_dir: str, timeframe: str = "1h") -> DataFrame:
-    """Bars of the event values by event type in tumbling windows."""
+def event_bars(spark: SparkSession, sf_dir: str, timeframe: str = "1h", by: str = "event_type") -> DataFrame:
+    """Bars of the event values by one of their columns in tumbling windows."""
     ticks = table(spark, sf_dir, "events")
     start = F.window("ts", f"{TIMEFRAMES[timeframe]} minutes")["start"]
-    return with_open_interest(resample(ticks, symbol=F.col("event_type"), bucket=start, timeframe=timeframe, price=F.col("value"), size=F.lit(1.0), order=F.struct("ts", "event_id"), position=F.sign("value")))
+    return with_open_interest(resample(ticks, symbol=F.col(by).cast("string"), bucket=start, timeframe=timeframe, price=F.col("value"), size=F.lit(1.0), order=F.struct("ts", "event_id"), position=F.sign("value")))
 
 
-LINEITEM_SQL = """
+def lineitem_sql(by: str = "l_returnflag") -> str:
+    return f"""
 SELECT symbol, timeframe, trade_time, open, high, low, close, volume,
   sum(change) OVER (PARTITION BY symbol, timeframe ORDER BY trade_time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS open_interest
-FROM (SELECT l_returnflag AS symbol, '1day' AS timeframe, l_shipdate AS trade_time,
+FROM (SELECT {by}::VARCHAR AS symbol, '1day' AS timeframe, l_shipdate AS trade_time,
     arg_min(l_extendedprice / l_quantity, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS open, max(l_extendedprice / l_quantity) AS high, min(l_extendedprice / l_quantity) AS low,
     arg_max(l_extendedprice / l_quantity, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS close, sum(l_quantity) AS volume,
     sum(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE -l_quantity END) AS change
@@ -68,12 +69,15 @@ FROM (SELECT l_returnflag AS symbol, '1day' AS timeframe, l_shipdate AS trade_ti
 """
 
 
-def events_sql(timeframe: str = "1h") -> str:
+LINEITEM_SQL = lineitem_sql()
+
+
+def events_sql(timeframe: str = "1h", by: str = "event_type") -> str:
     bucket = f"time_bucket(INTERVAL '{TIMEFRAMES[timeframe]} minutes', ts, TIMESTAMP '1970-01-01')"
     return f"""
 SELECT symbol, timeframe, trade_time, open, high, low, close, volume,
   sum(change) OVER (PARTITION BY symbol, timeframe ORDER BY trade_time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS open_interest
-FROM (SELECT event_type AS symbol, '{timeframe}' AS timeframe, {bucket} AS trade_time, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+FROM (SELECT {by}::VARCHAR AS symbol, '{timeframe}' AS timeframe, {bucket} AS trade_time, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
     arg_max(value, (ts, event_id)) AS close, count(*)::DOUBLE AS volume, sum(sign(value))::DOUBLE AS change
   FROM events GROUP BY 1, 2, 3)
 """
