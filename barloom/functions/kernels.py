@@ -1,7 +1,8 @@
 """Recursions over one ordered sequence, and the expressions built on them.
 
 Every function takes and gives float64 arrays of one sequence in time order; missing is
-NaN.  `evaluate` computes expressions from the bar columns, scans and what stands on
+NaN.  A recursion goes on from `held`, its state after the rows before (empty: none), and
+leaves its own there.  `evaluate` computes expressions from the bar columns, scans and what stands on
 them included; a job calls it once for each sequence.
 """
 
@@ -18,9 +19,15 @@ from .sql import needed
 NAN = float("nan")
 
 
-def ewm(x: np.ndarray, alpha: float, least: int = 0) -> np.ndarray:
+def _keep(held: list | None, *values: float) -> None:
+    if held is not None:
+        held[:] = values
+
+
+def ewm(x: np.ndarray, alpha: float, least: int = 0, held: list | None = None) -> np.ndarray:
     """Exponential mean, seeded by the first value; a gap lowers the weight of what was before."""
-    out, y, weight, seen = [], NAN, 1.0, 0
+    y, weight, seen = held or (NAN, 1.0, 0)
+    out = []
     for v in np.where(np.isinf(x), NAN, x).tolist():
         if seen:
             weight *= 1 - alpha
@@ -31,81 +38,91 @@ def ewm(x: np.ndarray, alpha: float, least: int = 0) -> np.ndarray:
         elif v == v:
             y, seen = v, 1
         out.append(y if seen >= least else NAN)
+    _keep(held, y, weight, seen)
     return np.array(out)
 
 
-def wsma(x: np.ndarray, alpha: float) -> np.ndarray:
+def wsma(x: np.ndarray, alpha: float, held: list | None = None) -> np.ndarray:
     """alpha * value + (1 - alpha) * before; a missing value repeats what was before."""
-    out, y = [], NAN
+    out, y = [], held[0] if held else NAN
     for v in x.tolist():
         if v == v:
             y = v if y != y else alpha * v + (1 - alpha) * y
         out.append(y)
+    _keep(held, y)
     return np.array(out)
 
 
-def smooth(x: np.ndarray, n: int, m: int) -> np.ndarray:
+def smooth(x: np.ndarray, n: int, m: int, held: list | None = None) -> np.ndarray:
     """(m * value + (n - m) * before) / n; a missing value repeats what was before."""
-    out, y = [], NAN
+    out, y = [], held[0] if held else NAN
     for v in x.tolist():
         if v == v:
             y = v if y != y else (m * v + (n - m) * y) / n
         out.append(y)
+    _keep(held, y)
     return np.array(out)
 
 
-def psar(high: np.ndarray, low: np.ndarray, close: np.ndarray, step: float, most: float, *, up: bool) -> np.ndarray:
+def psar(high: np.ndarray, low: np.ndarray, close: np.ndarray, step: float, most: float, *, up: bool, held: list | None = None) -> np.ndarray:
     """Parabolic stop.  up: always begin upwards, else on the side of the first close."""
-    h, l, n = high.tolist(), low.tolist(), len(high)
-    if not n:
+    h, l, out = high.tolist(), low.tolist(), []
+    if not h:
         return np.zeros(0)
-    rising = up or close[0] >= (h[0] + l[0]) / 2
-    best, stop = (h[0], l[0]) if rising else (l[0], h[0])
-    pace, out = step, [stop]
-    for i in range(1, n):
-        if h[i] != h[i] or l[i] != l[i]:
-            out.append(stop)
-            continue
-        stop += pace * (best - stop)
-        before = max(i - 2, 0)
-        if rising:
-            stop = min(stop, l[i - 1], l[before])
-            turned, further = l[i] < stop, h[i] > best
-        else:
-            stop = max(stop, h[i - 1], h[before])
-            turned, further = h[i] > stop, l[i] < best
-        if turned:
-            stop, rising, pace = best, not rising, step
-            best = h[i] if rising else l[i]
-        elif further:
-            best = h[i] if rising else l[i]
-            pace = min(pace + step, most)
+    if held:
+        rising, best, stop, pace, h2, h1, l2, l1 = held
+    else:
+        rising = up or close[0] >= (h[0] + l[0]) / 2
+        best, stop = (h[0], l[0]) if rising else (l[0], h[0])
+        pace, h2, h1, l2, l1 = step, h[0], h[0], l[0], l[0]
+        out.append(stop)
+    for now, least in zip(h[len(out) :], l[len(out) :], strict=True):
+        if now == now and least == least:
+            stop += pace * (best - stop)
+            if rising:
+                stop = min(stop, l1, l2)
+                turned, further = least < stop, now > best
+            else:
+                stop = max(stop, h1, h2)
+                turned, further = now > stop, least < best
+            if turned:
+                stop, rising, pace = best, not rising, step
+                best = now if rising else least
+            elif further:
+                best = now if rising else least
+                pace = min(pace + step, most)
         out.append(stop)
+        h2, h1, l2, l1 = h1, now, l1, least
+    _keep(held, rising, best, stop, pace, h2, h1, l2, l1)
     return np.array(out)
 
 
-def supertrend(high: np.ndarray, low: np.ndarray, close: np.ndarray, atr: np.ndarray, times: float) -> tuple[np.ndarray, np.ndarray]:
+def supertrend(high: np.ndarray, low: np.ndarray, close: np.ndarray, atr: np.ndarray, times: float, held: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Line and direction of the ratcheting bands around the middle price."""
     mid = (high + low) / 2
-    up, down, c = (mid + times * atr).tolist(), (mid - times * atr).tolist(), close.tolist()
     line, way = [], []
-    for i in range(len(c)):
-        if i == 0:
-            u, d, at, side = up[0], down[0], up[0], 1.0
+    before = list(held) if held else None
+    for top, bottom, c in zip((mid + times * atr).tolist(), (mid - times * atr).tolist(), close.tolist(), strict=True):
+        if before is None:
+            u, d, at, side = top, bottom, top, 1.0
         else:
-            u0, d0 = u, d
-            u = up[i] if up[i] < u0 or c[i - 1] > u0 else u0
-            d = down[i] if down[i] > d0 or c[i - 1] < d0 else d0
-            at = (d if c[i] > u else u) if at == u0 else (u if c[i] < d else d)
+            u0, d0, at, c0 = before
+            u = top if top < u0 or c0 > u0 else u0
+            d = bottom if bottom > d0 or c0 < d0 else d0
+            at = (d if c > u else u) if at == u0 else (u if c < d else d)
             side = 1.0 if at == d else -1.0
         line.append(at)
         way.append(side)
+        before = u, d, at, c
+    if before:
+        _keep(held, *before)
     return np.array(line), np.array(way)
 
 
-def fisher(close: np.ndarray, top: np.ndarray, bottom: np.ndarray) -> np.ndarray:
+def fisher(close: np.ndarray, top: np.ndarray, bottom: np.ndarray, held: list | None = None) -> np.ndarray:
     """Fisher transform of the place in the range; a flat range gives nothing and keeps the state."""
-    out, value, line = [], 0.0, 0.0
+    value, line = held or (0.0, 0.0)
+    out = []
     for c, h, l in zip(close.tolist(), top.tolist(), bottom.tolist(), strict=True):
         if h != h or h == l:
             out.append(NAN)
@@ -113,12 +130,14 @@ def fisher(close: np.ndarray, top: np.ndarray, bottom: np.ndarray) -> np.ndarray
         value = max(-0.999, min(0.999, 0.66 * ((c - l) / (h - l) - 0.5) + 0.67 * value))
         line = 0.5 * math.log((1 + value) / (1 - value)) + 0.5 * line
         out.append(line)
+    _keep(held, value, line)
     return np.array(out)
 
 
-def utbot(close: np.ndarray, atr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def utbot(close: np.ndarray, atr: np.ndarray, held: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Trailing stop and the signal of its crossing."""
-    stop, signal, c0, raw = [], [], NAN, NAN
+    raw, c0, begun = held or (NAN, NAN, 0)
+    stop, signal = [], []
     for c, a in zip(close.tolist(), atr.tolist(), strict=True):
         s0, before = (0.0 if raw != raw else raw), raw
         if c > s0 and c0 > s0:
@@ -127,23 +146,31 @@ def utbot(close: np.ndarray, atr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             raw = min(s0, c + a)
         else:
             raw = c - a if c > s0 else c + a
-        signal.append(0.0 if not stop else 1.0 if c > raw and c0 <= before else -1.0 if c < raw and c0 >= before else 0.0)
+        signal.append(0.0 if not begun else 1.0 if c > raw and c0 <= before else -1.0 if c < raw and c0 >= before else 0.0)
         stop.append(raw)
-        c0 = c
+        c0, begun = c, 1
+    _keep(held, raw, c0, begun)
     return np.array(stop), np.array(signal)
 
 
-def compound(rate: np.ndarray, when: np.ndarray, seed: float) -> np.ndarray:
+def compound(rate: np.ndarray, when: np.ndarray, seed: float, held: list | None = None) -> np.ndarray:
     """seed, times 1 + rate in the rows where `when` holds."""
     grown = np.where(when, 1 + rate, 1.0)
-    grown[:1] = 1.0
-    return seed * np.cumprod(grown)
+    if not held:
+        grown[:1] = 1.0
+    grown = np.cumprod(np.concatenate([held or [1.0], grown]))
+    _keep(held, grown[-1])
+    return seed * grown[1:]
 
 
-def run(when: np.ndarray) -> np.ndarray:
+def run(when: np.ndarray, held: list | None = None) -> np.ndarray:
     """Rows in a row for which `when` holds."""
     at = np.arange(len(when))
-    return (at - np.maximum.accumulate(np.where(when, -1, at))).astype(float)
+    broken = np.maximum.accumulate(np.where(when, -1, at)) if len(when) else at
+    out = (at - broken + np.where(broken < 0, held[0] if held else 0, 0)).astype(float)
+    if len(out):
+        _keep(held, out[-1])
+    return out
 
 
 def windows(x: np.ndarray, n: int) -> np.ndarray:
@@ -171,24 +198,25 @@ def _std(ddof: int, constant: bool):
 _FRAMES = {"avg": lambda w: w.mean(axis=1), "sum": lambda w: w.sum(axis=1), "max": lambda w: w.max(axis=1), "min": lambda w: w.min(axis=1), "std": _std(0, True), "stdraw": _std(0, False), "stdsample": _std(1, True)}
 
 
-def _running(x: np.ndarray) -> np.ndarray:
-    gone = np.isnan(x)
-    return np.where(gone, NAN, np.cumsum(np.where(gone, 0.0, x)))
-
-
-def _window(e: Expr, x: np.ndarray) -> np.ndarray:
+def _window(e: Expr, x: np.ndarray, held: list) -> np.ndarray:
     n = e.p[0] if e.p else 0
-    if e.op == "lag":
-        return np.concatenate([np.full(min(n, len(x)), NAN), x[: max(len(x) - n, 0)].astype(float)])
-    if e.op == "count":
-        return framed(x.astype(float), n, _FRAMES["sum"])
     if e.op == "cumsum":
-        return _running(x)
+        gone = np.isnan(x)
+        sums = np.cumsum(np.concatenate([held or [0.0], np.where(gone, 0.0, x)]))
+        _keep(held, sums[-1])
+        return np.where(gone, NAN, sums[1:])
     if e.op == "masked":
-        out = x.copy()
-        out[np.flatnonzero(~np.isnan(x))[:1]] = NAN
+        out, there = x.copy(), np.flatnonzero(~np.isnan(x))[:1]
+        if not held and len(there):
+            out[there] = NAN
+            _keep(held, 1.0)
         return out
-    return framed(x, n, _FRAMES[e.op])
+    back = n if e.op == "lag" else n - 1
+    rows = np.concatenate([held or [NAN] * back, x.astype(float)])
+    held[:] = rows[len(rows) - back :].tolist()
+    if e.op == "lag":
+        return rows[: len(x)]
+    return framed(rows, n, _FRAMES["sum" if e.op == "count" else e.op])[back:]
 
 
 _POINT = {
@@ -200,39 +228,44 @@ _POINT = {
 }
 
 
-def _scan(e: Expr, a: list[np.ndarray]) -> np.ndarray:
+def _scan(e: Expr, a: list[np.ndarray], held: list) -> np.ndarray:
     match e.op:
         case "ema":
-            return ewm(a[0], *e.p)
+            return ewm(a[0], *e.p, held=held)
         case "ewm":
-            return ewm(a[0], e.p[0])
+            return ewm(a[0], e.p[0], held=held)
         case "wsma":
-            return wsma(a[0], e.p[0])
+            return wsma(a[0], e.p[0], held)
         case "smooth":
-            return smooth(a[0], *e.p)
+            return smooth(a[0], *e.p, held)
         case "psar" | "psar_up":
-            return psar(*a, *e.p, up=e.op == "psar_up")
+            return psar(*a, *e.p, up=e.op == "psar_up", held=held)
         case "supertrend" | "supertrend_dir":
-            return supertrend(*a, *e.p)[e.op == "supertrend_dir"]
+            return supertrend(*a, *e.p, held)[e.op == "supertrend_dir"]
         case "fisher":
-            return fisher(*a)
+            return fisher(*a, held)
         case "utbot" | "utbot_signal":
-            return utbot(*a)[e.op == "utbot_signal"]
+            return utbot(*a, held)[e.op == "utbot_signal"]
         case "compound":
-            return compound(a[0], a[1].astype(bool), e.p[0])
+            return compound(a[0], a[1].astype(bool), e.p[0], held)
         case "run":
-            return run(a[0].astype(bool))
+            return run(a[0].astype(bool), held)
     raise AssertionError(e.op)
 
 
-def evaluate(outputs: Iterable[Expr], bars: dict[str, np.ndarray]) -> list[np.ndarray]:
+def evaluate(outputs: Iterable[Expr], bars: dict[str, np.ndarray], held: list[list[float]] | None = None) -> list[np.ndarray]:
     """Each output over the bars of one sequence; infinities become missing at the end.
 
-    An intermediate result is dropped after its last use.
+    An intermediate result is dropped after its last use.  `held` carries a sequence from
+    call to call: it begins empty, and each call leaves in it what the next rows need (one
+    list for each node, of the last rows of a frame or the state of a recursion), so that
+    a sequence given in parts has the values of the whole.
     """
     outputs = list(outputs)
     nodes = needed(outputs)
     n = len(next(iter(bars.values())))
+    held = [] if held is None else held
+    held += [[] for _ in nodes[len(held) :]]
     left: dict[Expr, int] = {}
     for e in nodes:
         for x in e.args:
@@ -241,7 +274,7 @@ def evaluate(outputs: Iterable[Expr], bars: dict[str, np.ndarray]) -> list[np.nd
         left[e] = left.get(e, 0) + 1
     value: dict[Expr, np.ndarray] = {}
     with np.errstate(all="ignore"):
-        for e in nodes:
+        for e, state in zip(nodes, held, strict=True):
             a = [value[x] for x in e.args]
             if e.op == "column":
                 got = bars[e.p[0]]
@@ -250,9 +283,9 @@ def evaluate(outputs: Iterable[Expr], bars: dict[str, np.ndarray]) -> list[np.nd
             elif e.op in _POINT:
                 got = _POINT[e.op](*a)
             elif len(e.args) == 1 and e.op in {"lag", "count", "cumsum", "masked", *_FRAMES}:
-                got = _window(e, a[0])
+                got = _window(e, a[0], state)
             else:
-                got = _scan(e, a)
+                got = _scan(e, a, state)
             value[e] = got
             for x in e.args:
                 left[x] -= 1

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from .expr import POINTWISE, Expr
+from .expr import POINTWISE, WINDOW, Expr
 
 INF = "CAST('Infinity' AS DOUBLE)"
 _BINARY = {"add": "+", "sub": "-", "mul": "*", "lt": "<", "le": "<=", "gt": ">", "ge": ">=", "eq": "="}
@@ -134,6 +134,22 @@ def needed(outputs: Iterable[Expr]) -> list[Expr]:
     return list(seen)
 
 
+UNBOUNDED = {"cumsum", "masked", "rownum"}
+
+
+def reach(outputs: dict[str, Expr]) -> dict[str, int | None]:
+    """Rows back, this one included, that decide each output; None where all rows before do."""
+    found: dict[Expr, int | None] = {}
+    for e in needed(outputs.values()):
+        below = [found[a] for a in e.args]
+        if e.scan or e.op in UNBOUNDED or None in below:
+            found[e] = None
+        else:
+            own = e.p[0] if e.op == "lag" else e.p[0] - 1 if e.p and e.op in WINDOW else 0
+            found[e] = max(below, default=1) + int(own)
+    return {name: found[e] for name, e in outputs.items()}
+
+
 def stages(outputs: dict[str, Expr], over: Over, carried: list[str]) -> list[list[str]]:
     """SELECT lists, each over the one before, that end in `carried` and the outputs.
 

@@ -4,6 +4,10 @@ Columns without recursion are SQL windows over (sequence, time): one exchange an
 sort serve all their stages.  Columns with recursion are computed by one Arrow kernel
 for each sequence.  Asked for both, the kernels run on the same partitions first, from
 nine narrow columns, and the windows follow.
+
+A sequence is one task by default.  Windows that reach back a known number of rows need
+not wait for it: with `split`, a sequence is cut into parts of days, each with the days
+before it that its frames reach, and a part is a task.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import types as T
 from ..functions import recursive_sql
 from ..functions.expr import Expr
 from ..functions.kernels import evaluate
-from ..functions.sql import Over, query, stages
+from ..functions.sql import Over, query, reach, stages
 from ..operators.registry import FAMILIES, select
 from ..session import ship
 from ..sources.bars import KEYS, NUMBERS, TIME, rebase
@@ -27,14 +31,35 @@ from ..sources.bars import KEYS, NUMBERS, TIME, rebase
 OVER = Over(KEYS, TIME)
 
 
-def windows(bars: DataFrame, outputs: dict[str, Expr], carried: list[str]) -> DataFrame:
+PART, OWN, DAY = "__part", "__own", "__day"  # bars have the columns of their schema only, so these are free
+
+
+def windows(bars: DataFrame, outputs: dict[str, Expr], carried: list[str], over: Over = OVER) -> DataFrame:
     """Outputs without recursion, by stages of SELECTs."""
     df = bars
-    for items in stages(outputs, OVER, carried):
+    for items in stages(outputs, over, carried):
         df = df.selectExpr(*items)
     return df
 
 
+def parts(bars: DataFrame, rows: int, back: int) -> DataFrame:
+    """symbol, timeframe, day, part and whether the day is the part's own or only stands before it.
+
+    A part is the days that begin in the same `rows` rows of their sequence; days with one
+    of the back - 1 rows before a part stand before it.  The only rows that meet in one task
+    are a sequence's days with their counts.
+    """
+    days = bars.groupBy(*KEYS, F.date_trunc("day", TIME).alias(DAY)).agg(F.count("*").alias("n"))
+    over = f"OVER (PARTITION BY {', '.join(KEYS)} ORDER BY"
+    days = days.selectExpr("*", f"sum(n) {over} {DAY}) AS until")
+    days = days.selectExpr("*", f"CAST(floor((until - n) / {rows}) AS BIGINT) AS {PART}")
+    # What begins behind a day, if it is another part; parts that begin within reach are those of the next days' ends.
+    days = days.selectExpr("*", f"CASE WHEN lead({PART}) {over} until) <> {PART} THEN lead({PART}) {over} until) END AS behind")
+    near = f"collect_list(behind) {over} until RANGE BETWEEN CURRENT ROW AND {back - 2}L FOLLOWING)" if back > 1 else "CAST(array() AS ARRAY<BIGINT>)"
+    days = days.selectExpr("*", f"{near} AS near")
+    return days.selectExpr(*KEYS, DAY, f"inline(concat(array(struct({PART}, true AS {OWN})), transform(near, p -> struct(p AS {PART}, false AS {OWN}))))")
+
+
 def recursions(bars: DataFrame, outputs: dict[str, Expr]) -> DataFrame:
     """bars with outputs that need recursion; one kernel call for each sequence."""
     names, nodes = list(outputs), list(outputs.values())
@@ -52,20 +77,31 @@ def recursions(bars: DataFrame, outputs: dict[str, Expr]) -> DataFrame:
     return bars.groupBy(*KEYS).applyInArrow(kernel, schema)
 
 
-def compute(bars: DataFrame, *, columns: list[str] | None = None, families: tuple[str, ...] = FAMILIES) -> DataFrame:
+def compute(bars: DataFrame, *, columns: list[str] | None = None, families: tuple[str, ...] = FAMILIES, split: int | None = None) -> DataFrame:
     """symbol, timeframe, trade_time and the wanted columns of every bar.
 
     All supplied bars are history: cumulative columns begin at a sequence's first bar.
+    With split, columns that reach back a known number of rows are computed in parts of
+    about so many rows of a sequence; all others still run through the sequence.  Parts are
+    counted first, so bars are read twice: store them if they are dear.  A bar without a
+    time is in no day and has no place in the order: with split it is left out.
     """
     ship(bars.sparkSession)
     wanted = select(columns, families)
     scans = {k: e for k, e in wanted.items() if e.scan}
     plain = {k: e for k, e in wanted.items() if not e.scan}
-    df = rebase(bars)
+    bars = df = rebase(bars)
+    back = reach(plain)
+    local = {k: e for k, e in plain.items() if split and back[k]}
+    whole = {k: e for k, e in plain.items() if k not in local}
     if scans:
         df = recursions(df, scans)
-    if plain:
-        df = windows(df, plain, [*KEYS, TIME, *scans])
+    if whole:
+        df = windows(df, whole, [*KEYS, TIME, *(NUMBERS if local else ()), *scans])
+    if local:
+        places = parts(bars, split, max(back[k] for k in local))
+        df = df.withColumn(DAY, F.date_trunc("day", TIME)).join(places, [*KEYS, DAY]).drop(DAY)
+        df = windows(df, local, [*KEYS, PART, OWN, TIME, *scans, *whole], Over((*KEYS, PART), TIME)).where(OWN)
     return df.select(*KEYS, TIME, *wanted)
 
 

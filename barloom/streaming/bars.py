@@ -4,10 +4,9 @@ Ticks become bars by a windowed aggregation behind a watermark: a bar is given o
 when no earlier tick can come.  Late ticks are dropped by the watermark, as the stream's
 contract says.
 
-Features need a sequence's past.  `StreamFeatures` keeps it in the state store, per
-sequence: for columns without recursion the last `depth` bars are enough, so the state
-is bounded; recursive and cumulative columns need all bars since the sequence began and
-are computed from a history table, in batch.
+Features need a sequence's past.  `stream_features` keeps it in the state store, per
+sequence: of each frame the rows it still reaches, of each running sum and recursion its
+state.  That is bounded whatever the sequence's length, and holds for all columns.
 """
 
 from __future__ import annotations
@@ -21,15 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions.expr import Expr
 from ..functions.kernels import evaluate
-from ..functions.sql import needed
 from ..operators.registry import select
 from ..session import ship
 from ..sources.bars import KEYS, NUMBERS, SCHEMA, TIME, TIMEFRAMES
 
-_UNBOUNDED = {"cumsum", "masked"}
-
 
 def stream_bars(ticks: DataFrame, *, symbol: Column, time: str, price: Column, size: Column, order: Column, timeframe: str, late: str = "10 minutes") -> DataFrame:
     """Closed bars of a tick stream; open and close are by `order`, open interest is 0."""
@@ -39,47 +34,28 @@ def stream_bars(ticks: DataFrame, *, symbol: Column, time: str, price: Column, s
     return made.select("symbol", F.lit(timeframe).alias("timeframe"), F.col("window.start").alias(TIME), "open", "high", "low", "close", "volume", F.lit(0.0).alias("open_interest"))
 
 
-def depth(outputs: dict[str, Expr]) -> int:
-    """Rows back, this one included, that decide the outputs; an error if there is no bound."""
-    reach: dict[Expr, int] = {}
-    for e in needed(outputs.values()):
-        below = max((reach[a] for a in e.args), default=0)
-        if e.scan or e.op in _UNBOUNDED:
-            raise ValueError("a recursive or cumulative column has no bounded past")
-        own = e.p[0] if e.op == "lag" else e.p[0] - 1 if e.p and e.op not in ("column", "const") else 0
-        reach[e] = below + int(own)
-    return max((reach[e] for e in outputs.values()), default=0) + 1
-
-
 def stream_features(bars: DataFrame, columns: list[str]) -> DataFrame:
     """The columns for every bar of a stream, in append mode.
 
     Bars of a sequence must come in time order from batch to batch (those of
     `stream_bars` do); inside a batch they are sorted.  A bar not later than the last
     one seen is a repetition and is dropped, so a batch that is replayed does no harm.
+    The first bar of a sequence in the stream begins its sums and recursions.
     """
     ship(bars.sparkSession)
-    outputs = select(columns)
-    keep = depth(outputs)
-    nodes = list(outputs.values())
+    nodes = list(select(columns).values())
     out = T.StructType([*SCHEMA.fields[:3], *(T.StructField(c, T.DoubleType()) for c in columns)])
-    held = T.StructType([T.StructField("times", T.ArrayType(T.LongType())), T.StructField("numbers", T.ArrayType(T.DoubleType()))])
+    kept = T.StructType([T.StructField("last", T.LongType()), T.StructField("held", T.ArrayType(T.ArrayType(T.DoubleType())))])
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, past = np.zeros(0, np.int64), np.zeros((0, len(NUMBERS)))
-        if state.exists:
-            stored = state.get
-            times, past = np.array(stored[0], np.int64), np.array(stored[1], float).reshape(-1, len(NUMBERS))
+        last, held = (state.get[0], [list(x) for x in state.get[1]]) if state.exists else (np.iinfo(np.int64).min, [])
         new = pd.concat(list(frames)).sort_values(TIME).drop_duplicates(TIME)
         when = new[TIME].to_numpy("datetime64[us]").astype(np.int64)
-        fresh = when > (times[-1] if len(times) else np.iinfo(np.int64).min)
-        new, when = new[fresh], when[fresh]
+        new = new[when > last]
         if not len(new):
             return
-        rows = np.concatenate([past, new[list(NUMBERS)].to_numpy(float)])
-        got = evaluate(nodes, {c: rows[:, i] for i, c in enumerate(NUMBERS)})
-        state.update((np.concatenate([times, when])[-keep:].tolist(), rows[-keep:].ravel().tolist()))
-        made = {"symbol": key[0], "timeframe": key[1], TIME: new[TIME].to_numpy()}
-        yield pd.DataFrame(made | {c: v[len(past) :] for c, v in zip(columns, got, strict=True)})
+        got = evaluate(nodes, {c: new[c].to_numpy(float) for c in NUMBERS}, held)
+        state.update((int(when[-1]), [[float(v) for v in x] for x in held]))
+        yield pd.DataFrame({"symbol": key[0], "timeframe": key[1], TIME: new[TIME].to_numpy()} | dict(zip(columns, got, strict=True)))
 
-    return bars.select(*[f.name for f in SCHEMA]).groupBy(*KEYS).applyInPandasWithState(step, out, held, "append", GroupStateTimeout.NoTimeout)
+    return bars.select(*[f.name for f in SCHEMA]).groupBy(*KEYS).applyInPandasWithState(step, out, kept, "append", GroupStateTimeout.NoTimeout)

@@ -8,9 +8,10 @@ import pandas as pd
 import pytest
 
 from barloom.functions.kernels import evaluate
+from barloom.functions.sql import reach
 from barloom.operators import registry as R
 from barloom.plans import audit
-from barloom.plans.features import compute, live_only, sql_text
+from barloom.plans.features import compute, live_only, parts, sql_text
 from barloom.sources import bars as B
 from barloom.sources.bars import NUMBERS, SCHEMA
 
@@ -68,6 +69,35 @@ def test_one_exchange_for_all_windows(bars):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_reach():
+    want = {"tv_sma_10": 10, "tv_stoch_d_3": 16, "excel_TMA_20": 39, "tv_ema_8": None, "tv_obv": None}
+    assert reach(R.select(list(want))) == want
+
+
+@pytest.mark.parametrize("rows", [1, 60, 10_000])
+def test_parts_of_sequences(bars, rows):
+    """Every column without recursion, in parts shorter than a frame, of some days, and of all."""
+    df, frames = bars
+    gaps = pd.concat([f.drop(f.index[100:171]) if len(f) > 200 else f for f in frames])
+    df = df.sparkSession.createDataFrame(gaps, SCHEMA)
+    columns = [*[k for k, e in R.every().items() if not e.scan][::2], "tv_obv", "tv_ema_8"]
+    order = ["symbol", "trade_time"]
+    want = compute(df, columns=columns).orderBy(order).toPandas()
+    got = compute(df, columns=columns, split=rows).orderBy(order).toPandas()
+    pd.testing.assert_frame_equal(got, want, rtol=1e-7, atol=1e-6)
+
+
+def test_parts_are_more_tasks(spark):
+    df = spark.createDataFrame(made(24 * 60, 4), SCHEMA)
+    places = parts(df, 240, 30).toPandas()
+    own = places[places["__own"]]
+    assert len(own) == 60 and own["__part"].nunique() == 6
+    before = places[~places["__own"]]
+    assert (before.groupby("__part").size() == 2).all() and len(before) == 10  # 29 rows are parts of two days
+    assert parts(df, 240, 1).where("NOT __own").count() == 0
+    assert parts(df.limit(0), 240, 30).count() == 0
+
+
 def test_flat_candles(spark):
     """A candle without a range has no place for its close: what frames it lacks a value, the running sum stands still."""
     f = made(90, 5, flat=[37])

@@ -140,3 +140,19 @@ def test_parabolic_stop_does_not_look_ahead(up):
     for n in (1, 2, 10, 33):
         np.testing.assert_array_equal(K.psar(h[:n], l[:n], c[:n], 0.02, 0.2, up=up), whole[:n])
     assert len(K.psar(h[:0], l[:0], c[:0], 0.02, 0.2, up=up)) == 0
+
+
+@pytest.mark.parametrize("cuts", [[1, 2, 3, 50, 171, 180], [130], range(1, 240)])
+def test_a_sequence_in_parts_has_the_values_of_the_whole(cuts):
+    """All columns: frames, running sums and recursions go on where the part before ended."""
+    from barloom.operators.registry import every
+    from tests.test_features import made
+
+    f = made(240, 11, flat=range(165, 189), quiet=[0, 83, 84, 219])
+    bars = {c: f[c].to_numpy(float) for c in ("open", "high", "low", "close", "volume", "open_interest")}
+    whole, held, got = K.evaluate(every().values(), bars), [], []
+    for a, b in zip([0, *cuts], [*cuts, 240], strict=True):
+        got.append(K.evaluate(every().values(), {k: v[a:b] for k, v in bars.items()}, held))
+    got.append(K.evaluate(every().values(), {k: v[:0] for k, v in bars.items()}, held))
+    for i, name in enumerate(every()):
+        np.testing.assert_allclose(np.concatenate([p[i] for p in got]), whole[i], rtol=1e-9, atol=1e-9, err_msg=name)

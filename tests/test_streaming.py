@@ -1,26 +1,17 @@
 """Streams against the same work in batch."""
 
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators.registry import select
+from barloom.operators.registry import family
 from barloom.plans.features import compute
 from barloom.sources.bars import SCHEMA
-from barloom.streaming.bars import depth, stream_bars, stream_features
+from barloom.streaming.bars import stream_bars, stream_features
 from tests.conftest import SMALL
 from tests.test_features import made
 
-COLUMNS = ["tv_sma_10", "wh6_MA_MA1", "tv_wma_21", "excel_CLV", "indicator_py_ret_5", "tv_stoch_d_3"]
-
-
-def test_depth():
-    assert depth(select(["tv_sma_10"])) == 10
-    assert depth(select(["tv_stoch_d_3"])) == 16
-    assert depth(select(["excel_TMA_20"])) == 39
-    for c in ("tv_ema_8", "tv_obv"):
-        with pytest.raises(ValueError):
-            depth(select([c]))
+COLUMNS = ["tv_sma_10", "wh6_MA_MA1", "tv_wma_21", "excel_CLV", "indicator_py_ret_5", "tv_stoch_d_3", "tv_obv", "tv_ema_8", "wh6_MACD_MACD", "excel_OSC_40", *(c for c, e in family("tv").items() if e.scan)]
+COLUMNS = list(dict.fromkeys(COLUMNS))
 
 
 def test_features_batch_by_batch(spark, tmp_path):
