@@ -101,6 +101,8 @@ def compute(bars: DataFrame, *, columns: list[str] | None = None, families: tupl
     if local:
         places = parts(bars, split, max(back[k] for k in local))
         df = df.withColumn(DAY, F.date_trunc("day", TIME)).join(places, [*KEYS, DAY]).drop(DAY)
+        # A fixed number: adaptive execution joins partitions by their bytes, and so few bytes under so many windows would be one task.
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *KEYS, PART)
         df = windows(df, local, [*KEYS, PART, OWN, TIME, *scans, *whole], Over((*KEYS, PART), TIME)).where(OWN)
     return df.select(*KEYS, TIME, *wanted)
 
