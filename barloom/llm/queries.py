@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, mixing, passages, quality, simhash, tokens, toxicity, warc
+from . import bytenet, chat, decontaminate, licenses, mixing, negatives, passages, quality, ranking, simhash, tokens, toxicity, warc
 from .common import saved, table
 
 
@@ -87,6 +87,23 @@ def _passes(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("__pass").cast("long").alias("pass"), F.col("__place").cast("long").alias("block_place"))
 
 
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = bytenet.train(docs, table(spark, sf_dir, "labels"), usable=~held_out)
+    scored = model.score(docs, keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= bytenet.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 100 == 0, label=moved)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,7 +111,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash, op5_warc, op6_licenses, op7_passages, op8_toxicity, op9_chat, op10_mixing, op10_mixing_budgeted, pipeline)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_tokens, op4_simhash, op5_warc, op6_licenses, op7_passages, op8_toxicity, op9_chat, op10_mixing, op10_mixing_budgeted, op11_ranking, op12_bytenet, op13_negatives, pipeline)}
 
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -145,7 +162,8 @@ t AS MATERIALIZED (SELECT template, license, whole, term, weight / sqrt(sum(weig
 pieces AS (
   SELECT path, unnest(string_split(text, chr(10))) AS piece, unnest(range(len(string_split(text, chr(10))))) AS part FROM files
   UNION ALL SELECT path, string_split_regex(regexp_replace(text, '^\s+', ''), '
-[ 	]*
+[ 	
+]*
 ')[1], -1 FROM files
   UNION ALL SELECT path, text, -2 FROM files WHERE name LIKE 'LICENSE%'),
 pt AS (SELECT path, part, term, count(*) AS tf FROM (SELECT path, part, unnest({_TERMS.format("piece")}) AS term FROM pieces) GROUP BY ALL),
@@ -239,5 +257,29 @@ OP10_SQL = mixing_sql("0.95e0", "2e0", None)
 OP10_BUDGETED_SQL = mixing_sql("0.9999e0", "1e300", "floor(0.7 * total)")
 
 
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_FOLDED.format("coalesce(text, '')")} AS w FROM documents),
+n AS (SELECT count(*) FILTER (len(w) > 0) AS docs, sum(len(w))::BIGINT AS words FROM d),
+b AS (SELECT row_number() OVER () AS item, item_id, list_distinct({_FOLDED.format("coalesce(text, '')")}) AS t FROM benchmark),
+bt AS (SELECT item, item_id, unnest(t) AS term FROM b),
+tf AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) SEMI JOIN bt USING (term) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * n.docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, n GROUP BY term, n.docs),
+m AS (SELECT r, doc_id, 10 + (90 * len(w) * n.docs) // n.words AS m FROM d, n WHERE len(w) > 0),
+score AS (SELECT item, item_id, doc_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM bt JOIN tf USING (term) JOIN weight USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score FROM score WHERE score > 0 QUALIFY rank <= 10
+"""
+
+OP13_SQL = """
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor, anchor_id, r AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor, anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op5_warc": OP5_SQL, "op6_licenses": licences_sql(), "op7_passages": OP7_SQL, "op9_chat": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_budgeted": OP10_BUDGETED_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op5_warc": OP5_SQL, "op6_licenses": licences_sql(), "op7_passages": OP7_SQL, "op9_chat": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_budgeted": OP10_BUDGETED_SQL, "op11_ranking": OP11_SQL, "op13_negatives": OP13_SQL}
