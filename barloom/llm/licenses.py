@@ -1,9 +1,10 @@
 """Licence scans in DataFrame functions only.
 
 Vectors of sparse TF-IDF weights are compared with templates by their cosine: those of
-each line, of each file's header, and of the whole text of each licence file.  Terms are
-exploded, weighted by the number of files that have them, and joined to the templates'
-terms.  A file without a licence of its own inherits that of the nearest directory
+each line, each paragraph, each run of comment lines (a header is one, wherever it
+stands), and of the whole text of each licence file.  Terms are exploded, weighted by the
+number of files that have them, and joined to the templates' terms.  A licence that has
+versions is told only by a term of its version; without one the family is told.  A file without a licence of its own inherits that of the nearest directory
 above that has a licence file; ancestors are found by joining paths, once for each
 directory and not for each file.
 """
@@ -19,10 +20,8 @@ from .licence_blocks import HEADERS, bodies
 # Short notices by which files name their licence.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("MIT", "Released under the MIT License"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
     ("GPL-2.0", "This program is free software; you can redistribute it under the terms of the GNU General Public License, version 2"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1"),
@@ -33,6 +32,13 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
 ]
+# For licences of a family the terms of which one must be there, else only the family is told (or nothing).
+TELLING = {
+    "Apache-2.0": ("Apache", ("2",)), "GPL-2.0": ("GPL", ("2",)), "GPL-3.0": ("GPL", ("3",)), "LGPL-2.1": ("LGPL", ("1",)), "LGPL-3.0": ("LGPL", ("3",)), "AGPL-3.0": ("AGPL", ("3",)), "MPL-2.0": ("MPL", ("2",)), "EPL-2.0": ("EPL", ("2",)),
+    "BSD-3-Clause": ("BSD", ("neither", "endorse", "3")), "CC-BY-4.0": ("CC-BY", ("4",)), "CC-BY-SA-4.0": ("CC-BY", ("sa", "sharealike")), "CC-BY-NC-4.0": ("CC-BY", ("nc", "noncommercial")), "ISC": (None, ("appear", "isc")), "BSL-1.0": (None, ("boost", "bsl", "reproduce")),
+}
+#: Of a piece's words, repeats included, so many must be the template's: a mention in a sentence is no notice.
+COVERED = 0.6
 #: Names of licence files.
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.\-_].*)?$"
 THRESHOLD = 0.6
@@ -46,9 +52,35 @@ def terms(text: Column) -> Column:
 def templates_table() -> list[tuple[int, str, str, bool]]:
     """(template, license, notice, whole): whole licence texts are compared with licence files only."""
     short = [*TEMPLATES, *HEADERS]
+    short += [(k, f"SPDX-License-Identifier: {k}") for k in sorted({k for k, _ in short})]
     return [(i, k, t, i >= len(short)) for i, (k, t) in enumerate([*short, *bodies()])]
 
 
+_MARK, _PLAIN, _OPEN, _CLOSE = "(?:#|//|--|;|%|[*])", "[^ \\t\\n#/;%*-]", "(?:/[*]|\"\"\"|'''|<!--)", "(?:[*]/|-->)"
+#: What makes runs of a text (in front of which a line end was put): patterns and what stands for them, CUT between runs.
+CUT = "\x01"
+CUTS = [
+    ("\r", ""),
+    ("\\n(?:#![^\\n]*|<[?]php[^\\n]*|[ \\t]*#[^\\n]*coding[:=][^\\n]*)", ""),
+    ("\\n[ \\t#/*;%-]*(?i:copyright)[ \\t]*(?:[(](?i:c)[)]|©|[0-9])[^\\n]*", "\n"),
+    (f"(\\n[ \\t]*{_PLAIN}[^\\n]*)(\\n[ \\t\\n]*{_MARK})", "{1}" + CUT + "{2}"),
+    (f"(\\n[ \\t]*{_MARK}[^\\n]*)(\\n[ \\t\\n]*{_PLAIN})", "{1}" + CUT + "{2}"),
+    (f"(\\n[ \\t]*{_OPEN})", CUT + "{1}"),
+    (f"({_CLOSE}[ \\t]*\\n)", "{1}" + CUT),
+]
+#: Where a paragraph of a run ends, and how a run of comments begins.
+PARAGRAPH = f"{CUT}|\\n[ \\t]*(?:#+|//+|[*]+|;+|%+|--+)?[ \\t]*\\n"
+COMMENT = f"^[ \\t\\n]*(?:{_MARK}|{_OPEN})"
+
+
+def runs(text: Column) -> Column:
+    """The text with CUT between its runs of comment lines, block comments and other lines; shebangs and copyright lines are gone."""
+    out = F.concat(F.lit("\n"), text)
+    for pattern, by in CUTS:
+        out = F.regexp_replace(out, pattern, by.format("", "$1", "$2"))
+    return out
+
+
 def document_frequencies(files: DataFrame) -> DataFrame:
     """(term, df) of every term of the files (path, text)."""
     return files.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
@@ -74,11 +106,12 @@ def _needed(rows: list, threshold: float) -> list[str]:
 
 
 def declared(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """(path, declared, score) by lines, headers and bodies of licence files, every term weighted by its files.
+    """(path, declared, score) by pieces of all files, every term weighted by its files.
 
-    The vectors are each line, each file's header (all before its first blank line) and
-    the whole text of each licence file.  Whole licence texts are templates for the last
-    only.  No line or header that reaches the threshold is left out.
+    The pieces are each line, each paragraph and each run of comments of more than a line,
+    and the whole text of each licence file.  Whole licence texts are templates for the
+    last only.  No piece that reaches the threshold is left out.  Of equal scores a licence
+    goes before a family, then the alphabet decides.
     """
     spark = files.sparkSession
     n = files.count()
@@ -90,23 +123,30 @@ def declared(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     known = df.join(F.broadcast(counted.select("term").distinct()), "term")
     weights = counted.join(F.broadcast(known), "term", "left").select("template", "license", "whole", "term", F.coalesce("df", F.lit(0)).alias("df"), (F.col("tf") * idf).alias("weight"))
     norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    templates = saved(weights.join(F.broadcast(norms), "template").select("template", "license", "whole", "term", "df", (F.col("weight") / F.col("norm")).alias("w")), "templates")
+    telling = spark.createDataFrame([(k, t, True) for k, (_, ts) in TELLING.items() for t in ts], "license string, term string, tells boolean")
+    families = spark.createDataFrame([(k, family) for k, (family, _) in TELLING.items()], "license string, family string")
+    weighed = weights.join(F.broadcast(norms), "template").join(F.broadcast(telling), ["license", "term"], "left").join(F.broadcast(families.withColumn("needs", F.lit(True))), "license", "left")
+    templates = saved(weighed.select("template", "license", "whole", "term", "df", (F.col("weight") / F.col("norm")).alias("w"), F.coalesce("tells", ~F.coalesce("needs", F.lit(False))).alias("tells"), "family"), "templates")
     needed = F.array(*[F.lit(w) for w in _needed(templates.where("not whole").collect(), threshold)])
 
     named = files.where("path is not null").select("path", "text", F.xxhash64("text").alias("h"), F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE).alias("whole"))
     likely = named.where(F.arrays_overlap(terms(F.col("text")), needed))
     lines = likely.select("path", "h", F.posexplode(F.split("text", "\n")).alias("part", "piece"))
-    header = likely.select("path", "h", F.lit(-1).alias("part"), F.element_at(F.split(F.regexp_replace("text", r"^\s+", ""), r"\n[ \t\r]*\n", 2), 1).alias("piece"))
-    pieces = lines.unionByName(header).select("path", "h", "part", terms(F.col("piece")).alias("words")).where(F.arrays_overlap("words", needed))
+    cut = likely.select("path", "h", runs(F.col("text")).alias("cut"))
+    longer = F.trim(F.col("piece"), F.lit(" \t\n")).contains("\n")
+    paragraphs = cut.select("path", "h", F.posexplode(F.split("cut", PARAGRAPH)).alias("part", "piece")).where(longer)
+    comments = cut.select("path", "h", F.posexplode(F.split("cut", CUT)).alias("part", "piece")).where(longer & F.col("piece").rlike(COMMENT))
+    pieces = lines.unionByName(paragraphs.withColumn("part", -10 - 2 * F.col("part"))).unionByName(comments.withColumn("part", -11 - 2 * F.col("part")))
+    pieces = pieces.select("path", "h", "part", terms(F.col("piece")).alias("words")).where(F.arrays_overlap("words", needed))
     body = named.where("whole").select("path", "h", F.lit(-2).alias("part"), terms(F.col("text")).alias("words"))
     vector = ["path", "h", "part"]
     counts = saved(pieces.unionByName(body).select(*vector, F.explode("words").alias("term")).groupBy(*vector, "term").agg(F.count("*").alias("tf")), "term-counts")
-    weighted = saved(counts.join(df, "term", "left").select(*vector, "term", (F.col("tf") * idf).alias("weight")), "line-terms")
-    length = weighted.groupBy(*vector).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    weighted = saved(counts.join(df, "term", "left").select(*vector, "term", "tf", (F.col("tf") * idf).alias("weight")), "line-terms")
+    length = weighted.groupBy(*vector).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"), F.sum("tf").alias("words"))
     pairs = weighted.join(F.broadcast(templates.drop("df")), "term").where(~F.col("whole") | (F.col("part") == -2))
-    dots = pairs.groupBy(*vector, "template", "license").agg(F.sum(F.col("weight") * F.col("w")).alias("dot"))
-    scores = dots.join(length, vector).select("path", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
-    best = scores.groupBy("path", "license").agg(F.max("score").alias("score")).groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"))).alias("b"))
+    dots = pairs.groupBy(*vector, "template", "license", "family").agg(F.sum(F.col("weight") * F.col("w")).alias("dot"), F.sum("tf").alias("shared"), F.max("tells").alias("told"))
+    scores = dots.join(length, vector).where(F.col("shared") >= COVERED * F.col("words")).select("path", F.when(F.col("told"), F.col("license")).otherwise(F.col("family")).alias("license"), F.col("told"), F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where((F.col("score") >= threshold) & F.col("license").isNotNull())
+    best = scores.groupBy("path", "license", "told").agg(F.max("score").alias("score")).groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("minus"), (~F.col("told")).alias("vague"), F.col("license"))).alias("b"))
     return best.select("path", F.col("b.license").alias("declared"), (-F.col("b.minus")).alias("score"))
 
 

@@ -119,14 +119,14 @@ _FOLDED = rf"regexp_extract_all(translate({{}}, '{string.ascii_uppercase}', '{st
 
 OP1_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_FOLDED.format("coalesce(text, '')")} AS w FROM documents),
-b AS (SELECT item_id, {_FOLDED.format("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+b AS (SELECT item_id, {_FOLDED.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
 bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
        FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
 dw AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
 hit AS (SELECT r, i, n, item_id FROM dw JOIN bw USING (n, win)),
 cover AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY r),
-items AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+items AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT r, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN cover USING (r) LEFT JOIN items USING (r)
@@ -145,8 +145,14 @@ _TERMS = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x:
 
 
 def licences_sql() -> str:
-    notices = ", ".join("({}, '{}', '{}', {})".format(i, k, t.replace("'", "''"), whole) for i, k, t, whole in licenses.templates_table())
-    return rf"""
+    quoted = lambda t: "NULL" if t is None else "'" + t.replace("'", "''") + "'"
+    rows = [(i, k, t, whole, *licenses.TELLING.get(k, (None, ()))) for i, k, t, whole in licenses.templates_table()]
+    notices = ", ".join(f"({i}, {quoted(k)}, {quoted(t)}, {whole}, {quoted(family)}::VARCHAR, [{', '.join(map(quoted, tells))}]::VARCHAR[])" for i, k, t, whole, family, tells in rows)
+    cut = "chr(10) || text"
+    for pattern, by in licenses.CUTS:
+        cut = f"regexp_replace({cut}, {quoted(pattern)}, {quoted(by.format('', chr(92) + '1', chr(92) + '2'))}, 'g')"
+    longer = "contains(trim(piece, ' ' || chr(9) || chr(10)), chr(10))"
+    return f"""
 WITH f AS (
   SELECT doc_id, coalesce(text, '') AS text,
     CASE WHEN doc_id % 1000 = 0 THEN source WHEN doc_id % 100 = 0 THEN source || '/' || lang
@@ -154,24 +160,25 @@ WITH f AS (
     CASE WHEN doc_id % 25 = 0 THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END AS name
   FROM documents),
 files AS (SELECT *, dir || '/' || name AS path FROM f),
-tt AS (SELECT template, license, whole, term, count(*) AS tf FROM (SELECT template, license, whole, unnest({_TERMS.format("notice")}) AS term FROM (VALUES {notices}) v(template, license, notice, whole)) GROUP BY ALL),
+tt AS (SELECT template, license, whole, family, tells, term, count(*) AS tf FROM (SELECT template, license, whole, family, tells, unnest({_TERMS.format("notice")}) AS term FROM (VALUES {notices}) v(template, license, notice, whole, family, tells)) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM files),
 df AS MATERIALIZED (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({_TERMS.format("text")})) AS term FROM files) GROUP BY term),
-tw AS (SELECT template, license, whole, term, tf * (ln((1 + n.n) / (1 + coalesce(df, 0))) + 1) AS weight FROM tt LEFT JOIN df USING (term), n),
-t AS MATERIALIZED (SELECT template, license, whole, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY template)) AS w FROM tw),
+tw AS (SELECT template, license, whole, family, len(tells) = 0 OR list_contains(tells, term) AS tells, term, tf * (ln((1 + n.n) / (1 + coalesce(df, 0))) + 1) AS weight FROM tt LEFT JOIN df USING (term), n),
+t AS MATERIALIZED (SELECT template, license, whole, family, tells, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY template)) AS w FROM tw),
+cut AS MATERIALIZED (SELECT path, {cut} AS cut FROM files),
+paragraphs AS (SELECT path, unnest(string_split_regex(cut, '{licenses.PARAGRAPH}')) AS piece, -10 - 2 * unnest(range(len(string_split_regex(cut, '{licenses.PARAGRAPH}')))) AS part FROM cut),
+comments AS (SELECT path, unnest(string_split(cut, chr(1))) AS piece, -11 - 2 * unnest(range(len(string_split(cut, chr(1))))) AS part FROM cut),
 pieces AS (
   SELECT path, unnest(string_split(text, chr(10))) AS piece, unnest(range(len(string_split(text, chr(10))))) AS part FROM files
-  UNION ALL SELECT path, string_split_regex(regexp_replace(text, '^\s+', ''), '
-[ 	
-]*
-')[1], -1 FROM files
+  UNION ALL SELECT * FROM paragraphs WHERE {longer}
+  UNION ALL SELECT * FROM comments WHERE {longer} AND regexp_matches(piece, {quoted(licenses.COMMENT)})
   UNION ALL SELECT path, text, -2 FROM files WHERE name LIKE 'LICENSE%'),
 pt AS (SELECT path, part, term, count(*) AS tf FROM (SELECT path, part, unnest({_TERMS.format("piece")}) AS term FROM pieces) GROUP BY ALL),
-pw AS MATERIALIZED (SELECT path, part, term, tf * (ln((1 + n.n) / (1 + df)) + 1) AS weight FROM pt JOIN df USING (term), n),
-length AS (SELECT path, part, sqrt(sum(weight * weight)) AS norm FROM pw GROUP BY ALL),
-dots AS (SELECT path, part, template, license, sum(weight * w) AS dot FROM pw JOIN t USING (term) WHERE NOT whole OR part = -2 GROUP BY ALL),
-s AS (SELECT path, license, round(dot / norm, 6) AS score FROM dots JOIN length USING (path, part)),
-own AS (SELECT path, license AS declared, score FROM s WHERE score >= {licenses.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),
+pw AS MATERIALIZED (SELECT path, part, term, tf, tf * (ln((1 + n.n) / (1 + df)) + 1) AS weight FROM pt JOIN df USING (term), n),
+length AS (SELECT path, part, sqrt(sum(weight * weight)) AS norm, sum(tf) AS words FROM pw GROUP BY ALL),
+dots AS (SELECT path, part, template, license, family, sum(weight * w) AS dot, sum(tf) AS shared, bool_or(tells) AS told FROM pw JOIN t USING (term) WHERE NOT whole OR part = -2 GROUP BY ALL),
+s AS (SELECT path, CASE WHEN told THEN license ELSE family END AS license, told, round(dot / norm, 6) AS score FROM dots JOIN length USING (path, part) WHERE shared >= {licenses.COVERED} * words),
+own AS (SELECT path, license AS declared, score FROM s WHERE score >= {licenses.THRESHOLD} AND license IS NOT NULL QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, told DESC, license) = 1),
 speaking AS (SELECT dir AS above, declared AS inherited FROM files JOIN own USING (path) WHERE name LIKE 'LICENSE%' QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, name) = 1),
 nearest AS (SELECT d.dir, s.above, s.inherited FROM (SELECT DISTINCT dir FROM files) d JOIN speaking s ON d.dir = s.above OR starts_with(d.dir, s.above || '/') QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(s.above) DESC) = 1)
 SELECT doc_id, path, declared, score, coalesce(declared, inherited) AS license, CASE WHEN declared IS NULL THEN above END AS inherited_from

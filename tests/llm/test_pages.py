@@ -96,6 +96,45 @@ def test_wrapped_notices_and_licence_bodies(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+LAYOUTS = {
+    "shebang": lambda t: "#!/usr/bin/env python3\n\n" + textwrap.indent(t, "# ", lambda _: True) + "\n\nimport os\nprint(os.name)\n",
+    "no_blank": lambda t: textwrap.indent(t, "// ", lambda _: True) + "\nint main(int argc, char **argv) { return 0; }\nstatic int x;\n",
+    "block": lambda t: "<?php\n/*\n" + t.replace("\n", "\n\n", 3) + "\n*/\nfunction f() { return 1; }\n",
+    "stars": lambda t: "package a;\n\n/**\n * Copyright (c) 2019 A. Body\n *\n" + textwrap.indent(t, " * ", lambda _: True) + "\n */\npublic class A { int b; }\n",
+    "copyright": lambda t: "# -*- coding: utf-8 -*-\n# Copyright 2020 A. Body\n# Copyright © B. Body\n\n" + textwrap.indent(t, "# ", lambda _: True) + "\nimport os\n",
+    "docstring": lambda t: '"""\n' + t + '\n"""\nimport os\n',
+    "behind": lambda t: "import os\n\ndef f():\n    return os\n\n" + textwrap.indent(t, "-- ", lambda _: True) + "\n\ndef g():\n    return f\n",
+}
+OTHER = "the code of a file that is of no licence and of no author but of words"
+
+
+@pytest.mark.parametrize("crlf", [False, True])
+def test_notices_in_any_layout(spark, crlf):
+    """Each notice, with its own version, wherever it stands in a file."""
+    rows = []
+    for i, (k, t) in enumerate(licence_blocks.HEADERS):
+        wrapped = "\n".join(textwrap.wrap(t, 66))
+        rows += [(f"{i}/{name}.x", lay(wrapped).replace("\n", "\r\n" if crlf else "\n"), k) for name, lay in LAYOUTS.items()]
+    rows += [(f"spdx/{i}", f"// SPDX-License-Identifier: {k}\n{OTHER}\n", k) for i, k in enumerate(sorted({k for k, _ in [*licenses.TEMPLATES, *licence_blocks.HEADERS]}))]
+    rows += [(f"short/{i}", f"{OTHER}\n# {t}.\n{OTHER}", k) for i, (k, t) in enumerate(licenses.TEMPLATES)]
+    prose = ["I wrote about the MIT License in my thesis and released under the MIT License is a phrase.", "He asked me if all this was licensed under the Apache License, Version 2.0 or not at all.", "The GNU General Public License is what they talked about all day long.", "permission to use the car was granted without any fee", "This software is what I like."]
+    rows += [(f"prose/{i}", f"{t}\n{OTHER}", None) for i, t in enumerate(prose)]
+    rows += [("vague/0", "# This program is free software; you can redistribute it under the terms of the GNU General Public License\n", "GPL"), ("vague/1", "// Licensed under the Apache License.\n", "Apache"), ("vague/2", "Redistribution and use in source and binary forms, with or without modification, are permitted", "BSD")]
+    rows += [(f"other/{i}", f"{OTHER} {i}", None) for i in range(150)]
+    df = spark.createDataFrame(rows, "path string, text string, wanted string")
+    got = {r.path: r.declared for r in licenses.scan(df).collect()}
+    assert {p: (got[p], k) for p, _, k in rows if got[p] != k} == {}
+
+
+def test_licences_of_very_long_files(spark):
+    """Pieces of any length: many lines, one long line, many blank lines; the notice stands at the end."""
+    notice = "\n".join("# " + x for x in textwrap.wrap(dict(licence_blocks.HEADERS)["GPL-3.0"], 60))
+    rows = [("a", f"{OTHER}\n" * 60_000 + notice), ("b", f"{OTHER} " * 30_000 + "\n" + notice), ("c", "\n \n" * 100_000 + notice), ("d", "# x\n" * 60_000), ("e", " " * 200_000 + "\n" + notice), ("d/LICENSE", f"{OTHER}\n" * 20_000)]
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r.path: r.declared for r in licenses.scan(df).collect()}
+    assert got == {"a": "GPL-3.0", "b": "GPL-3.0", "c": "GPL-3.0", "d": None, "e": "GPL-3.0", "d/LICENSE": None}
+
+
 def test_no_line_is_lost_by_the_gate(spark):
     texts = ["permission granted", "gnu public license", "Licensed BY SA 4.0 cc", "the free terms of the work", "Apache 2.0", "source form subject mozilla", "copy of this software to any person"]
     df = spark.createDataFrame([(f"d/{i}.txt", t) for i, t in enumerate(texts * 3)], "path string, text string")
