@@ -11,7 +11,8 @@ share is computed once.  Nodes are of three kinds:
 Missing is NULL (NaN in kernels).  A frame gives a value only if all its n values are
 there.  Comparisons with a missing value are false (`ne` is true), and a condition that
 is missing takes the else branch.  `/` gives NULL for a zero divisor; `ieee` keeps
-infinities where a later sum, recursion or reciprocal needs them; they end as NULL.
+infinities where a later sum, recursion or reciprocal needs them; they end as NULL.  A
+column's name may have a mark behind it that it holds infinities.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ class Expr:
         self.op, self.args, self.p, self.key = op, args, p, f"x{len(cls._pool)}"
         self.scan = op in SCAN or any(a.scan for a in args)
         self.level = max((a.level for a in args), default=0) + (op in WINDOW or op in SCAN)
-        self.inf = op == "ieee" or op in POINTWISE - {"finite", "lt", "le", "gt", "ge", "eq", "ne", "and", "or", "number", "div"} | {"lag", "cumsum", "wsma", "smooth"} and any(a.inf for a in args)
+        self.inf = op == "ieee" or op == "column" and len(p) > 1 or op in POINTWISE - {"finite", "lt", "le", "gt", "ge", "eq", "ne", "and", "or", "number", "div"} | {"lag", "cumsum", "wsma", "smooth"} and any(a.inf for a in args)
         cls._pool[key] = self
         return self
 

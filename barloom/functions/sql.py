@@ -7,7 +7,7 @@ partitioning and the order, so all levels together need a single exchange and so
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 from dataclasses import dataclass
 
 from .expr import POINTWISE, WINDOW, Expr
@@ -150,10 +150,11 @@ def reach(outputs: dict[str, Expr]) -> dict[str, int | None]:
     return {name: found[e] for name, e in outputs.items()}
 
 
-def stages(outputs: dict[str, Expr], over: Over, carried: list[str]) -> list[list[str]]:
+def stages(outputs: dict[str, Expr], over: Over, carried: list[str], raw: Collection[str] = ()) -> list[list[str]]:
     """SELECT lists, each over the one before, that end in `carried` and the outputs.
 
-    A column is carried only as long as a later stage reads it.
+    A column is carried only as long as a later stage reads it.  Infinities end as NULL,
+    but in the outputs named in `raw`.
     """
     if any(e.scan for e in outputs.values()):
         raise ValueError("scans are not SQL")
@@ -181,7 +182,7 @@ def stages(outputs: dict[str, Expr], over: Over, carried: list[str]) -> list[lis
         out.append([*carried, *columns, *(e.key for e in stored), *(m for e, m in zip(shared, made, strict=True) if e in reads)])
         stored += [e for e in shared if e in reads]
         text.ready.update(e for e in shared if e in reads)
-    out.append([*carried, *(f"{finite(e, text.point(e))} AS {name}" for name, e in outputs.items())])
+    out.append([*carried, *(f"{(no_nan if name in raw else finite)(e, text.point(e))} AS {name}" for name, e in outputs.items())])
     return out
 
 

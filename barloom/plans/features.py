@@ -5,9 +5,9 @@ sort serve all their stages.  Columns with recursion are computed by one Arrow k
 for each sequence.  Asked for both, the kernels run on the same partitions first, from
 nine narrow columns, and the windows follow.
 
-A sequence is one task by default.  Windows that reach back a known number of rows need
-not wait for it: with `split`, a sequence is cut into parts of days, each with the days
-before it that its frames reach, and a part is a task.
+A sequence is one task by default.  With `split` it is cut into parts of days, and a part is
+a task: frames get the days before that they reach, and what carries state from row to row
+is computed by parts as `carried` tells.
 """
 
 from __future__ import annotations
@@ -23,17 +23,15 @@ from pyspark.sql import types as T
 from ..functions import recursive_sql
 from ..functions.expr import Expr
 from ..functions.kernels import evaluate
-from ..functions.sql import Over, query, reach, stages
+from ..functions.sql import Over, query, stages
 from ..operators.registry import FAMILIES, select
 from ..session import ship
 from ..sources.bars import KEYS, NUMBERS, TIME, rebase
+from .carried import DAY, OWN, PART, compute_parts
 
 OVER = Over(KEYS, TIME)
 
 
-PART, OWN, DAY = "__part", "__own", "__day"  # bars have the columns of their schema only, so these are free
-
-
 def windows(bars: DataFrame, outputs: dict[str, Expr], carried: list[str], over: Over = OVER) -> DataFrame:
     """Outputs without recursion, by stages of SELECTs."""
     df = bars
@@ -81,29 +79,24 @@ def compute(bars: DataFrame, *, columns: list[str] | None = None, families: tupl
     """symbol, timeframe, trade_time and the wanted columns of every bar.
 
     All supplied bars are history: cumulative columns begin at a sequence's first bar.
-    With split, columns that reach back a known number of rows are computed in parts of
-    about so many rows of a sequence; all others still run through the sequence.  Parts are
-    counted first, so bars are read twice: store them if they are dear.  A bar without a
-    time is in no day and has no place in the order: with split it is left out.
+    With split, every sequence is cut into parts of days of about so many rows and all
+    columns are computed by parts (see `carried`): windows with the rows before that they
+    reach, means, sums and run lengths by blocked scans, branching recursions by
+    speculation that is checked.  Parts are counted first, so bars are read twice, or stored
+    if any column carries state.  A bar without a time is in no day and has no place in the
+    order: with split it is left out.
     """
     ship(bars.sparkSession)
     wanted = select(columns, families)
+    bars = df = rebase(bars)
+    if split:
+        return compute_parts(bars, wanted, split, parts)
     scans = {k: e for k, e in wanted.items() if e.scan}
     plain = {k: e for k, e in wanted.items() if not e.scan}
-    bars = df = rebase(bars)
-    back = reach(plain)
-    local = {k: e for k, e in plain.items() if split and back[k]}
-    whole = {k: e for k, e in plain.items() if k not in local}
     if scans:
         df = recursions(df, scans)
-    if whole:
-        df = windows(df, whole, [*KEYS, TIME, *(NUMBERS if local else ()), *scans])
-    if local:
-        places = parts(bars, split, max(back[k] for k in local))
-        df = df.withColumn(DAY, F.date_trunc("day", TIME)).join(places, [*KEYS, DAY]).drop(DAY)
-        # A fixed number: adaptive execution joins partitions by their bytes, and so few bytes under so many windows would be one task.
-        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *KEYS, PART)
-        df = windows(df, local, [*KEYS, PART, OWN, TIME, *scans, *whole], Over((*KEYS, PART), TIME)).where(OWN)
+    if plain:
+        df = windows(df, plain, [*KEYS, TIME, *scans])
     return df.select(*KEYS, TIME, *wanted)
 
 

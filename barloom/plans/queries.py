@@ -12,6 +12,7 @@ from ..operators.registry import FAMILIES, family
 from ..session import ship
 from ..sources import bars as B
 from . import audit, formulas
+from .carried import rounds
 from .features import compute, live_only, sql_text
 
 BOUNDARY = "1997-01-01"
@@ -137,6 +138,15 @@ def features_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(compute(bars, columns=plain("tv"), split=PART_ROWS))
 
 
+def stateful(name: str) -> list[str]:
+    return [k for k, e in family(name).items() if rounds([e])]
+
+
+def recursions_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursions and running columns of the tv family over five-minute bars, by parts of sequences."""
+    return rounded(compute(B.event_bars(spark, sf_dir, "5m"), columns=stateful("tv"), split=PART_ROWS))
+
+
 def bars_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a resumed build compares: rows and span of each sequence."""
     return B.fingerprint(B.lineitem_bars(spark, sf_dir, "l_suppkey")).select(*B.KEYS, "n_bars", "first_time", "last_time")
@@ -152,7 +162,7 @@ def audit_excel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (features_flagship, bars_lineitem, bars_events, bars_violations, bars_latest, features_all, features_live, audit_warmup, audit_coverage, features_suppliers, features_users, features_parts, bars_fingerprint, audit_excel)}
+    named = {f.__name__: f for f in (features_flagship, bars_lineitem, bars_events, bars_violations, bars_latest, features_all, features_live, audit_warmup, audit_coverage, features_suppliers, features_users, features_parts, recursions_parts, bars_fingerprint, audit_excel)}
     for name in FAMILIES:
         named |= {f"features_{name}": _plain_query(name), f"features_{name}_events": _event_query(name), f"recursions_{name}": _recursive_query(name), f"formulas_{name}": _formula_query(name)}
     return named
@@ -217,6 +227,7 @@ def oracle_sql() -> dict[str, str]:
     texts["features_suppliers"] = sql_text(B.lineitem_sql("l_suppkey"), families=("excel",), wrap=quantised)
     texts["features_users"] = sql_text(" UNION ALL ".join(f"SELECT * FROM ({B.events_sql(t, 'user_id')})" for t in USER_TIMEFRAMES), plain("indicator"), wrap=quantised)
     texts["features_parts"] = sql_text(B.events_sql("5m"), plain("tv"), wrap=quantised)
+    texts["recursions_parts"] = sql_text(B.events_sql("5m"), stateful("tv"), wrap=quantised)
     texts["bars_fingerprint"] = f"SELECT symbol, timeframe, count(*) AS n_bars, min(trade_time) AS first_time, max(trade_time) AS last_time FROM ({B.lineitem_sql('l_suppkey')}) GROUP BY ALL"
     texts["features_all"] = sql_text(B.LINEITEM_SQL, wrap=quantised)
     texts["features_live"] = f"SELECT * FROM ({texts['features_excel']}) WHERE trade_time >= TIMESTAMP '{BOUNDARY}'"

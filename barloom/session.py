@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = Path(__file__).resolve().parent
 _shipped: set[str] = set()
@@ -38,3 +40,21 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(path)
         _shipped.add(app)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only on one machine, where none is set."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-work-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read back: its lineage ends there."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
