@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..operators.registry import FAMILIES, select
 from ..sources.bars import KEYS, TIME, fingerprint
-from . import audit
+from . import audit, states
 from .features import compute
 
 
@@ -80,14 +80,18 @@ class Store:
         path = self._path(f"{self.root}/{folder}")
         return sorted(s.getPath().getName() for s in self._fs.listStatus(path)) if self._fs.exists(path) else []
 
-    def inventory(self, folder: str) -> str:
-        """A digest of the names and sizes of all data files below a folder."""
+    def files(self, folder: str) -> list[tuple[str, int]]:
+        """Names and sizes of all data files below a folder."""
         found, files = [], self._fs.listFiles(self._path(f"{self.root}/{folder}"), True)
         while files.hasNext():
             f = files.next()
             if f.getPath().getName().endswith(".parquet"):
                 found.append((f.getPath().toString().rsplit(f"/{folder}/", 1)[-1], f.getLen()))
-        return digest({"files": sorted(found)})
+        return sorted(found)
+
+    def inventory(self, folder: str) -> str:
+        """A digest of the names and sizes of all data files below a folder."""
+        return digest({"files": self.files(folder)})
 
 
 def canonical(value: dict) -> bytes:
@@ -126,6 +130,71 @@ def build(bars: DataFrame, root: str, run: str, *, families: tuple[str, ...] = F
     return stored(spark, root, run)
 
 
+def keep_pasts(bars: DataFrame, root: str, run: str, *, families: tuple[str, ...] = FAMILIES, columns: list[str] | None = None) -> None:
+    """Write what new bars need to go on from a build: the first version of its pasts, by one pass over its bars."""
+    _, pasts = states.advance(bars, None, families=families, columns=columns)
+    pasts.write.parquet(f"{root}/pasts/{run}/version={1:08d}")
+
+
+def branch(spark: SparkSession, root: str, base: str, run: str) -> None:
+    """A new build with the rows, fingerprints and last pasts of another: finalised builds are never changed.
+
+    Rows are copied by a job over the table, nothing is computed.
+    """
+    store = Store(spark, root)
+    if store.exists(f"builds/{run}"):
+        raise PublishError(f"build {run} is there already")
+    versions = [n for n in store.names(f"pasts/{base}") if store.exists(f"pasts/{base}/{n}/_SUCCESS")]
+    if not versions:
+        raise PublishError(f"no pasts are kept for build {base}")
+    stored(spark, root, base).repartition("symbol", "timeframe", "year").sortWithinPartitions(TIME).write.partitionBy("symbol", "timeframe", "year").option("compression", "zstd").parquet(f"{root}/builds/{run}")
+    spark.read.parquet(f"{root}/prints/{base}").write.parquet(f"{root}/prints/{run}")
+    spark.read.parquet(f"{root}/pasts/{base}/{versions[-1]}").write.parquet(f"{root}/pasts/{run}/{versions[-1]}")
+
+
+def append(bars: DataFrame, root: str, run: str, *, families: tuple[str, ...] = FAMILIES, columns: list[str] | None = None) -> DataFrame:
+    """Add new bars' features to a build whose pasts were kept; reads no older bar.
+
+    Rows, fingerprints and the next version of the pasts are written in this order, under a
+    journal with the files before: an append that broke off is undone by the next one, which
+    then begins again.  The build is to be finalised as any other, over all bars.
+    """
+    spark = bars.sparkSession
+    store = Store(spark, root)
+    if store.exists(f"ready-{run}.json"):
+        raise PublishError(f"build {run} is finalised; branch from it")
+    versions = [n for n in store.names(f"pasts/{run}") if store.exists(f"pasts/{run}/{n}/_SUCCESS")]
+    if not versions:
+        raise PublishError(f"no pasts are kept for build {run}")
+    number = int(versions[-1].removeprefix("version=")) + 1
+    journal, path = f"append-{run}-{number:08d}.json", f"{root}/pasts/{run}/version={number:08d}"
+    folders = [f"builds/{run}", f"prints/{run}"]
+    if store.exists(journal):
+        was = store.read(journal)["files"]
+        for folder in folders:
+            for name, _ in store.files(folder):
+                if name not in set(was[folder]):
+                    store.remove(f"{folder}/{name}")
+        store.remove(f"pasts/{run}/version={number:08d}")
+    else:
+        store.write(journal, {"files": {f: [n for n, _ in store.files(f)] for f in folders}})
+    pasts = spark.read.schema(states.Split(columns, families).schema).parquet(f"{root}/pasts/{run}/{versions[-1]}")
+    made, after = states.advance(bars, pasts, families=families, columns=columns)
+    made.withColumn("year", F.year(TIME)).repartition("symbol", "timeframe", "year").sortWithinPartitions(TIME).write.mode("append").partitionBy("symbol", "timeframe", "year").option("compression", "zstd").parquet(f"{root}/builds/{run}")
+    _merged_prints(spark, root, run, fingerprint(bars)).withColumn("columns", F.lit(digest({"c": list(select(columns, families))}))).withColumn("stamp", F.current_timestamp()).write.mode("append").parquet(f"{root}/prints/{run}")
+    after.write.parquet(path)
+    return stored(spark, root, run)
+
+
+def _merged_prints(spark: SparkSession, root: str, run: str, new: DataFrame) -> DataFrame:
+    """Fingerprints of sequences with new bars, from the last ones and those of the new bars alone."""
+    fields = ["n_bars", "first_time", "last_time", "hash_sum", "hash_xor"]
+    last = spark.read.schema(T.StructType([*new.schema.fields, T.StructField("stamp", T.TimestampType())])).parquet(f"{root}/prints/{run}")
+    last = last.groupBy(*KEYS).agg(F.max(F.struct("stamp", *fields)).alias("was")).select(*KEYS, *[F.col(f"was.{c}").alias(c) for c in fields])
+    both = last.join(new.select(*KEYS), list(KEYS), "left_semi").unionByName(new)
+    return both.groupBy(*KEYS).agg(F.sum("n_bars").alias("n_bars"), F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"), F.sum(F.col("hash_sum").cast("decimal(38,0)")).cast("string").alias("hash_sum"), F.bit_xor("hash_xor").alias("hash_xor"))
+
+
 def _escaped(value: str) -> str:
     """A partition value as Spark names its folder."""
     return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^\x7f" or ord(c) < 32 else c for c in value)

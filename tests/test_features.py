@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.functions.kernels import evaluate
 from barloom.functions.sql import reach
@@ -222,6 +223,30 @@ def test_audit_finds_changes(bars):
     assert audit.missing_sequences(right, wrong).first().symbol == "one"
 
 
+def test_exact_quantiles_and_bits(spark):
+    """p99 of differences as numpy tells it, over many sizes of numbers; signed zeros are not identical."""
+    r = np.random.default_rng(3)
+    f = made(777)
+    f["x"] = r.normal(size=777) * 10.0 ** r.integers(-12, 13, 777)
+    f["y"] = f.x + r.normal(size=777) * 10.0 ** r.integers(-20, 6, 777)
+    f["z"], f["w"] = 0.0, np.where(np.arange(777) % 100 == 0, 1e-300, 0.0)
+    f.loc[[5, 6], "x"] = np.nan
+    keys = ["symbol", "timeframe", "trade_time"]
+    df = spark.createDataFrame(f).withColumn("x", F.expr("nanvl(x, CAST(NULL AS DOUBLE))")).repartition(5)
+    left = df.selectExpr(*keys, "x AS p", "z AS q", "z AS s", "CAST(NULL AS DOUBLE) AS t")
+    right = df.selectExpr(*keys, "y AS p", "-z AS q", "w AS s", "CAST(NULL AS DOUBLE) AS t")
+    got = {r.column: r for r in audit.compare(left, right, absolute=0.0, relative=0.0).collect()}
+    gap = (f.x - f.y).abs().dropna()
+    share = gap / f.x.abs().dropna()
+    assert got["p"].p99_abs == pytest.approx(np.percentile(gap, 99), rel=1e-12) and got["p"].p99_rel == pytest.approx(np.percentile(share, 99), rel=1e-12)
+    assert got["p"].max_abs == gap.max() and got["p"].null_mismatches == 2 and got["p"].n_cells == 777
+    assert got["q"].not_identical == 777 and got["q"].beyond == 0 and got["q"].p99_abs == 0.0 and got["q"].p99_rel is None
+    assert got["s"].p99_abs == np.percentile(np.abs(f.w), 99) and got["s"].beyond == 8
+    assert got["t"].not_identical == 0 and got["t"].max_abs is None and got["t"].p99_abs is None and got["t"].status == "PASS"
+    none = audit.compare(left.limit(0), right.limit(0))
+    assert {r.n_cells for r in none.collect()} == {0} and none.count() == 4
+
+
 def test_bar_rules(spark):
     f = made(30)
     f.loc[5, "high"] = 0
