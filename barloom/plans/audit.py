@@ -79,7 +79,7 @@ def tally(pairs: DataFrame, columns: list[str], absolute: float, relative: float
                 other = (a != b) | (both & (x.view(np.uint64) != y.view(np.uint64)))
                 sums[i] += [len(x), (a != b).sum(), infinite.sum(), far.sum(), other.sum(), both.sum(), len(share)]
                 for k, g in enumerate((gap[both], share)):
-                    most[i, k] = np.fmax(most[i, k], g.max(initial=np.nan, where=~np.isnan(g))) if len(g) and not np.isnan(g).all() else most[i, k]
+                    most[i, k] = np.fmax.reduce(g, initial=most[i, k])
         yield pa.RecordBatch.from_arrays([pa.array(columns), *(pa.array(s) for s in sums.T), *(pa.array(m, from_pandas=True) for m in most.T)], names=["column", *COUNTS, "max_abs", "max_rel"])
 
     schema = f"column string, {', '.join(f'{c} long' for c in COUNTS)}, max_abs double, max_rel double"

@@ -61,7 +61,7 @@ D = f"""SELECT *, (high + low + close) / 3 AS typical,
   CASE WHEN open <= o1 THEN 0e0 ELSE {_both("greatest", "high - open", "open - o1")} END AS dtm, CASE WHEN open >= o1 THEN 0e0 ELSE {_both("greatest", "open - low", "o1 - open")} END AS dbm,
   CASE WHEN high + low <= h1 + l1 THEN 0e0 ELSE {_both("greatest", "abs(high - h1)", "abs(low - l1)")} END AS dmz, CASE WHEN high + low >= h1 + l1 THEN 0e0 ELSE {_both("greatest", "abs(high - h1)", "abs(low - l1)")} END AS dmf,
   CASE WHEN high - h1 > 0 AND high - h1 > l1 - low THEN high - h1 ELSE 0e0 END AS hd, CASE WHEN l1 - low > 0 AND l1 - low > high - h1 THEN l1 - low ELSE 0e0 END AS ld,
-  CASE WHEN v1 = 0 THEN NULL ELSE close - c1 - (volume - v1) * (h1 - l1) / v1 END AS qhl,
+  CASE WHEN v1 = 0 THEN CASE WHEN (volume - v1) * (h1 - l1) > 0 THEN '-Infinity'::DOUBLE END ELSE close - c1 - (volume - v1) * (h1 - l1) / v1 END AS qhl,
   CASE WHEN close > c1 THEN 1e0 ELSE 0e0 END AS up, CASE WHEN close > c1 THEN volume WHEN close < c1 THEN -volume ELSE 0e0 END AS signed,
   close - least(low, c1) AS pressure0, close - {_both("least", "low", "c1")} AS pressure, {_both("greatest", "high", "c1")} - {_both("least", "low", "c1")} AS span, greatest(high, coalesce(c1, high)) - least(low, coalesce(c1, low)) AS span0,
   {_by("close - c1", "c1")} AS ret, {_by("2 * close - low - high", "high - low")} AS clv, (high + low) / 2 AS mid, (3 * close + low + open + high) / 6 AS dk
@@ -80,7 +80,7 @@ def _uo(pressure: str, span: str) -> str:
 
 
 _MFI = f"(CASE WHEN {_sum('flow_down', 14)} = 0 THEN CASE WHEN {_sum('flow_up', 14)} > 0 THEN 100e0 END ELSE 100 - 100 / (1 + {_sum('flow_up', 14)} / nullif({_sum('flow_down', 14)}, 0)) END)"
-_QUP, _QDOWN = "(CASE WHEN qhl > 0 THEN qhl ELSE 0e0 END)", "(CASE WHEN qhl < 0 THEN qhl ELSE 0e0 END)"
+_QUP, _QDOWN = "(CASE WHEN qhl > 0 THEN qhl ELSE 0e0 END)", "(CASE WHEN isinf(qhl) THEN NULL WHEN qhl < 0 THEN qhl ELSE 0e0 END)"
 
 WH6 = {
     "ADTM_ADTM": f"CASE WHEN stm > sbm THEN {_by('stm - sbm', 'stm')} WHEN stm = sbm THEN 0e0 ELSE {_by('stm - sbm', 'sbm')} END",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,6 +114,23 @@ def _formula_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: rounded(compute(B.lineitem_bars(spark, sf_dir), columns=_by_hand(name)))
 
 
+def _silent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars of which every seventh day is silent and every fifth flat, by their dates."""
+    day = F.datediff(B.TIME, F.lit("1970-01-01"))
+    quiet, flat = day % 7 == 0, day % 5 == 0
+    prices = {c: F.when(flat, F.col("close")).otherwise(F.col(c)) for c in ("open", "high", "low")}
+    return B.lineitem_bars(spark, sf_dir).withColumns({**prices, "volume": F.when(quiet, F.lit(0.0)).otherwise(F.col("volume").cast("double"))})
+
+
+_DAY = "date_diff('day', DATE '1970-01-01', trade_time::DATE)"
+SILENT_SQL = f"SELECT symbol, timeframe, trade_time, {', '.join(f'CASE WHEN {_DAY} % 5 = 0 THEN close ELSE {c} END AS {c}' for c in ('open', 'high', 'low'))}, close, CASE WHEN {_DAY} % 7 = 0 THEN 0e0 ELSE volume::DOUBLE END AS volume, open_interest FROM ({B.LINEITEM_SQL})"
+
+
+def formulas_silent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns whose SQL is written by hand, over bars with silent and flat days."""
+    return rounded(compute(_silent(spark, sf_dir), columns=list(formulas.BY_HAND)))
+
+
 def features_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The excel family, windows and recursions, of a sequence for each supplier."""
     return rounded(compute(B.lineitem_bars(spark, sf_dir, "l_suppkey"), families=("excel",)))
@@ -125,8 +141,12 @@ USER_TIMEFRAMES = ("1h", "4h", "1day")
 
 def features_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of the indicator family for each user's bars in three timeframes."""
-    bars = [B.event_bars(spark, sf_dir, t, "user_id") for t in USER_TIMEFRAMES]
-    return rounded(compute(reduce(DataFrame.unionByName, bars), columns=plain("indicator")))
+    return rounded(compute(B.event_timeframes(spark, sf_dir, USER_TIMEFRAMES, "user_id"), columns=plain("indicator")))
+
+
+def bars_timeframes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of the events in all nine timeframes, from one scan."""
+    return rounded(B.event_timeframes(spark, sf_dir))
 
 
 PART_ROWS = 1_000
@@ -147,6 +167,42 @@ def recursions_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(compute(B.event_bars(spark, sf_dir, "5m"), columns=stateful("tv"), split=PART_ROWS))
 
 
+#: Recursive columns of each family whose start is felt long after it.
+SLOW = {
+    "wh6": ("wh6_MACD_DIFF", "wh6_MACD_DEA"), "indicator": ("indicator_py_macd_diff", "indicator_py_ppo"), "excel": ("excel_EXPMA_50", "excel_TEMA_40", "excel_RSIH_40_120"), "tv": ("tv_ema_55", "tv_rsi_21", "tv_atr_14", "tv_tsi_25_13"),
+}
+AUDITED = ("column", "n_cells", "null_mismatches", "infinities", "beyond", "max_abs", "max_rel", "p99_abs", "p99_rel", "missing", "status")
+
+
+def slow(name: str) -> list[str]:
+    """Columns of the family for `audit_start_*`: those of SLOW that there are, and its first recursions."""
+    found = [c for c in SLOW[name] if c in family(name)]
+    return found + [c for c in recursive(name) if c not in found][: 6 - len(found)]
+
+
+def _start_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """How far recursions that begin at the boundary are from those with history: exact maxima and p99."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bars = B.lineitem_bars(ship(spark), sf_dir)
+        live = bars.where(F.col(B.TIME) >= F.to_timestamp(F.lit(BOUNDARY)))
+        report = audit.compare(live_only(bars, live, start=BOUNDARY, columns=slow(name)), compute(live, columns=slow(name)))
+        return report.select(*[F.expr(quantised(c)).alias(c) if c[:3] in ("max", "p99") else F.col(c) for c in AUDITED])
+
+    return query
+
+
+def _start_sql(name: str) -> str:
+    live = f"SELECT * FROM ({B.LINEITEM_SQL}) WHERE trade_time >= TIMESTAMP '{BOUNDARY}'"
+    one = """SELECT '{c}' AS "column", count(*) AS n_cells, count(*) FILTER ((w.{c} IS NULL) <> (k.{c} IS NULL)) AS null_mismatches, 0::BIGINT AS infinities, count(*) FILTER (abs(w.{c} - k.{c}) > greatest(1e-6, abs(w.{c}) * 1e-9)) AS beyond,
+  max(abs(w.{c} - k.{c})) AS max_abs, max(abs(w.{c} - k.{c}) / nullif(abs(w.{c}), 0)) AS max_rel, quantile_cont(abs(w.{c} - k.{c}), 0.99) AS p99_abs, quantile_cont(abs(w.{c} - k.{c}) / nullif(abs(w.{c}), 0), 0.99) AS p99_rel FROM w JOIN k USING (symbol, timeframe, trade_time)"""
+    parts = " UNION ALL ".join(one.format(c=c) for c in slow(name))
+    status = "CASE WHEN null_mismatches + beyond > 0 THEN 'FAIL' ELSE 'PASS' END"
+    sums = ", ".join(f"{quantised(c)} AS {c}" for c in AUDITED if c[:3] in ("max", "p99"))
+    return f"""WITH w AS MATERIALIZED ({sql_text(B.LINEITEM_SQL, slow(name))}), k AS MATERIALIZED ({sql_text(live, slow(name))}), r AS ({parts})
+SELECT "column", n_cells, null_mismatches, infinities, beyond, {sums}, 0::BIGINT AS missing, {status} AS status FROM r"""
+
+
 def bars_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a resumed build compares: rows and span of each sequence."""
     return B.fingerprint(B.lineitem_bars(spark, sf_dir, "l_suppkey")).select(*B.KEYS, "n_bars", "first_time", "last_time")
@@ -162,9 +218,10 @@ def audit_excel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (features_flagship, bars_lineitem, bars_events, bars_violations, bars_latest, features_all, features_live, audit_warmup, audit_coverage, features_suppliers, features_users, features_parts, recursions_parts, bars_fingerprint, audit_excel)}
+    named = {f.__name__: f for f in (features_flagship, bars_lineitem, bars_events, bars_violations, bars_latest, bars_timeframes, features_all, features_live, audit_warmup, audit_coverage, features_suppliers, features_users, features_parts, recursions_parts, bars_fingerprint, audit_excel)}
     for name in FAMILIES:
-        named |= {f"features_{name}": _plain_query(name), f"features_{name}_events": _event_query(name), f"recursions_{name}": _recursive_query(name), f"formulas_{name}": _formula_query(name)}
+        named |= {f"features_{name}": _plain_query(name), f"features_{name}_events": _event_query(name), f"recursions_{name}": _recursive_query(name), f"formulas_{name}": _formula_query(name), f"audit_start_{name}": _start_query(name)}
+    named["formulas_silent"] = formulas_silent
     return named
 
 
@@ -224,9 +281,12 @@ def oracle_sql() -> dict[str, str]:
         texts[f"features_{name}_events"] = sql_text(B.events_sql(), plain(name), wrap=quantised)
         texts[f"recursions_{name}"] = sql_text(B.LINEITEM_SQL, recursive(name), wrap=quantised)
         texts[f"formulas_{name}"] = formulas.sql(B.LINEITEM_SQL, _by_hand(name), quantised)
+        texts[f"audit_start_{name}"] = _start_sql(name)
     texts["features_suppliers"] = sql_text(B.lineitem_sql("l_suppkey"), families=("excel",), wrap=quantised)
     texts["features_users"] = sql_text(" UNION ALL ".join(f"SELECT * FROM ({B.events_sql(t, 'user_id')})" for t in USER_TIMEFRAMES), plain("indicator"), wrap=quantised)
     texts["features_parts"] = sql_text(B.events_sql("5m"), plain("tv"), wrap=quantised)
+    texts["formulas_silent"] = formulas.sql(SILENT_SQL, list(formulas.BY_HAND), quantised)
+    texts["bars_timeframes"] = _rounded_sql(" UNION ALL ".join(f"SELECT * FROM ({B.events_sql(t)})" for t in B.TIMEFRAMES))
     texts["recursions_parts"] = sql_text(B.events_sql("5m"), stateful("tv"), wrap=quantised)
     texts["bars_fingerprint"] = f"SELECT symbol, timeframe, count(*) AS n_bars, min(trade_time) AS first_time, max(trade_time) AS last_time FROM ({B.lineitem_sql('l_suppkey')}) GROUP BY ALL"
     texts["features_all"] = sql_text(B.LINEITEM_SQL, wrap=quantised)

@@ -6,6 +6,9 @@ A sequence is all bars of a symbol and timeframe in the order of trade_time.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,6 +60,31 @@ def event_bars(spark: SparkSession, sf_dir: str, timeframe: str = "1h", by: str
     return with_open_interest(resample(ticks, symbol=F.col(by).cast("string"), bucket=start, timeframe=timeframe, price=F.col("value"), size=F.lit(1.0), order=F.struct("ts", "event_id"), position=F.sign("value")))
 
 
+def resample_all(ticks: DataFrame, *, symbol: Column, time: Column, timeframes: Sequence[str], price: Column, size: Column, order: Column, position: Column) -> DataFrame:
+    """Bars of several timeframes from one scan: ticks become bars of the finest common step, and these the rest.
+
+    Bars merge: a first or last price travels with its order, the rest are sums and
+    extremes.  Both aggregations combine at the source, so what is shuffled are bars of the
+    finest step, and then at most one row for each wanted bar and task.
+    """
+    minutes = math.gcd(*(TIMEFRAMES[t] for t in timeframes))
+    start = lambda when, n: F.timestamp_seconds(F.floor(F.unix_micros(when.cast("timestamp")) / (n * 60_000_000)) * (n * 60))
+    priced = F.struct(order.alias("order"), price.alias("price"))
+    fine = ticks.where(symbol.isNotNull() & time.isNotNull()).groupBy(symbol.alias("symbol"), start(time, minutes).alias("step")).agg(
+        F.min(F.when(price.isNotNull(), priced)).alias("first"), F.max(F.when(price.isNotNull(), priced)).alias("last"), F.max(price).alias("high"), F.min(price).alias("low"), F.sum(size).alias("volume"), F.sum(position).alias("change"),
+    )
+    bars = F.array(*[F.struct(F.lit(t).alias("timeframe"), start(F.col("step"), TIMEFRAMES[t]).alias(TIME)) for t in timeframes])
+    merged = fine.withColumn("bar", F.explode(bars)).groupBy("symbol", "bar.timeframe", f"bar.{TIME}").agg(
+        F.min("first").alias("first"), F.max("high").alias("high"), F.min("low").alias("low"), F.max("last").alias("last"), F.sum("volume").cast("double").alias("volume"), F.sum("change").cast("double").alias("change"),
+    )
+    return merged.select(*KEYS, TIME, F.col("first.price").alias("open"), "high", "low", F.col("last.price").alias("close"), "volume", "change")
+
+
+def event_timeframes(spark: SparkSession, sf_dir: str, timeframes: Sequence[str] = tuple(TIMEFRAMES), by: str = "event_type") -> DataFrame:
+    """Bars of the event values in several timeframes, from one scan of the events."""
+    return with_open_interest(resample_all(table(spark, sf_dir, "events"), symbol=F.col(by).cast("string"), time=F.col("ts"), timeframes=timeframes, price=F.col("value"), size=F.lit(1.0), order=F.struct("ts", "event_id"), position=F.sign("value")))
+
+
 def lineitem_sql(by: str = "l_returnflag") -> str:
     return f"""
 SELECT symbol, timeframe, trade_time, open, high, low, close, volume,

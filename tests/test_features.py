@@ -15,6 +15,7 @@ from barloom.plans import audit
 from barloom.plans.features import compute, live_only, parts, sql_text
 from barloom.sources import bars as B
 from barloom.sources.bars import NUMBERS, SCHEMA
+from tests.conftest import SMALL
 
 
 def made(n, seed=0, symbol="a", start="2019-12-01", flat=(), quiet=()):
@@ -269,3 +270,14 @@ def test_fingerprint_ignores_order(bars):
     df, _ = bars
     key = lambda d: sorted(map(tuple, B.fingerprint(d).collect()))
     assert key(df) == key(df.orderBy("close"))
+
+
+def test_timeframes_from_one_scan(spark):
+    """Nine timeframes are those of the ticks each, and read the ticks once."""
+    got = B.event_timeframes(spark, SMALL)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Python" not in plan
+    for t in ("5m", "3h", "1day"):
+        key = lambda d: sorted(map(tuple, d.collect()))
+        assert key(got.where(F.col("timeframe") == t)) == key(B.event_bars(spark, SMALL, t))
+    assert B.event_timeframes(spark, SMALL, ["2h"]).select("timeframe").distinct().count() == 1
