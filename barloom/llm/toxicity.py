@@ -46,7 +46,7 @@ arschloch scheisse scheiße dumm dummkopf trottel vollidiot abschaum schwein hur
 # Words of the second person.
 SECOND_PERSON = "you your yours yourself u ur tu toi te vous votre tes ta usted ustedes vosotros ti du dich dir ihr euch euer dein deine".split()
 
-FEATURES = ("log_words", "fixed", "fixed_hits", "learned", "learned_hits", "weight", "near_you", "you", "capitals", "capital_words", "marks", "punctuation", "obfuscated", "obfuscated_hits", "symbols", "word_length")
+FEATURES = ("log_words", "fixed", "fixed_hits", "learned", "learned_hits", "weight", "near_you", "you", "capitals", "capital_words", "marks", "punctuation", "obfuscated", "obfuscated_hits", "symbols", "word_length", "heaviest", "total_weight")
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: ASCII but letters, digits and the apostrophe becomes a blank.
@@ -103,7 +103,7 @@ def features(text: bytes, lexicon: Lexicon) -> list[float]:
     return [
         np.log1p(len(words)), 100 * len(hits) / n, np.log1p(len(hits)), 100 * len(weights) / n, np.log1p(len(weights)), 100 * sum(weights) / n,
         np.log1p(near), 100 * len(you) / n, upper / letters, shouted / n, 100 * marks / size, 100 * other / size,
-        100 * len(hidden) / n, np.log1p(found), 100 * symbols / size, size / n,
+        100 * len(hidden) / n, np.log1p(found), 100 * symbols / size, size / n, max(weights, default=0.0), np.log1p(sum(weights)),
     ]
 
 

@@ -395,12 +395,16 @@ def test_word_hashes_tell_words_apart():
 
 
 def test_toxicity_of_held_out_documents(spark):
-    out = queries.op8_toxicity(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").toPandas()
+    """Nine of ten toxic documents are found in each of the four languages, and few others."""
+    sf = "/root/testdata/sf0.1"
+    out = queries.op8_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").toPandas()
     held = out[out.held_out]
     assert held.score.between(0, 1).all()
     assert ((held.score >= 0.3) == (held.predicted == 1)).all()
-    assert held[held.toxic == 0].predicted.mean() < 0.05
-    assert held[(held.toxic == 1) & (held.lang == "en")].predicted.mean() > 0.8
+    assert set(held.lang) == {"en", "de", "es", "fr"}
+    for _, own in held.groupby("lang"):
+        assert own[own.toxic == 0].predicted.mean() < 0.02
+        assert own[own.toxic == 1].predicted.mean() >= 0.9
 
 
 def test_toxicity_edges(spark, docs, none):
@@ -415,7 +419,7 @@ def test_toxicity_edges(spark, docs, none):
 
 
 def slow_features(text, lexicon):
-    """The 16 features, one word and one character at a time."""
+    """The 18 features, one word and one character at a time."""
     fold = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
     n_bytes = lambda t: len(t.encode())
     words = re.findall("[a-z0-9'\x80-\U0010ffff]+", fold(text))
@@ -443,7 +447,7 @@ def slow_features(text, lexicon):
     return [
         np.log1p(len(words)), 100 * len(hits) / n, np.log1p(len(hits)), 100 * len(weights) / n, np.log1p(len(weights)), 100 * sum(weights) / n,
         np.log1p(sum(any(abs(i - j) <= 6 for j in you) for i in hits)), 100 * len(you) / n, upper / max(1, upper + lower), shouted / n, 100 * count("!?") / size, 100 * count(".,;:!?'\"()-") / size,
-        100 * len(hidden) / n, np.log1p(sum(p in known or p.encode() in lexicon.learned for p in plain)), 100 * count("#*$%&|") / size, size / n,
+        100 * len(hidden) / n, np.log1p(sum(p in known or p.encode() in lexicon.learned for p in plain)), 100 * count("#*$%&|") / size, size / n, max(weights, default=0.0), np.log1p(sum(weights)),
     ]
 
 
