@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from ..operators.registry import FAMILIES, select
 from ..sources.bars import KEYS, TIME, fingerprint
+from ..sources.files import changed, digest_tree
 from . import audit, states
 from .features import compute
 
@@ -89,9 +90,21 @@ class Store:
                 found.append((f.getPath().toString().rsplit(f"/{folder}/", 1)[-1], f.getLen()))
         return sorted(found)
 
-    def inventory(self, folder: str) -> str:
-        """A digest of the names and sizes of all data files below a folder."""
-        return digest({"files": self.files(folder)})
+
+def keep_tree(spark: SparkSession, root: str, run: str) -> str:
+    """Write the digest tree of a build's files; gives the root's digest."""
+    tree = digest_tree(spark, f"{root}/builds/{run}")
+    tree.write.mode("overwrite").parquet(f"{root}/trees/{run}")
+    return kept_tree(spark, root, run).where("level = 'root'").first().digest
+
+
+def kept_tree(spark: SparkSession, root: str, run: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/trees/{run}")
+
+
+def contents(spark: SparkSession, root: str, run: str) -> str:
+    """The root's digest of a build's files as they are now."""
+    return digest_tree(spark, f"{root}/builds/{run}").where("level = 'root'").first().digest
 
 
 def canonical(value: dict) -> bytes:
@@ -127,6 +140,7 @@ def build(bars: DataFrame, root: str, run: str, *, families: tuple[str, ...] = F
     made = compute(bars, families=families, columns=columns).withColumn("year", F.year(TIME))
     made.repartition("symbol", "timeframe", "year").sortWithinPartitions(TIME).write.mode("append" if there else "errorifexists").partitionBy("symbol", "timeframe", "year").option("compression", "zstd").parquet(path)
     prints.withColumn("stamp", F.current_timestamp()).write.mode("append").parquet(f"{root}/prints/{run}")
+    keep_tree(spark, root, run)
     return stored(spark, root, run)
 
 
@@ -182,6 +196,7 @@ def append(bars: DataFrame, root: str, run: str, *, families: tuple[str, ...] =
     made, after = states.advance(bars, pasts, families=families, columns=columns)
     made.withColumn("year", F.year(TIME)).repartition("symbol", "timeframe", "year").sortWithinPartitions(TIME).write.mode("append").partitionBy("symbol", "timeframe", "year").option("compression", "zstd").parquet(f"{root}/builds/{run}")
     _merged_prints(spark, root, run, fingerprint(bars)).withColumn("columns", F.lit(digest({"c": list(select(columns, families))}))).withColumn("stamp", F.current_timestamp()).write.mode("append").parquet(f"{root}/prints/{run}")
+    keep_tree(spark, root, run)
     after.write.parquet(path)
     return stored(spark, root, run)
 
@@ -213,7 +228,12 @@ def valid_sequences(spark: SparkSession, root: str, run: str, prints: DataFrame)
     condition = F.col("rows") == F.col("expected")
     for m in matches:
         condition = condition & m
-    return now.join(last, list(KEYS)).join(rows, list(KEYS)).where(condition).select(*KEYS)
+    valid = now.join(last, list(KEYS)).join(rows, list(KEYS)).where(condition).select(*KEYS)
+    if Store(spark, root).exists(f"trees/{run}/_SUCCESS"):
+        # Sequences whose files are not byte by byte those that were written.
+        other = changed(kept_tree(spark, root, run), digest_tree(spark, f"{root}/builds/{run}")).where("level = 'sequence'")
+        valid = valid.join(other.select(*KEYS), list(KEYS), "left_anti")
+    return valid
 
 
 def stored(spark: SparkSession, root: str, run: str) -> DataFrame:
@@ -258,14 +278,14 @@ def finalize(bars: DataFrame, root: str, run: str, **scope) -> dict:
     The bars must be those of the build's fingerprints, and be the same before and after.
     """
     spark = bars.sparkSession
-    before, files = _seal(bars), Store(spark, root).inventory(f"builds/{run}")
+    before, files = _seal(bars), contents(spark, root, run)
     prints = fingerprint(bars).withColumn("columns", F.lit(digest({"c": list(select(scope.get("columns"), scope.get("families", FAMILIES)))})))
     if valid_sequences(spark, root, run, prints).count() != before["sequences"]:
         raise PublishError(f"build {run} was not made from these bars and columns, or is not complete")
     report = validate(bars, stored(spark, root, run), **scope)
     if any(v for k, v in report.items() if k != "cells"):
         raise PublishError(f"build {run} is not valid: {report}")
-    if _seal(bars) != before or Store(spark, root).inventory(f"builds/{run}") != files:
+    if _seal(bars) != before or contents(spark, root, run) != files:
         raise PublishError("bars or files changed while they were validated")
     ready = {"run": run, "columns": list(select(scope.get("columns"), scope.get("families", FAMILIES))), "cells": report["cells"], "files": files, **before}
     Store(spark, root).write(f"ready-{run}.json", ready)
@@ -290,7 +310,7 @@ def publish(spark: SparkSession, root: str, run: str, *, confirm: str | None = N
         return plan | {"published": False}
     if confirm != ready:
         raise PublishError("the confirmed digest is not that of READY")
-    if store.inventory(f"builds/{run}") != record["files"]:
+    if contents(spark, root, run) != record["files"]:
         raise PublishError(f"the files of build {run} are not those that were validated")
     journal = {"run": run, "ready": ready, "number": number + 1}
     store.write(f"journal-{number + 1:08d}-{run}.json", journal | {"state": "PREPARED"}, overwrite=True)
@@ -315,7 +335,7 @@ def verify_live(bars: DataFrame, root: str, **scope) -> dict:
         raise PublishError("nothing is published")
     record = store.read(f"ready-{now['run']}.json")
     report = validate(bars, stored(spark, root, now["run"]), **scope)
-    found = {"ready": digest(record) == now["ready"], "files": store.inventory(f"builds/{now['run']}") == record["files"], "bars": _seal(bars)["source"] == record["source"], "cells": not any(v for k, v in report.items() if k != "cells")}
+    found = {"ready": digest(record) == now["ready"], "files": contents(spark, root, now["run"]) == record["files"], "bars": _seal(bars)["source"] == record["source"], "cells": not any(v for k, v in report.items() if k != "cells")}
     return {"run": now["run"], "status": "PASS" if all(found.values()) else "FAIL", **found, "report": report}
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +18,29 @@ from .bars import KEYS, SCHEMA, TIME
 ENCODINGS = ("UTF-8", "GB18030")
 
 
-def read_layout(spark: SparkSession, root: str, schema: T.StructType = SCHEMA) -> DataFrame:
+def _glob(name: str) -> str:
+    """A folder's name as a pattern that matches only itself."""
+    return re.sub(r"([\\{}\[\]*?,^])", r"\\\1", name)
+
+
+def read_layout(spark: SparkSession, root: str, schema: T.StructType = SCHEMA, *, symbols: Sequence[str] | None = None, timeframes: Sequence[str] | None = None, years: Sequence[int] | None = None) -> DataFrame:
     """Parquet under root/<symbol>/<timeframe>/<year>/: symbol and timeframe come from the folders.
 
-    Codes are kept as strings and case matters, so names like `a` and `A` stay apart.
+    Only the folders of the scope are listed, and only their files are opened.  Each named
+    sequence must be there, each year of it need not.  Codes are kept as strings and case
+    matters, so names like `a` and `A` stay apart.
     """
+    for name, wanted in (("symbols", symbols), ("timeframes", timeframes), ("years", years)):
+        if wanted is not None and (not wanted or len(set(wanted)) != len(wanted)):
+            raise ValueError(f"{name} must be distinct and not none")
     stored = T.StructType([f for f in schema if f.name not in KEYS])
-    df = spark.read.schema(stored).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(root)
+    year = "*" if years is None else "{" + ",".join(str(int(y)) for y in years) + "}"
+    every = lambda names: ["*"] if names is None else map(_glob, names)
+    paths = [f"{root}/{s}/{t}/{year}" for s, t in product(every(symbols), every(timeframes))]
+    df = spark.read.schema(stored).option("pathGlobFilter", "*.parquet").parquet(*paths)
     parts = F.split(F.col("_metadata.file_path"), "/")
-    return df.select(F.element_at(parts, -4).alias("symbol"), F.element_at(parts, -3).alias("timeframe"), *[f.name for f in stored])
+    code = lambda i: F.url_decode(F.replace(F.element_at(parts, i), F.lit("+"), F.lit("%2B")))
+    return df.select(code(-4).alias("symbol"), code(-3).alias("timeframe"), *[f.name for f in stored])
 
 
 def write_layout(bars: DataFrame, root: str) -> None:
@@ -51,6 +68,49 @@ def file_hashes(spark: SparkSession, root: str, *, pattern: str = "*") -> DataFr
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
+#: Hexadecimal digits of a sequence's digest that name its branch of the tree.
+BRANCH = 3
+
+
+def digest_tree(spark: SparkSession, root: str, *, pattern: str = "*.parquet") -> DataFrame:
+    """(level, branch, symbol, timeframe, year, file, digest, files, bytes): contents of root/<symbol>/<timeframe>/<year>/.
+
+    Leaves are SHA-256 of the files' bytes; a year, a sequence, a branch (4,096 of them at
+    most) and the root are SHA-256 of what is below them, in order of names.  So two trees
+    differ only on the way to what differs.  Folders may be `name=value`, escaped as Spark
+    writes them.
+    """
+    found = file_hashes(spark, root, pattern=pattern)
+    parts = F.split("path", "/")
+    named = lambda x: F.url_decode(F.replace(F.regexp_replace(x, "^[a-z]+=", ""), F.lit("+"), F.lit("%2B")))
+    value = lambda i: F.when(F.element_at(parts, i).rlike("^[a-z]+="), named(F.element_at(parts, i))).otherwise(F.element_at(parts, i))
+    leaf = found.select(value(-4).alias("symbol"), value(-3).alias("timeframe"), value(-2).alias("year"), F.element_at(parts, -1).alias("file"), F.col("sha256").alias("digest"), F.lit(1).cast("long").alias("files"), "bytes")
+    leaf = leaf.withColumn("branch", F.substring(F.sha2(F.concat_ws("/", *KEYS), 256), 1, BRANCH))
+    keys = ["branch", *KEYS, "year", "file"]
+
+    def above(below: DataFrame, depth: int) -> DataFrame:
+        """A group is the years' files, a sequence's years, a branch's sequences, or the branches."""
+        named = F.struct(F.col(keys[depth]) if depth else F.col("branch"), *([F.col("timeframe")] if depth == 1 else []), "digest")
+        text = F.concat_ws(",", F.transform(F.array_sort(F.collect_list(named)), lambda x: x.cast("string")))
+        return below.groupBy(*keys[:depth]).agg(F.sha2(text, 256).alias("digest"), F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))
+
+    year = above(leaf, 4)
+    sequence = above(year, 3)
+    branch = above(sequence, 1)
+    levels = {"file": leaf, "year": year, "sequence": sequence, "branch": branch, "root": above(branch, 0)}
+    rows = [df.select(F.lit(level).alias("level"), *[F.col(k) if k in df.columns else F.lit(None).cast("string").alias(k) for k in keys], "digest", "files", "bytes") for level, df in levels.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def changed(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(level, branch, symbol, timeframe, year, file, before, after) of all nodes of two trees that differ; null where one is not."""
+    keys = ["level", "branch", *KEYS, "year", "file"]
+    a, b = before.select(*keys, F.col("digest").alias("x")).alias("a"), after.select(*keys, F.col("digest").alias("y")).alias("b")
+    same = reduce(lambda p, q: p & q, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    both = a.join(b, same, "full_outer").where(~F.col("x").eqNullSafe(F.col("y")))
+    return both.select(*[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys], F.col("x").alias("before"), F.col("y").alias("after"))
+
+
 def header(spark: SparkSession, path: str) -> list[str]:
     """A table's column names; of a CSV only the first line is read."""
     if path.endswith(".parquet"):

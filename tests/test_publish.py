@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,22 @@ def test_days_appended_to_a_build(spark, bars, tmp_path, monkeypatch):
     P.branch(spark, root, "r2", "r3")
     with pytest.raises(Exception, match="not later than its past"):
         P.append(until("1995-07-20", "1995-09-01"), root, "r3", **scope)
+
+
+def test_a_file_changed_at_equal_size_is_rebuilt(spark, bars, tmp_path):
+    root = f"file://{tmp_path}/f"
+    P.build(bars, root, "r1", **SCOPE)
+    stamps = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "f/builds/r1").rglob("*.parquet")}
+    before = stamps()
+    victim = next(p for p in sorted(before) if "symbol=01" in p)
+    data = bytearray(open(victim, "rb").read())
+    data[len(data) // 2] ^= 1
+    open(victim, "wb").write(bytes(data))
+    os.remove(os.path.join(os.path.dirname(victim), f".{os.path.basename(victim)}.crc"))
+    with pytest.raises(P.PublishError):
+        P.finalize(bars, root, "r1", **SCOPE)
+    P.build(bars, root, "r1", resume=True, **SCOPE)
+    after = stamps()
+    kept = {p for p in before if "symbol=01" not in p}
+    assert kept and all(after[p] == before[p] for p in kept) and not [p for p in before if "symbol=01" in p and p in after]
+    assert P.finalize(bars, root, "r1", **SCOPE)["bars"] == bars.count()
