@@ -20,7 +20,7 @@ from __future__ import annotations
 Number = "Expr | float | int"
 
 POINTWISE = {"add", "sub", "mul", "div", "ieee", "neg", "abs", "sqrt", "sign", "lt", "le", "gt", "ge", "eq", "ne", "and", "or", "where", "max2", "min2", "maxskip", "minskip", "coalesce", "clip0", "number", "nullzero", "finite"}
-WINDOW = {"lag", "avg", "sum", "max", "min", "std", "stdraw", "stdsample", "count", "cumsum", "masked", "rownum"}
+WINDOW = {"lag", "avg", "sum", "max", "min", "std", "stdraw", "stdsample", "count", "cumsum", "masked", "rownum", "line", "weigh", "spread", "rank", "since_max", "since_min"}
 SCAN = {"ema", "ewm", "wsma", "smooth", "psar", "psar_up", "supertrend", "supertrend_dir", "fisher", "utbot", "utbot_signal", "compound", "run"}
 
 
@@ -131,23 +131,23 @@ def wsma(x, n, m=1): return Expr("wsma", x, p=(m / n,))
 def smooth(x, n, m=1): return Expr("smooth", x, p=(n, m))
 
 
+def line(x, n, first, step):
+    """Sum of the last n rows times first, first + step, ..., oldest row first."""
+    return Expr("line", x, p=(n, float(first), float(step)))
+
+
 def dot(x, weights):
     """Weighted sum of the last rows, oldest weight first."""
-    n = len(weights)
-    out = weights[0] * lag(x, n - 1)
-    for i, w in enumerate(weights[1:], 1):
-        out = out + w * lag(x, n - 1 - i)
-    return out
+    return Expr("weigh", x, p=(len(weights), *map(float, weights)))
 
 
 def wma(x, n):
-    return dot(x, [float(i) for i in range(1, n + 1)]) / (n * (n + 1) / 2)
+    return line(x, n, 1, 1) / (n * (n + 1) / 2)
 
 
 def slope(x, n):
     """Least-squares slope over the last n rows."""
-    mid = (n - 1) / 2
-    return dot(x, [i - mid for i in range(n)]) / (n * (n * n - 1) / 12)
+    return line(x, n, -(n - 1) / 2, 1) / (n * (n * n - 1) / 12)
 
 
 def endpoint(x, n):
@@ -156,34 +156,17 @@ def endpoint(x, n):
 
 
 def mean_deviation(x, n):
-    mean = avg(x, n)
-    out = abs(lag(x, n - 1) - mean)
-    for i in range(n - 2, -1, -1):
-        out = out + abs(lag(x, i) - mean)
-    return out / n
+    return Expr("spread", x, avg(x, n), p=(n,)) / n
 
 
 def rank_share(x, n):
     """Rank of the last of n values, ties averaged, as a share of n."""
-    less, same = const(0.0), const(0.0)
-    for i in range(1, n):
-        less = less + number(lag(x, i) < x)
-        same = same + number(lag(x, i).eq(x))
-    return _present(x, n, (less + (same + 2) / 2) / n)
-
-
-def _present(x, n, value):
-    """value where all of the last n values are there."""
-    return value + 0 * total(x, n)
+    return Expr("rank", x, p=(n,)) / n
 
 
 def bars_since(x, n, best):
     """Rows since the first of the best of the last n values; best: highest or lowest."""
-    top = best(x, n)
-    out = const(0.0)
-    for i in range(1, n):
-        out = where(lag(x, i).eq(top), float(i), out)
-    return _present(x, n, out)
+    return Expr("since_max" if best is highest else "since_min", x, best(x, n), p=(n,))
 
 
 def true_range(high, low, close):

@@ -198,6 +198,18 @@ def _std(ddof: int, constant: bool):
 _FRAMES = {"avg": lambda w: w.mean(axis=1), "sum": lambda w: w.sum(axis=1), "max": lambda w: w.max(axis=1), "min": lambda w: w.min(axis=1), "std": _std(0, True), "stdraw": _std(0, False), "stdsample": _std(1, True)}
 
 
+def _weighted(e: Expr) -> np.ndarray:
+    return e.p[1] + e.p[2] * np.arange(e.p[0]) if e.op == "line" else np.array(e.p[1:])
+
+
+#: Sums over frames whose order counts, of the expression and the frames' values.
+_ORDERED = {
+    "line": lambda e, w: w @ _weighted(e), "weigh": lambda e, w: w @ _weighted(e), "spread": lambda e, w: np.abs(w - w.mean(axis=1)[:, None]).sum(axis=1),
+    "rank": lambda e, w: (w < w[:, -1:]).sum(axis=1) + (w == w[:, -1:]).sum(axis=1) / 2 + 0.5,
+    "since_max": lambda e, w: e.p[0] - 1.0 - w.argmax(axis=1), "since_min": lambda e, w: e.p[0] - 1.0 - w.argmin(axis=1),
+}
+
+
 def _window(e: Expr, x: np.ndarray, held: list) -> np.ndarray:
     n = e.p[0] if e.p else 0
     if e.op == "cumsum":
@@ -216,6 +228,8 @@ def _window(e: Expr, x: np.ndarray, held: list) -> np.ndarray:
     held[:] = rows[len(rows) - back :].tolist()
     if e.op == "lag":
         return rows[: len(x)]
+    if e.op in _ORDERED:
+        return framed(rows, n, lambda w: np.where(np.isnan(w).any(axis=1), NAN, _ORDERED[e.op](e, w)))[back:]
     return framed(rows, n, _FRAMES["sum" if e.op == "count" else e.op])[back:]
 
 
@@ -282,7 +296,7 @@ def evaluate(outputs: Iterable[Expr], bars: dict[str, np.ndarray], held: list[li
                 got = np.full(n, e.p[0] if e.p else NAN)
             elif e.op in _POINT:
                 got = _POINT[e.op](*a)
-            elif len(e.args) == 1 and e.op in {"lag", "count", "cumsum", "masked", *_FRAMES}:
+            elif e.op in {"lag", "count", "cumsum", "masked", *_ORDERED} or len(e.args) == 1 and e.op in _FRAMES:
                 got = _window(e, a[0], state)
             else:
                 got = _scan(e, a, state)

@@ -7,6 +7,7 @@ partitioning and the order, so all levels together need a single exchange and so
 
 from __future__ import annotations
 
+import re
 from collections.abc import Collection, Iterable
 from dataclasses import dataclass
 
@@ -20,6 +21,8 @@ _BINARY = {"add": "+", "sub": "-", "mul": "*", "lt": "<", "le": "<=", "gt": ">",
 class Over:
     keys: tuple[str, ...]
     time: str
+    #: Which engine reads the text: they name functions over lists differently.
+    spark: bool = True
 
     def rows(self, n: int | None = None) -> str:
         frame = "" if n is None else f" ROWS BETWEEN {'UNBOUNDED' if n == 0 else n - 1} PRECEDING AND CURRENT ROW"
@@ -91,6 +94,12 @@ class Text:
                 return finite(e.args[0], a[0])
         raise AssertionError(e.op)
 
+    def summed(self, x: str, frame: str, term: str) -> str:
+        """The sum of a term over the frame's values v and their places i, from 0, oldest first."""
+        if self.over.spark:
+            return f"aggregate(transform(array_agg({x}) {frame}, (v, i) -> {term}), CAST(0 AS DOUBLE), (s, v) -> s + v)"
+        return f"list_sum(list_transform(array_agg({x}) {frame}, lambda v, j: {re.sub(r'\bi\b', '(j - 1)', term)}))"
+
     def window(self, e: Expr) -> str:
         n = e.p[0] if e.p else 0
         x = self.point(e.args[0]) if e.args else ""
@@ -118,6 +127,20 @@ class Text:
                 return f"CASE WHEN count({x}) {self.over.rows(0)} > 1 THEN {x} END"
             case "rownum":
                 return f"row_number() {self.over.rows()}"
+            case "line":
+                return f"{full} {self.summed(x, f, f'v * ({e.p[1]!r} + {e.p[2]!r} * i)')} END"
+            case "weigh":
+                weights = ", ".join(f"CAST({w!r} AS DOUBLE)" for w in e.p[1:])
+                at = f"element_at(array({weights}), i + 1)" if self.over.spark else f"([{weights}])[i + 1]"
+                return f"{full} {self.summed(x, f, f'v * {at}')} END"
+            case "spread":
+                return f"{full} {self.summed(x, f, f'abs(v - {self.point(e.args[1])})')} END"
+            case "rank":
+                return f"{full} {self.summed(x, f, f'CASE WHEN v < {x} THEN CAST(1 AS DOUBLE) WHEN v = {x} THEN CAST(0.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END')} + 0.5 END"
+            case "since_max" | "since_min":
+                best = self.point(e.args[1])
+                place = f"array_position(array_agg({x}) {f}, {best})" if self.over.spark else f"list_position(array_agg({x}) {f}, {best})"
+                return f"{full} CAST({n} - {place} AS DOUBLE) END"
         raise AssertionError(e.op)
 
 

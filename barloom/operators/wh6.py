@@ -7,7 +7,7 @@ such a quotient is compared, summed without a frame or carried on, it is `ieee`.
 
 from __future__ import annotations
 
-from ..functions.expr import C, H, L, NULL, O, OI, V, Expr, avg, const, count_true, diff, ema, endpoint, highest, ieee, lag, lowest, max2, mean_deviation, min2, running, std, total, where, wsma
+from ..functions.expr import C, H, L, NULL, O, OI, V, Expr, avg, const, count_true, diff, dot, ema, endpoint, highest, ieee, lag, lowest, max2, mean_deviation, min2, running, std, total, where, wsma
 
 
 def _range(first: Expr, second: Expr, third: Expr) -> Expr:
@@ -150,10 +150,8 @@ def prices() -> dict:
     mid, dev = avg(C, 26), std(C, 26)
     cdp, width = (H + L + C) / 3, lag(H) - lag(L)
     a = (3 * C + L + O + H) / 6
-    dkx = 20 * a
-    for i in range(1, 19):
-        dkx = dkx + (20 - i) * lag(a, i)
-    dkx = (dkx + lag(a, 20)) / 210
+    # The row 19 back has no weight.
+    dkx = dot(a, [1, 0, *range(2, 21)]) / 210
     typical, top, low = (H + L + C) / 3, highest(H, 12), lowest(L, 12)
     tr = _range(H - L, p - H, p - L)
     out = {

@@ -131,7 +131,7 @@ def live_only(history: DataFrame, live: DataFrame, *, start: str, zone: str | No
 
 def sql_text(source: str, columns: list[str] | None = None, families: tuple[str, ...] = FAMILIES, wrap=lambda name: name) -> str:
     """The same columns as one SELECT for another engine; recursions need its WITH RECURSIVE."""
-    wanted = select(columns, families)
+    wanted, over = select(columns, families), Over(KEYS, TIME, spark=False)
     recursive = any(e.scan for e in wanted.values())
-    inner = f"({recursive_sql.query(wanted, OVER, [*KEYS, TIME], f'({source})')})" if recursive else query(wanted, OVER, [*KEYS, TIME], f"({source})")
+    inner = f"({recursive_sql.query(wanted, over, [*KEYS, TIME], f'({source})')})" if recursive else query(wanted, over, [*KEYS, TIME], f"({source})")
     return f"SELECT {', '.join([*KEYS, TIME, *(f'{wrap(n)} AS {n}' for n in wanted)])} FROM {inner} q"
