@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.registry import FAMILIES, family
 from ..session import ship
 from ..sources import bars as B
-from . import audit, formulas
+from . import audit, formulas, formulas_recursive
 from .carried import rounds
 from .features import compute, live_only, sql_text
 
@@ -279,7 +279,7 @@ def oracle_sql() -> dict[str, str]:
     for name in FAMILIES:
         texts[f"features_{name}"] = sql_text(B.LINEITEM_SQL, plain(name), wrap=quantised)
         texts[f"features_{name}_events"] = sql_text(B.events_sql(), plain(name), wrap=quantised)
-        texts[f"recursions_{name}"] = sql_text(B.LINEITEM_SQL, recursive(name), wrap=quantised)
+        texts[f"recursions_{name}"] = formulas_recursive.sql(B.LINEITEM_SQL, recursive(name), quantised)
         texts[f"formulas_{name}"] = formulas.sql(B.LINEITEM_SQL, _by_hand(name), quantised)
         texts[f"audit_start_{name}"] = _start_sql(name)
     texts["features_suppliers"] = sql_text(B.lineitem_sql("l_suppkey"), families=("excel",), wrap=quantised)

@@ -281,3 +281,12 @@ def test_timeframes_from_one_scan(spark):
         key = lambda d: sorted(map(tuple, d.collect()))
         assert key(got.where(F.col("timeframe") == t)) == key(B.event_bars(spark, SMALL, t))
     assert B.event_timeframes(spark, SMALL, ["2h"]).select("timeframe").distinct().count() == 1
+
+
+def test_recursions_by_hand_stand_alone():
+    """Every recursive column has SQL that knows nothing of the graph."""
+    from barloom.plans import formulas_recursive
+
+    assert set(formulas_recursive.BY_HAND) == {k for k, e in R.every().items() if e.scan}
+    source = open(formulas_recursive.__file__).read()
+    assert "functions" not in source.split("from __future__")[1] and "operators" not in source
