@@ -169,6 +169,17 @@ def bars_since(x, n, best):
     return Expr("since_max" if best is highest else "since_min", x, best(x, n), p=(n,))
 
 
+def cross(a, b):
+    """a has come from b or below it to above it."""
+    a, b = (x if isinstance(x, Expr) else const(x) for x in (a, b))
+    return (a > b) & (lag(a) <= lag(b))
+
+
+def rising(x, n):
+    """x is above what it was n rows before."""
+    return x > lag(x, n)
+
+
 def true_range(high, low, close):
     """Terms that need the row before are skipped on the first row."""
     return maxskip(high - low, abs(high - lag(close)), abs(low - lag(close)))

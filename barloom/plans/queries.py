@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
 from ..operators.registry import FAMILIES, family
 from ..session import ship
 from ..sources import bars as B
 from . import audit, formulas, formulas_recursive
 from .carried import rounds
-from .features import compute, live_only, sql_text
+from .features import compute, live_only, sql_text, windows
+from .preflight import exactly_one, preflight
 
 BOUNDARY = "1997-01-01"
 
@@ -217,8 +219,67 @@ def audit_excel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("column", "n_cells", "null_mismatches", "infinities", "beyond", "missing", "status")
 
 
+def _audit_sql(name: str) -> str:
+    """Windows of the family with history and without; its recursions are not stored, so they fail without a cell."""
+    live = f"SELECT * FROM ({B.LINEITEM_SQL}) WHERE trade_time >= TIMESTAMP '{BOUNDARY}'"
+    one = """SELECT '{c}' AS "column", count(*) AS n_cells, count(*) FILTER ((w.{c} IS NULL) <> (k.{c} IS NULL)) AS null_mismatches, count(*) FILTER (abs(w.{c} - k.{c}) > greatest(1e-6, abs(w.{c}) * 1e-9)) AS beyond FROM w JOIN k USING (symbol, timeframe, trade_time)"""
+    parts = [one.format(c=c) for c in plain(name)] + [f"SELECT '{c}', 0, 0, 0" for c in recursive(name)]
+    return f"""WITH w AS MATERIALIZED ({sql_text(B.LINEITEM_SQL, plain(name))}), k AS MATERIALIZED ({sql_text(live, plain(name))}), r AS ({" UNION ALL ".join(parts)})
+SELECT "column", n_cells::BIGINT AS n_cells, null_mismatches::BIGINT AS null_mismatches, 0::BIGINT AS infinities, beyond::BIGINT AS beyond, 0::BIGINT AS missing, CASE WHEN null_mismatches + beyond > 0 OR n_cells = 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM r"""
+
+
+def signals_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crossings and rises of each supplier's daily closes."""
+    signals = {
+        "over_average": X.cross(X.avg(X.C, 5), X.avg(X.C, 20)), "under_average": X.cross(X.avg(X.C, 20), X.avg(X.C, 5)), "over_high": X.cross(X.C, X.lag(X.highest(X.H, 20))),
+        "over_level": X.cross(X.C, 1500), "rising_1": X.rising(X.C, 1), "rising_10": X.rising(X.C, 10),
+    }
+    return windows(B.lineitem_bars(spark, sf_dir, "l_suppkey"), {k: X.number(e) for k, e in signals.items()}, [*B.KEYS, B.TIME])
+
+
+SIGNALS_SQL = f"""
+WITH a AS (SELECT *, lag(close) OVER w AS c1, lag(close, 10) OVER w AS c10, row_number() OVER w AS n, avg(close) OVER (w ROWS 4 PRECEDING) AS m5, avg(close) OVER (w ROWS 19 PRECEDING) AS m20, max(high) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS top
+  FROM ({B.lineitem_sql("l_suppkey")}) WINDOW w AS (PARTITION BY symbol ORDER BY trade_time)),
+b AS (SELECT *, lag(m5) OVER w AS p5, lag(m20) OVER w AS p20, lag(top) OVER w AS top1 FROM a WINDOW w AS (PARTITION BY symbol ORDER BY trade_time))
+SELECT symbol, timeframe, trade_time, (n > 20 AND m5 > m20 AND p5 <= p20)::INT::DOUBLE AS over_average, (n > 20 AND m20 > m5 AND p20 <= p5)::INT::DOUBLE AS under_average, (n > 21 AND close > top AND c1 <= top1)::INT::DOUBLE AS over_high,
+  coalesce(close > 1500 AND c1 <= 1500, false)::INT::DOUBLE AS over_level, coalesce(close > c1, false)::INT::DOUBLE AS rising_1, coalesce(close > c10, false)::INT::DOUBLE AS rising_10
+FROM b
+"""
+
+PROFILE = tuple(str(i) for i in range(1, 121))
+
+
+def preflight_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules over the suppliers' daily bars, and trades of their first days, not yet bars, offered as history."""
+    size = F.col("l_quantity")
+    trades = B.table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("symbol"), F.lit("1day").alias("timeframe"), F.col("l_shipdate").alias(B.TIME), *[(F.col("l_extendedprice") / size).alias(c) for c in B.PRICES],
+        F.when(F.col("l_returnflag") == "R", -size).otherwise(size).alias("volume"), F.lit(0.0).alias("open_interest"),
+    )
+    return preflight(B.lineitem_bars(spark, sf_dir, "l_suppkey"), trades.where(F.col(B.TIME) < F.to_timestamp(F.lit("1992-02-20"))), start="1992-02-10", symbols=PROFILE, timeframes=("1day",))
+
+
+_FINDING = "SELECT '{source}' AS source, symbol, timeframe, '{name}' AS finding, {n} AS n FROM {table}"
+PREFLIGHT_SQL = f"""
+WITH m AS MATERIALIZED (SELECT symbol, timeframe, count(*) - count(DISTINCT trade_time) AS repeated, 0 AS untimed, count(*) FILTER (high < greatest(open, close) OR low > least(open, close)) AS outside, count(*) FILTER (volume < 0) AS negative, count(*) FILTER (trade_time < TIMESTAMP '1992-02-10') AS misplaced FROM ({B.lineitem_sql("l_suppkey")}) GROUP BY ALL),
+h AS MATERIALIZED (SELECT l_suppkey::VARCHAR AS symbol, '1day' AS timeframe, count(*) - count(DISTINCT l_shipdate) AS repeated, 0 AS untimed, 0 AS outside, count(*) FILTER (l_returnflag = 'R') AS negative, count(*) FILTER (l_shipdate >= TIMESTAMP '1992-02-10') AS misplaced FROM lineitem WHERE l_shipdate < TIMESTAMP '1992-02-20' AND l_suppkey::VARCHAR IN (SELECT symbol FROM m) GROUP BY ALL),
+p AS (SELECT i::VARCHAR AS symbol, '1day' AS timeframe FROM range(1, 121) r(i)),
+a AS (SELECT symbol, timeframe, m.repeated IS NOT NULL AS has, p.symbol IS NOT NULL AS wanted, h.repeated IS NOT NULL AS past FROM m FULL JOIN p USING (symbol, timeframe) LEFT JOIN h USING (symbol, timeframe)),
+r AS ({" UNION ALL ".join([_FINDING.format(source=s, name=k, n=0 if k == "unfit" else k, table=t) for s, t in (("market", "m"), ("history", "h")) for k in ("repeated", "untimed", "unfit", "outside", "negative", "misplaced")]
+  + [_FINDING.format(source="both", name=k, n=f"({x})::INT", table="a") for k, x in (("no_market", "wanted AND NOT has"), ("no_history", "has AND NOT past"), ("outside_profile", "has AND NOT wanted"))])})
+SELECT source, symbol, timeframe, finding, n::BIGINT AS n, CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM r
+"""
+
+
+def sequences_described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier's sequence with the one row that describes it."""
+    suppliers = B.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("symbol"), F.lit("1day").alias("timeframe"), "s_name", "s_nationkey")
+    counts = B.fingerprint(B.lineitem_bars(spark, sf_dir, "l_suppkey")).select(*B.KEYS, "n_bars")
+    return exactly_one(counts, suppliers)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (features_flagship, bars_lineitem, bars_events, bars_violations, bars_latest, bars_timeframes, features_all, features_live, audit_warmup, audit_coverage, features_suppliers, features_users, features_parts, recursions_parts, bars_fingerprint, audit_excel)}
+    named = {f.__name__: f for f in (features_flagship, bars_lineitem, bars_events, bars_violations, bars_latest, bars_timeframes, features_all, features_live, audit_warmup, audit_coverage, features_suppliers, features_users, features_parts, recursions_parts, bars_fingerprint, audit_excel, signals_suppliers, preflight_suppliers, sequences_described)}
     for name in FAMILIES:
         named |= {f"features_{name}": _plain_query(name), f"features_{name}_events": _event_query(name), f"recursions_{name}": _recursive_query(name), f"formulas_{name}": _formula_query(name), f"audit_start_{name}": _start_query(name)}
     named["formulas_silent"] = formulas_silent
@@ -289,6 +350,8 @@ def oracle_sql() -> dict[str, str]:
     texts["bars_timeframes"] = _rounded_sql(" UNION ALL ".join(f"SELECT * FROM ({B.events_sql(t)})" for t in B.TIMEFRAMES))
     texts["recursions_parts"] = sql_text(B.events_sql("5m"), stateful("tv"), wrap=quantised)
     texts["bars_fingerprint"] = f"SELECT symbol, timeframe, count(*) AS n_bars, min(trade_time) AS first_time, max(trade_time) AS last_time FROM ({B.lineitem_sql('l_suppkey')}) GROUP BY ALL"
+    texts |= {"signals_suppliers": SIGNALS_SQL, "preflight_suppliers": PREFLIGHT_SQL, "audit_excel": _audit_sql("excel")}
+    texts["sequences_described"] = f"SELECT symbol, timeframe, n_bars, s_name, s_nationkey FROM ({texts['bars_fingerprint']}) JOIN supplier ON s_suppkey::VARCHAR = symbol"
     texts["features_all"] = sql_text(B.LINEITEM_SQL, wrap=quantised)
     texts["features_live"] = f"SELECT * FROM ({texts['features_excel']}) WHERE trade_time >= TIMESTAMP '{BOUNDARY}'"
     return texts

@@ -3,7 +3,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SMALL, same_rows
 
-NATIVE = [k for k in entry.oracle_sql() if k.startswith(("features", "recursions", "bars", "audit", "formulas"))]
+NATIVE = [k for k in entry.oracle_sql() if k.startswith(("features", "recursions", "bars", "audit", "formulas", "signals", "preflight", "sequences"))]
 
 
 def test_every_sql_has_a_query():
