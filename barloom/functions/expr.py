@@ -126,6 +126,7 @@ def mask_first(x): return Expr("masked", x)
 def diff(x, n=1): return x - lag(x, n)
 def change(x, n=1): return x / lag(x, n) - 1
 def ema(x, n, least=None): return Expr("ema", x, p=(2.0 / (n + 1.0), n if least is None else least))
+def ema_masked(x, n): return where(running(number(running(number(x.eq(x))) > 0)) >= n, ema(x, n, 0), NULL)
 def rma(x, n): return Expr("ewm", x, p=(1.0 / n,))
 def wsma(x, n, m=1): return Expr("wsma", x, p=(m / n,))
 def smooth(x, n, m=1): return Expr("smooth", x, p=(n, m))

@@ -156,3 +156,14 @@ def test_a_sequence_in_parts_has_the_values_of_the_whole(cuts):
     got.append(K.evaluate(every().values(), {k: v[:0] for k, v in bars.items()}, held))
     for i, name in enumerate(every()):
         np.testing.assert_allclose(np.concatenate([p[i] for p in got]), whole[i], rtol=1e-9, atol=1e-9, err_msg=name)
+
+
+@settings(deadline=None, max_examples=60)
+@given(cells, st.integers(1, 9))
+def test_masked_mean_hides_the_rows_behind_the_first_value(values, n):
+    s = pd.Series(values)
+    want = s.ewm(span=n, adjust=False).mean()
+    first = s.first_valid_index()
+    if first is not None:
+        want.iloc[first : first + n - 1] = NAN
+    np.testing.assert_allclose(one(X.ema_masked(X.C, n), close=values), want, rtol=1e-9, atol=1e-9)
