@@ -7,6 +7,8 @@ of these counts never exceeds the Hamming distance, so a pair of tiles whose cou
 differ by more than the radius is skipped and nothing is lost.  A tile with more than
 `TILE` fingerprints (a large group of near copies) is cut into pieces.  Tiles are files in
 the shared folder; only the names of a pair are shuffled, and its task reads the files.
+Pieces of a key are dealt in blocks, and a pair of blocks to one task, which so reads each
+of its tiles once for up to `BLOCK` pairs.
 Each surviving pair of tiles is compared in numpy by exclusive-or and bit counts, and
 gives back only a spanning forest of its links, so dense groups stay linear in size.
 """
@@ -27,8 +29,8 @@ from .components import connected
 from .files import get, make_folder, put
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
-#: Most fingerprints in a tile, and tiles that a task keeps in memory.
-TILE, TILES_KEPT = 8192, 128
+#: Most fingerprints in a tile, pieces in a block, and tiles that a task keeps in memory.
+TILE, BLOCK, TILES_KEPT = 8192, 16, 128
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -122,9 +124,12 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
             ends = np.array(got, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
-    # Dealt in turn, as pairs differ much in size.
+    # A pair of blocks has at most BLOCK x BLOCK pairs of tiles, so tasks differ little in size.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.select("x", "y", "piece", "x2", "y2", "piece2").repartition(n).mapInArrow(compare, "a long, b long").distinct()
+    block = lambda c: F.floor(F.col(c) / BLOCK)
+    dealt = pairs.select("x", "y", "piece", "x2", "y2", "piece2").repartition(n, "x", "y", block("piece"), "x2", "y2", block("piece2"))
+    near = dealt.sortWithinPartitions("x", "y", block("piece"), "x2", "y2", block("piece2"), "piece", "piece2")
+    return near.mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, tile: int = TILE) -> DataFrame:
