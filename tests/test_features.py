@@ -12,7 +12,7 @@ from barloom.functions.kernels import evaluate
 from barloom.functions.sql import reach
 from barloom.operators import registry as R
 from barloom.plans import audit
-from barloom.plans.features import compute, live_only, parts, sql_text
+from barloom.plans.features import abreast, compute, live_only, parts, sql_text
 from barloom.sources import bars as B
 from barloom.sources.bars import NUMBERS, SCHEMA
 from tests.conftest import SMALL
@@ -290,3 +290,39 @@ def test_recursions_by_hand_stand_alone():
     assert set(formulas_recursive.BY_HAND) == {k for k, e in R.every().items() if e.scan}
     source = open(formulas_recursive.__file__).read()
     assert "functions" not in source.split("from __future__")[1] and "operators" not in source
+
+
+def test_many_sequences_in_one_call(spark):
+    """Kernels of many sequences are those of each, bit for bit: short, long, with gaps, without a name, longer than a call."""
+    frames = [made(n, i, f"s{i % 40:02}", start, flat=range(min(71, n), min(99, n)) if i % 3 == 0 else (), quiet=[0] if i % 4 == 0 else ()).assign(timeframe=f"{i // 40}h") for i, (n, start) in enumerate([(r, "2019-12-01") for r in (300, 1, 2, 40, 120, 7) * 10])]
+    frames[5].loc[[0, 3], ["close", "volume"]] = None
+    frames[12].loc[[0, 150], ["close", "high"]] = None
+    frames.append(made(30, 99).assign(symbol=None))
+    df, wanted = spark.createDataFrame(pd.concat(frames), SCHEMA), R.every()
+    for together in (60_000, 100):
+        got = abreast(df, wanted, together=together).toPandas().fillna({"symbol": "none"})
+        assert list(got.columns) == ["symbol", "timeframe", "trade_time", *wanted] and len(got) == sum(map(len, frames))
+        sequences = {k: v.sort_values("trade_time") for k, v in got.groupby(["symbol", "timeframe"])}
+        for f in frames:
+            want = evaluate(wanted.values(), {c: f[c].to_numpy(float) for c in NUMBERS})
+            own = sequences[f.symbol[0] or "none", f.timeframe[0]]
+            for column, values in zip(wanted, want, strict=True):
+                np.testing.assert_array_equal(own[column].to_numpy(float), values, err_msg=column)
+
+
+def test_suppliers_have_no_frames_in_the_plan(spark):
+    """All columns of suppliers come from one step, without a window."""
+    from barloom.plans.queries import features_suppliers
+
+    plan = features_suppliers(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("+- Window ") == 0 and plan.count("MapInArrow kernel") == 1 and "FlatMapGroupsInArrow" not in plan
+
+
+def test_cut_is_the_sql_of_the_other_engine(spark):
+    from barloom.plans.queries import cut, quantised
+
+    r = np.random.default_rng(53)
+    x = np.concatenate([r.normal(size=500) * 10.0 ** r.integers(-8, 19, 500), [0.0, -0.0, 1e4, -1e4, 1e9, 1e15, -1e15, 1e300, math.nextafter(1e4, 0), math.nextafter(1e9, 0), math.nextafter(1e15, 0), 0.5e-6]])
+    got = [v for (v,) in spark.createDataFrame([(float(v),) for v in x], "x double").selectExpr(f"{quantised('x')} AS y").collect()]
+    np.testing.assert_array_equal(cut(x), got)
+    assert not np.signbit(cut(np.array([-0.0]))[0]) and np.isnan(cut(np.array([math.nan]))[0])
