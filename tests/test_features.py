@@ -318,6 +318,14 @@ def test_suppliers_have_no_frames_in_the_plan(spark):
     assert plan.count("+- Window ") == 0 and plan.count("MapInArrow kernel") == 1 and "FlatMapGroupsInArrow" not in plan
 
 
+def test_users_have_no_frames_in_the_plan(spark):
+    """All columns of users come from one step; the only window is the open interest."""
+    from barloom.plans.queries import features_users
+
+    plan = features_users(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("+- Window ") == 1 and plan.count("MapInArrow kernel") == 1
+
+
 def test_cut_is_the_sql_of_the_other_engine(spark):
     from barloom.plans.queries import cut, quantised
 
