@@ -318,6 +318,34 @@ def test_suppliers_have_no_frames_in_the_plan(spark):
     assert plan.count("+- Window ") == 0 and plan.count("MapInArrow kernel") == 1 and "FlatMapGroupsInArrow" not in plan
 
 
+def test_suppliers_are_dealt_once(spark):
+    """Lines are shuffled once, without text, and bars not again; they are those of the aggregation, without keyless lines."""
+    from barloom.plans.queries import features_suppliers
+
+    plan = features_suppliers(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.split("Exchange")[1].startswith(" hashpartitioning(l_suppkey")
+
+
+def test_dealt_bars_are_those_of_the_aggregation(spark, tmp_path):
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    odd = lines.orderBy("l_orderkey", "l_linenumber", "l_partkey").limit(40)
+    odd = odd.withColumn("l_suppkey", F.expr("CASE WHEN l_linenumber > 3 THEN l_suppkey END")).unionByName(odd.withColumn("l_shipdate", F.expr("CAST(NULL AS TIMESTAMP_NTZ)"))).unionByName(odd.withColumn("l_extendedprice", F.expr("CAST(NULL AS DOUBLE)")))
+    many = lines.where("l_suppkey < 3").withColumn("l_partkey", F.expr("l_partkey + 100000"))
+    lines.unionByName(odd).unionByName(many).repartition(7).write.parquet(f"{tmp_path}/lineitem.parquet")
+    want, got = (B.lineitem_bars(spark, str(tmp_path), "l_suppkey", dealt=x) for x in (False, True))
+    assert got.schema == want.schema
+    key = lambda d: sorted(map(tuple, d.collect()), key=repr)
+    assert key(got) == key(want)
+    wanted = ["excel_EXPMA_12", "excel_WMA_20", "excel_OSC_40"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        places = got.select("symbol", F.spark_partition_id().alias("place")).distinct().collect()
+        assert len({r.symbol for r in places}) == len(places) and len({r.place for r in places}) > 1
+        assert key(compute(got, columns=wanted, kernels=True, dealt=True)) == key(compute(want, columns=wanted, kernels=True))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_users_have_no_frames_in_the_plan(spark):
     """All columns of users come from one step; the only window is the open interest."""
     from barloom.plans.queries import features_users
