@@ -324,6 +324,24 @@ def test_suppliers_are_dealt_once(spark):
 
     plan = features_suppliers(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.split("Exchange")[1].startswith(" hashpartitioning(l_suppkey")
+    assert plan.count("+- Sort [") == 1
+
+
+def test_lines_of_a_task_are_bounded(spark, monkeypatch):
+    """Where the session has too few partitions, there are as many as the lines need; results stay the same, also with clocks that go back."""
+    key = lambda d: sorted(map(tuple, d.collect()), key=repr)
+    wanted = ["excel_EXPMA_12", "excel_WMA_20"]
+    made = lambda dealt: compute(B.lineitem_bars(spark, SMALL, "l_suppkey", dealt=dealt), columns=wanted, kernels=True, dealt=dealt)
+    want = key(made(False))
+    monkeypatch.setattr(B, "LINES", 500)
+    assert made(True)._jdf.queryExecution().executedPlan().toString().count(", 12), REPARTITION_BY_NUM") == 1
+    assert key(made(True)) == want
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert key(made(True)) == key(made(False)) and made(True).schema == made(False).schema
+        assert made(True)._jdf.queryExecution().executedPlan().toString().count("+- Sort [") == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_dealt_bars_are_those_of_the_aggregation(spark, tmp_path):
